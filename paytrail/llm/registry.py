@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup
+from . import chat_format, exact_dedup, simhash
 from .common import table
 
 
@@ -53,8 +53,12 @@ FROM r GROUP BY conv_id
 """
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, distance=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op9_chat_format": op9_chat_format}
+    return {"op1_exact_dedup": op1_exact_dedup, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
