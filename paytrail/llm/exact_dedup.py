@@ -40,28 +40,33 @@ class DigestIndex:
         self.levels: list[list[str]] = [[]]
         self.made = 0
 
-    def _run(self, rows: DataFrame, level: int) -> None:
+    def _run(self, rows: DataFrame, level: int) -> str:
         name, self.made = f"level{level}-{self.made}", self.made + 1
         rows.write.options(**{"compression": "zstd", "parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.expected.ndv#digest": "65536"}).parquet(self.scratch.at(name))
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
+        return name
 
-    def flush(self, entries: DataFrame) -> None:
-        """Adds (digest, doc_id) rows: one sorted run file for each task, without a shuffle."""
-        memtable = entries.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
-        self._run(memtable.sortWithinPartitions("digest"), 0)
+    def flush(self, entries: DataFrame) -> list[str]:
+        """Adds (digest, doc_id, ...) rows: one sorted run file for each task, without a shuffle."""
+        memtable = entries.withColumnRenamed("doc_id", "keep_id").withColumn("n", F.lit(1).cast("long"))
+        return [self._run(memtable.sortWithinPartitions("digest"), 0)]
 
-    def compact(self, level: int = 0) -> None:
-        """Merges all runs of a level, and those of the next, into one sorted run of the next level."""
+    def compact(self, level: int = 0, drop: bool = True) -> None:
+        """Merges all runs of a level, and those of the next, into one sorted run of the next level.
+
+        drop=False leaves the files of the level's own runs to whoever reads them.
+        """
         old = [*self.levels[level], *(self.levels[level + 1] if len(self.levels) > level + 1 else [])]
         if not old:
             return
+        flushed = set(self.levels[level])
         merged = self.read(old).groupBy("digest").agg(self.best("keep_id").alias("keep_id"), F.sum("n").alias("n"))
         self._run(merged.sortWithinPartitions("digest"), level + 1)
         self.levels[level] = []
         self.levels[level + 1] = self.levels[level + 1][-1:]
-        self.scratch.drop(*old)
+        self.scratch.drop(*(old if drop else set(old) - flushed))
 
     def read(self, names: list[str]) -> DataFrame:
         parts = [self.spark.read.parquet(self.scratch.at(x)) for x in names]
@@ -94,31 +99,34 @@ def deduplicate(docs: DataFrame, keep: str = "largest", digest=sha256_bytes, bat
         return rows.select("doc_id", digest(text).alias("digest"), *more)
 
     index = DigestIndex(spark, scratch, keep)
-    for part in batches or [docs]:
-        index.flush(keyed(part))
-        index.compact()
+    parts = batches or [docs]
+    names = []
+    for part in parts:
+        sha = [] if digest is sha256_bytes else [F.sha2(ascii_lower(F.col("text")), 256).alias("text_sha256")]
+        names += index.flush(keyed(part, *sha))
+        index.compact(drop=False)
     found = index.lookup()
-    hits = found.filter("n > 1").select("digest", "keep_id")
-    hits_written = scratch.keep(hits, "hits")
-    sha = F.lower(F.hex("digest")) if digest is sha256_bytes else F.sha2(ascii_lower(F.col("text")), 256)
-    rows = keyed(docs) if digest is sha256_bytes else keyed(docs, F.col("text"))
-    rows = rows.withColumn("text_sha256", sha)
-    result = rows.join(found, "digest").select(
-        "doc_id", "keep_id", F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "digest"
-    )
-    wrong = scratch.keep(_unequal(keyed(docs, ascii_lower(F.col("text")).alias("body")), hits_written), "unequal")
+    hits = scratch.keep(found.filter("n > 1").select("digest", "keep_id"), "hits")
+    # The runs as flushed hold every row's digest, so texts are read again for the hits alone.
+    rows = index.read(names).drop("n").withColumnRenamed("keep_id", "doc_id")
+    if digest is sha256_bytes:
+        rows = rows.withColumn("text_sha256", F.lower(F.hex("digest")))
+    result = rows.join(found, "digest").withColumnsRenamed({"n": "group_size"}).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    result = result.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", "digest")
+    wrong = scratch.keep(_unequal(scratch, keyed(docs, ascii_lower(F.col("text")).alias("body")), hits), "unequal")
+    scratch.drop("members")
     if not wrong.isEmpty():
-        result = _settle(docs, digest, keep, result, wrong)
+        result = _settle(docs, digest, keep, result, wrong.distinct())
     return result.drop("digest")
 
 
-def _unequal(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests of which some row's text is not, byte by byte, that of the kept row."""
+def _unequal(scratch: Scratch, rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """Digests of which some row's text is not, byte by byte, that of the kept row; they may repeat."""
     if hits.count() <= BROADCAST_HITS:
         hits = F.broadcast(hits)
-    members = rows.join(hits, "digest")
+    members = scratch.keep(rows.join(hits, "digest"), "members")
     kept = members.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("body").alias("kept_body"))
-    return members.select("digest", "body").join(kept, "digest").filter("body <> kept_body").select("digest").distinct()
+    return members.select("digest", "body").join(kept, "digest").filter("body <> kept_body").select("digest")
 
 
 def _settle(docs: DataFrame, digest, keep: str, result: DataFrame, wrong: DataFrame) -> DataFrame:
