@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, simhash
-from .common import table
+from . import backoff_lm, chat_format, exact_dedup, simhash
+from .common import remainder, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (body)
 """
 
+def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held", remainder(F.col("doc_id"), 7) == 2)
+    return backoff_lm.score_documents(docs)
+
+
 #: A conversation whose texts look like the template's own control strings.
 PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -58,7 +63,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
+    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
