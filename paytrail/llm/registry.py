@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, chat_format, exact_dedup, simhash
+from . import backoff_lm, chat_format, exact_dedup, quality, simhash, toxicity
 from .common import remainder, table
 
 
@@ -28,6 +28,14 @@ def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score_documents(docs)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: A conversation whose texts look like the template's own control strings.
 PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -63,7 +71,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
+    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
