@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .textkernels import batches
 
-BUCKET_BITS = 18
+BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
 BATCH_BYTES = 6 << 20
 
-#: Texts to (text index, bucket) of each distinct feature that a text has, in order of texts.
+#: Texts to (text index, bucket) of the features that a text has, in any order, repeats included.
 Featurise = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray]]
 
 
@@ -40,7 +40,7 @@ Featurise = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray]]
 class Settings:
     rows: int = 24_000  # labelled documents at most
     features: int = 4096  # buckets at most
-    least_documents: int = 12  # in which a bucket must occur
+    least_documents: int = 6  # in which a bucket must occur
     least_chi2: float = 10.83  # 0.1 % for one degree of freedom
     factors: int = 8
     shards: int = 8
@@ -59,9 +59,9 @@ class Machine:
 
     def select(self, text: np.ndarray, bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Features in the machine, and the limits of each text's features among them."""
-        feature = self.slot[bucket]
-        known = feature >= 0
-        return feature[known], np.searchsorted(text[known], np.arange(n + 1))
+        known = self.slot[bucket] >= 0
+        text, bucket = distinct_pairs(text[known], bucket[known])
+        return self.slot[bucket], np.searchsorted(text, np.arange(n + 1))
 
     def margin(self, feature: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = self.factors[feature]
@@ -112,10 +112,14 @@ def segment_sums(values: np.ndarray, limits: np.ndarray) -> np.ndarray:
 
 
 def distinct_pairs(text: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.unique((text.astype(np.int64) << BUCKET_BITS) | bucket.astype(np.int64))
+    pairs = np.unique((text.astype(np.int64) << BUCKET_BITS) | bucket)
     return pairs >> BUCKET_BITS, pairs & (BUCKETS - 1)
 
 
+def to_buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, use: Settings) -> DataFrame:
     """(text, label): at most use.rows documents, equal texts once (with the greater label)."""
     one = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -130,7 +134,7 @@ def count_buckets(train: DataFrame, featurise: Featurise) -> DataFrame:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, n1 = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches(stream, "text", BATCH_BYTES):
-            text, bucket = featurise(batch["text"])
+            text, bucket = distinct_pairs(*featurise(batch["text"]))
             label = batch["label"].to_numpy().astype(bool)
             n += np.bincount(bucket, minlength=BUCKETS)
             n1 += np.bincount(bucket[label[text]], minlength=BUCKETS)

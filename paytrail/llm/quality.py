@@ -82,7 +82,7 @@ def features(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     bins = [np.searchsorted(limits, values, side="right") + 64 * k for k, (values, limits) in enumerate(found)]
     text = np.concatenate((words.owner(), np.tile(all_texts, len(bins))))
     key = np.concatenate((hashes, mix(np.concatenate(bins).astype(np.uint64) + np.uint64(1 << 40))))
-    return fm.distinct_pairs(text, key & np.uint64(fm.BUCKETS - 1))
+    return text, fm.to_buckets(key)
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: fm.Settings = SETTINGS) -> fm.Machine:

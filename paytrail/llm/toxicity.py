@@ -1,7 +1,8 @@
 """Toxicity by a factorisation machine over hashed terms.
 
-A term is a word without the ASCII punctuation around it, lower-cased, and its
-presence in the text is what counts, so one insult weighs the same in a text of
+Terms are the words, lower-cased and without the ASCII punctuation around them, and
+the first bytes of longer words, so that an insult is known in every inflection.  A
+term's presence in the text is what counts: one insult weighs the same in a text of
 any length.  The pair terms let an insult and a mention of a group add up to more
 than either, which linear weights can't say.
 
@@ -19,10 +20,12 @@ from pyspark.sql import functions as F
 
 from . import fm
 from .common import remainder
-from .textkernels import span_hashes, split_words
+from .textkernels import mix, span_hashes, split_words
 
 THRESHOLD = 0.3
 SETTINGS = fm.Settings()
+#: Bytes at the head of a longer word that are a term too.
+PREFIXES = (4, 5, 6)
 IS_PUNCTUATION = np.zeros(256, dtype=bool)
 IS_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
@@ -44,8 +47,14 @@ def terms(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     words = split_words(texts)
     starts, ends = trim(words.lowered, words.starts, words.ends)
     kept = ends > starts
-    hashes = span_hashes(words.lowered, starts[kept], ends[kept])
-    return fm.distinct_pairs(words.owner()[kept], hashes & np.uint64(fm.BUCKETS - 1))
+    starts, ends, owner = starts[kept], ends[kept], words.owner()[kept]
+    texts, buckets = [owner], [fm.to_buckets(span_hashes(words.lowered, starts, ends))]
+    for n in PREFIXES:
+        long = ends - starts > n
+        heads = span_hashes(words.lowered, starts[long], starts[long] + n)
+        texts.append(owner[long])
+        buckets.append(fm.to_buckets(mix(heads + np.uint64(n))))
+    return np.concatenate(texts), np.concatenate(buckets)
 
 
 def score(docs: DataFrame, labels: DataFrame, train: DataFrame | None = None, settings: fm.Settings = SETTINGS) -> DataFrame:
