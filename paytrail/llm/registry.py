@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, chat_format, exact_dedup, quality, simhash, toxicity
+from . import backoff_lm, chat_format, exact_dedup, quality, simhash, toxicity, warc
 from .common import remainder, table
 
 
@@ -32,6 +32,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("target_uri")
+
+
+# DuckDB's sha1() gives bare lower-case hex.
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+m AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest, max(page_id) OVER (PARTITION BY body) AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM m
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -71,8 +86,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
+    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op9_chat_format": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL}
