@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, chat_format, exact_dedup, quality, simhash, toxicity, warc
+from . import backoff_lm, chat_format, exact_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -23,6 +23,14 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (body)
 """
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held", remainder(F.col("doc_id"), 7) == 2)
     return backoff_lm.score_documents(docs)
@@ -86,7 +94,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
