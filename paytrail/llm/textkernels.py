@@ -98,7 +98,7 @@ def split_words(texts: pa.Array) -> Words:
     return Words(data, LOWER[data], limits, starts, ends, first)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 22) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """64-bit hash of data[start:end] for each span; spans are in order and don't overlap."""
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
