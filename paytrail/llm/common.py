@@ -70,3 +70,14 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows of (doc_id, key) that may be broadcast, about 40 bytes each.
+BROADCAST_GONE = 500_000
+
+
+def without(docs: DataFrame, gone: DataFrame, key: Column, scratch: Scratch) -> DataFrame:
+    """docs without the rows whose identifier and key are in gone (doc_id, key); all columns stay."""
+    listed = scratch.keep(gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone")
+    few = F.broadcast(listed) if listed.count() <= BROADCAST_GONE else listed
+    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (key == F.col("_gone_key")), "left_anti")

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower
+from .common import Scratch, ascii_lower, without
 
 #: Digests with copies that may be broadcast to find the rows to compare (32 bytes each).
 BROADCAST_HITS = 200_000
@@ -142,8 +142,16 @@ def _settle(docs: DataFrame, digest, keep: str, result: DataFrame, wrong: DataFr
 
 
 def drop_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """The rows of docs that stay, with all their columns in order."""
-    verdict = deduplicate(docs, keep).filter("not kept").select(F.col("doc_id").alias("_drop_id"), F.col("text_sha256").alias("_drop_sha")).distinct()
+    """The rows of docs that stay, with all their columns; of rows equal in identifier and text, one."""
+    scratch = Scratch(docs.sparkSession, "drop-copies")
+    verdict = scratch.keep(deduplicate(docs.select("doc_id", "text"), keep), "verdict")
     sha = F.sha2(ascii_lower(F.col("text")), 256)
-    gone = (F.col("_drop_id").eqNullSafe(docs["doc_id"])) & (F.col("_drop_sha") == sha)
-    return docs.join(verdict, gone, "left_anti")
+    rest = without(docs, verdict.filter("not kept").select("doc_id", F.col("text_sha256").alias("key")), sha, scratch)
+    ties = verdict.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", F.col("text_sha256").alias("key"))
+    ties = scratch.keep(ties, "ties")
+    if ties.isEmpty():
+        return rest
+    other = without(rest, ties, sha, Scratch(docs.sparkSession, "drop-copies"))
+    tied = rest.withColumn("_sha", sha)
+    tied = tied.join(ties.select(F.col("doc_id").alias("_tied_id"), F.col("key").alias("_tied_sha")), F.col("doc_id").eqNullSafe(F.col("_tied_id")) & (F.col("_sha") == F.col("_tied_sha")), "left_semi")
+    return other.unionByName(tied.dropDuplicates(["doc_id", "_sha"]).drop("_sha"))

@@ -90,9 +90,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: fm.Settings = SETTINGS) ->
     return fm.fit(docs.select("doc_id", "text"), labels, features, settings)
 
 
-def score(docs: DataFrame, machine: fm.Machine) -> DataFrame:
-    """docs with score and predicted."""
-    return fm.apply(docs, machine, features).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+def score(docs: DataFrame, machine: fm.Machine, name: str = "score", predicted: str = "predicted") -> DataFrame:
+    """docs with two more columns, the score and whether it reaches the threshold."""
+    return fm.apply(docs, machine, features, name).withColumn(predicted, (F.col(name) >= THRESHOLD).cast("int"))
 
 
 def learnable(labels: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, chat_format, exact_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
+import corpus_pipeline
+
+from . import backoff_lm, chat_format, decontamination, exact_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -55,6 +57,11 @@ FROM m
 """
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).drop("row")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -94,7 +101,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -30,12 +30,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, ascii_lower, without
 from .components import connected_components
-from .textkernels import LOWER, mix
+from .textkernels import LOWER, batches, gram_hashes, mix, split_words, word_hashes
 
 BITS = 64
 SEED = 42
@@ -301,3 +301,95 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataF
     moved = rooted.select("fp", "root").join(least, "root").select("fp", "least_id")
     named = scratch.keep(prints.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id")), "named")
     return found.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# -- near copies by verified similarity -----------------------------------------------------------
+
+#: Texts whose shingles may be found through a broadcast of their keys, 8 bytes each.
+BROADCAST_TEXTS = 500_000
+
+
+def text_node(text: Column) -> Column:
+    """64-bit key of the lower-cased text."""
+    return F.xxhash64(ascii_lower(text))
+
+
+def candidate_links(docs: DataFrame, scratch: Scratch, tables: int, distance: int) -> DataFrame:
+    """Links (a, b) between the keys of texts that some table of fingerprints has within distance.
+
+    Fingerprints are of the set of a text's words, which an edited word changes least;
+    texts of one fingerprint are linked to the least of them.
+    """
+    marked = docs.select(text_node(F.col("text")).alias("doc_id"), "text")
+    found = scratch.keep(fingerprints(marked, 1, True, tables), "fingerprints")
+    links = []
+    for k in range(tables):
+        own = found.select(F.col("doc_id").alias("node"), F.col("prints")[k].alias("fp"))
+        prints = scratch.keep(own.groupBy("fp").agg(F.min("node").alias("first"), F.max("node").alias("last")), f"prints{k}")
+        shared = prints.filter("first <> last")
+        links.append(own.join(shared, "fp").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
+        near = scratch.keep(linked(prints, distance), f"near{k}")
+        first = prints.select("fp", "first")
+        ends = near.join(first.withColumnsRenamed({"fp": "a", "first": "x"}), "a").join(first.withColumnsRenamed({"fp": "b", "first": "y"}), "b")
+        links.append(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    every = reduce(DataFrame.unionByName, links).filter("a <> b")
+    return scratch.keep(every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the distinct word shingles of each text as sorted 64-bit hashes; a shorter text is one."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream, "text", 4 << 20):
+            found = split_words(batch["text"])
+            hashes = word_hashes(found)
+            grams = gram_hashes(hashes, words)
+            sets = []
+            for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
+                own = grams[a : b - words + 1] if b - a >= words else gram_hashes(hashes[a:b], b - a) if b > a else grams[:0]
+                sets.append(np.unique(own).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["node"].combine_chunks(), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
+    """The links (a, b) whose texts have so great a Jaccard similarity of word shingles."""
+    nodes = scratch.keep(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), "nodes")
+    few = F.broadcast(nodes) if nodes.count() <= BROADCAST_TEXTS else nodes
+    texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(few, "node", "left_semi").dropDuplicates(["node"])
+    sets = scratch.keep(shingle_sets(texts, words), "sets")
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x, y = sets.withColumnsRenamed({"node": "a", "shingles": "x"}), sets.withColumnsRenamed({"node": "b", "shingles": "y"})
+    size = lambda c: F.octet_length(c)  # noqa: E731  # Jaccard is at most the smaller size by the larger
+    pairs = links.join(x, "a").join(y, "b").filter(F.least(size("x"), size("y")) >= similarity * F.greatest(size("x"), size("y")))
+    return scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+
+
+def near_copy_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 4, distance: int = 4) -> DataFrame:
+    """(doc_id, node, stays) of each row in a group of equal or similar texts; one row's document stays, that of the least identifier.
+
+    Texts are similar if the Jaccard similarity of their word shingles reaches
+    similarity; groups are connected by similar texts.
+    """
+    scratch = Scratch(docs.sparkSession, "near-copies")
+    links = similar_links(candidate_links(docs, scratch, tables, distance), docs, scratch, words, similarity)
+    roots = scratch.keep(connected_components(links, scratch), "roots")
+    rows = docs.select("doc_id", text_node(F.col("text")).alias("node")).join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("group"))
+    groups = rows.groupBy("group").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")).filter("n > 1")
+    return rows.join(groups, "group").select("doc_id", "node", F.col("doc_id").eqNullSafe(F.col("least_id")).alias("stays"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of docs that stay, with all their columns."""
+    gone = near_copy_groups(docs, words, similarity, tables, distance).filter("not stays").select("doc_id", F.col("node").alias("key"))
+    return without(docs, gone, text_node(docs["text"]), Scratch(docs.sparkSession, "drop-near-copies"))
