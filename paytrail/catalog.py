@@ -5,11 +5,212 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import oracle
+from .functions import secrets
+from .operators import contract, identity, lifecycle, merging, posting, revisions, settlement
+from .plans import marts
+from .sources import control, generator, sample
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+#: The key of the sample queries; real runs read theirs from a secret store.
+SAMPLE_KEY = b"sample-key-for-registered-queries-only"
+#: A date and a payment that every sample size has.
+TRACE_ID = "txn-1"
+TOUCHED_DATE = "1995-03-15"
+
+
+class Inputs:
+    """Frames of one query, made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def events(self) -> DataFrame:
+        return sample.payment_events(self.spark, self.sf_dir).drop("k", "seq", "custkey")
+
+    def assessed(self) -> DataFrame:
+        return lifecycle.assess(self.events())
+
+    def state(self) -> DataFrame:
+        return lifecycle.current_state(self.assessed())
+
+    def exceptions(self) -> DataFrame:
+        return lifecycle.business_exceptions(self.events(), self.assessed())
+
+    def posted(self) -> DataFrame:
+        return posting.postable(self.events(), self.assessed())
+
+    def ledger(self) -> DataFrame:
+        return posting.post(self.posted(), posting.rules_frame(self.spark))
+
+    def expected(self) -> DataFrame:
+        return settlement.expected(self.posted())
+
+    def evidence(self) -> DataFrame:
+        return sample.settlement_evidence(self.expected())
+
+    def compared(self) -> DataFrame:
+        return settlement.compare(self.expected(), self.evidence())
+
+    def settlement_exceptions(self) -> DataFrame:
+        return settlement.exceptions(self.compared())
+
+    def checked(self) -> DataFrame:
+        return contract.check(sample.raw_arrivals(self.spark, self.sf_dir), control.registry(self.spark), SAMPLE_KEY)
+
+    def outcomes(self) -> DataFrame:
+        """(ordinal, event_id, outcome, reason) of every arrival."""
+        checked = self.checked()
+        refused = checked.filter("reason IS NOT NULL").select("ordinal", "event_id", F.lit("QUARANTINED").alias("outcome"), "reason")
+        valid = checked.filter("reason IS NULL").drop("reason")
+        return refused.unionByName(identity.classify(valid).select("ordinal", "event_id", "outcome", "reason"))
+
+
+def _over(f: Callable[[Inputs], DataFrame]) -> Query:
+    return lambda spark, sf_dir: f(Inputs(spark, sf_dir))
+
+
+ASSESSED = (
+    "transaction_id n_events min_version max_version n_authorizations authorized_minor captured_minor refunded_minor chargeback_minor first_authorization first_capture first_reversal business_error"
+).split()
+
+
+def _window_form(i: Inputs) -> DataFrame:
+    return lifecycle.assess_by_window(i.events()).filter("state_rank = 1").select(*ASSESSED)
+
+
+def _registry_decisions(i: Inputs) -> DataFrame:
+    rows = [("2026-01-01", 2, "aa"), ("2026-01-02", 3, "bb"), ("2026-01-03", 1, "cc")]
+    new = [("2026-01-01", 3, "dd"), ("2026-01-01", 2, "aa"), ("2026-01-01", 2, "ee"), ("2026-01-02", 1, "ff"), ("2026-01-04", 1, "gg"), ("2026-01-03", 1, "cc")]
+    schema = "business_date string, revision int, sha256 string"
+    return revisions.decide(i.spark.createDataFrame(rows, schema), i.spark.createDataFrame(new, schema))
+
+
+def _halves(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """State of two overlapping sets of payments, the second with other statuses."""
+    state = i.state().select("transaction_id", "status", "captured_minor")
+    n = F.substring_index("transaction_id", "-", -1).cast("long")
+    return state.filter(n % 3 != 0), state.filter(n % 2 == 0).withColumn("status", F.concat(F.lit("NEW_"), "status"))
+
+
+def _overwritten(i: Inputs) -> DataFrame:
+    found = i.settlement_exceptions()
+    new = found.filter(F.dayofmonth("business_date") == 10).limit(0)
+    return merging.overwrite_where(found, new, F.dayofmonth("business_date") == 10)
+
+
+def _injected(i: Inputs) -> DataFrame:
+    """Ledger lines of which every seventh payment lost its second line."""
+    n = F.substring_index("transaction_id", "-", -1).cast("long")
+    return posting.unbalanced(i.ledger().filter(~((n % 7 == 0) & F.endswith("entry_id", F.lit(":2")))))
+
+
+def _cdc(i: Inputs) -> DataFrame:
+    rows = contract.unwrap(sample.cdc_arrivals(i.spark, i.sf_dir))
+    event_id = F.when(F.col("unwrap_reason").isNull(), F.try_variant_get("payload", "$.event_id", "string"))
+    return rows.select("ordinal", "unwrap_reason", event_id.alias("event_id"))
+
+
+def _broken_evidence(i: Inputs) -> DataFrame:
+    e = i.evidence()
+    day, third = F.dayofmonth("business_date"), F.col("processor_id") == "processor-03"
+    return e.withColumns(
+        {
+            "currency": F.when((day == 2) & third, None).when((day == 3) & third, "JPY").otherwise(F.col("currency")),
+            "amount_minor": F.when((day == 4) & third, None).otherwise(F.col("amount_minor")),
+            "schema_version": F.when((day == 5) & third, "2.0").otherwise(F.col("schema_version")),
+        }
+    )
+
+
+def _twice(i: Inputs) -> DataFrame:
+    e = i.evidence()
+    return e.unionByName(e.filter(F.dayofmonth("business_date") == 6))
+
+
+def _probe_payloads(i: Inputs) -> DataFrame:
+    n = F.col("ordinal") / 256
+    held = F.concat(F.lit('{"event_id":"e'), n.cast("long").cast("string"), F.lit('","note":"\\"pin\\": 1","list":[{"CVV":"1","deep":{"Card_Number":"4"}}],"customer_email":"A@b.c"}'))
+    return sample.raw_arrivals(i.spark, i.sf_dir).filter("ordinal % 256 = 0").select("ordinal", held.alias("value"))
+
+
+def _redactions(i: Inputs) -> DataFrame:
+    return _probe_payloads(i).select("ordinal", secrets.redacted("value").alias("payload"))
+
+
+def _prohibited(i: Inputs) -> DataFrame:
+    return _probe_payloads(i).select("ordinal", contract.prohibited(F.to_json(F.try_parse_json("value"))).alias("prohibited"))
+
+
+def _freshness(i: Inputs) -> DataFrame:
+    return marts.freshness(i.checked().filter("reason IS NULL")).select("source_id", F.col("latest_event").cast("timestamp_ntz").alias("latest_event"), F.col("latest_arrival").cast("timestamp_ntz").alias("latest_arrival"), "longest_lag_seconds")
+
+
+def _stream(i: Inputs) -> DataFrame:
+    from .streaming import gate
+
+    return gate.replay(i.spark, sample.raw_arrivals(i.spark, i.sf_dir), control.registry(i.spark), SAMPLE_KEY)
+
+
+QUERIES: dict[str, Query] = {
+    "payment_events_adapter": _over(lambda i: i.events()),
+    "accepted_typed_projection": _over(lambda i: i.checked().filter("reason IS NULL").select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("event_time", "received_at") else c for c in contract.EVENT_COLUMNS if c != "customer_token"])),
+    "contract_reason_histogram": _over(lambda i: i.checked().groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))),
+    "identity_outcomes": _over(lambda i: i.outcomes().select("ordinal", "outcome", "reason")),
+    "outcome_histogram": _over(lambda i: identity.histogram(i.outcomes())),
+    "raw_conservation": _over(lambda i: identity.conservation(i.outcomes())),
+    "customer_token_hmac": _over(lambda i: i.checked().filter("reason IS NULL").select("ordinal", "customer_token")),
+    "identity_fingerprint": _over(lambda i: i.checked().filter("reason IS NULL").select("ordinal", "fingerprint")),
+    "redacted_payloads": _over(_redactions),
+    "prohibited_key_scan": _over(_prohibited),
+    "cdc_unwrap": _over(_cdc),
+    "source_registry_expand": _over(lambda i: control.registry(i.spark)),
+    "posting_rules": _over(lambda i: posting.rules_frame(i.spark)),
+    "txn_assessment": _over(lambda i: i.assessed().select(*ASSESSED)),
+    "txn_assessment_window_form": _over(_window_form),
+    "business_exceptions": _over(lambda i: i.exceptions()),
+    "payment_state_current": _over(lambda i: i.state()),
+    "payment_state_status_counts": _over(lambda i: i.state().groupBy("status").agg(F.count("*").alias("n"))),
+    "business_error_counts": _over(lambda i: i.assessed().filter("business_error IS NOT NULL").groupBy("business_error").agg(F.count("*").alias("n"))),
+    "touched_history": _over(lambda i: lifecycle.touched_history(i.events(), TOUCHED_DATE)),
+    "posted_events": _over(lambda i: i.posted()),
+    "ledger_lines": _over(lambda i: i.ledger()),
+    "ledger_balance_check": _over(lambda i: posting.unbalanced(i.ledger())),
+    "ledger_unbalanced_injected": _over(_injected),
+    "account_trial_balance": _over(lambda i: marts.trial_balance(i.ledger())),
+    "fct_ledger_daily": _over(lambda i: marts.ledger_daily(i.ledger(), i.exceptions())),
+    "dim_payment_current": _over(lambda i: marts.payment_current(i.state(), i.exceptions())),
+    "fct_settlement_exception": _over(lambda i: marts.settlement_exceptions(i.settlement_exceptions())),
+    "expected_settlement": _over(lambda i: i.expected()),
+    "settlement_reconciliation": _over(lambda i: i.compared()),
+    "settlement_gate_summary": _over(lambda i: settlement.gate(i.settlement_exceptions())),
+    "settlement_contract_violations": _over(lambda i: settlement.violations(_broken_evidence(i))),
+    "settlement_duplicate_keys": _over(lambda i: settlement.duplicate_keys(_twice(i))),
+    "manifest_control_totals": _over(lambda i: settlement.control_totals(i.evidence())),
+    "revision_registry_decision": _over(_registry_decisions),
+    "merge_insert_only": _over(lambda i: merging.insert_only(*_halves(i), ["transaction_id"])),
+    "merge_upsert": _over(lambda i: merging.upsert(*_halves(i), ["transaction_id"])),
+    "overwrite_where": _over(_overwritten),
+    "audit_settlement_ranked": _over(lambda i: marts.settlement_ranked(i.settlement_exceptions(), "1995-03-05")),
+    "audit_payment_trace": _over(lambda i: marts.payment_trace(i.events(), TRACE_ID)),
+    "dq_unique": _over(lambda i: marts.repeated(i.ledger(), "entry_id")),
+    "dq_not_null": _over(lambda i: marts.null_counts(i.ledger(), "entry_id", "event_id", "transaction_id", "signed_minor")),
+    "dq_accepted_values": _over(lambda i: marts.outside_domain(i.state())),
+    "dq_relationships": _over(lambda i: marts.orphans(i.ledger(), i.events())),
+    "dq_no_invalid_current": _over(lambda i: marts.invalid_in_current(marts.payment_current(i.state(), i.exceptions()), i.exceptions())),
+    "dq_no_zero_delta": _over(lambda i: i.settlement_exceptions().filter("delta_minor = 0")),
+    "freshness_lag": _over(_freshness),
+    "state_hash": _over(lambda i: marts.state_hash(i.state())),
+    "stream_identity_gate": _over(_stream),
+    "generated_lifecycle": _over(lambda i: generator.valid_events(i.spark, 5_000)),
+}
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
