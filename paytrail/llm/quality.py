@@ -49,8 +49,8 @@ def statistics(words: Words, hashes: np.ndarray) -> list[tuple[np.ndarray, np.nd
     n = np.diff(words.first)
     kinds = np.zeros(words.n_texts)
     if len(hashes):
-        pairs = np.unique(np.stack((owner.astype(np.uint64), hashes), axis=1).view([("o", np.uint64), ("h", np.uint64)]))
-        kinds = np.bincount(pairs["o"].astype(np.int64), minlength=words.n_texts)
+        pairs = np.unique((owner.astype(np.uint64) << np.uint64(40)) | (hashes >> np.uint64(24)))
+        kinds = np.bincount((pairs >> np.uint64(40)).astype(np.int64), minlength=words.n_texts)
     letters = ((data | 32) >= 97) & ((data | 32) <= 122)
     capital = (data >= 65) & (data <= 90)
     digit = (data >= 48) & (data <= 57)
