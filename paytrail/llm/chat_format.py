@@ -8,7 +8,7 @@ Grammar of the rendered text::
     control      := "### " | "</turn>"
 
 A source text conflicts when the parser, reading it rendered as it is, doesn't
-give it back.  Such a text is escaped: each control string, with the backslashes
+give it back; a body with a control string that has no backslash is none to the parser.  Such a text is escaped: each control string, with the backslashes
 right before it, gets one more backslash, which the parser takes away.  The
 rendered turn is parsed again and compared with the source, until identical; a
 turn that still differed would stop the job.
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 ROLES = ("user", "assistant", "system", "tool")
 CLOSE = "</turn>"
 CONTROL = r"(### |</turn>)"
+BARE_CONTROL = r"(?<!\\)" + CONTROL
 #: What a role name may not hold as it is, and how it is written.
 ROLE_ESCAPES = (("%", "%25"), (":", "%3A"), ("#", "%23"), ("<", "%3C"), ("\n", "%0A"), ("\r", "%0D"))
 
@@ -61,22 +62,23 @@ def render(role: Column, body: Column) -> Column:
 
 
 def parse(rendered: Column) -> Column:
-    """array<struct<role, text>> of a rendered conversation."""
+    """array<struct<role, text>> of a rendered conversation; text is null for a body that the grammar doesn't allow."""
     pieces = F.split(rendered, r"(?<!\\)" + CLOSE + "\n")
     pieces = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
     name_ends = lambda p: F.locate(": ", p)
+    body = lambda p: F.substring(p, name_ends(p) + 2, F.length(p) - name_ends(p) - 2)
     return F.transform(
         pieces,
         lambda p: F.struct(
             role_of(F.substring(p, F.lit(5), name_ends(p) - 5)).alias("role"),
-            unescape(F.substring(p, name_ends(p) + 2, F.length(p) - name_ends(p) - 2)).alias("text"),
+            F.when(~F.rlike(body(p), F.lit(BARE_CONTROL)), unescape(body(p))).alias("text"),
         ),
     )
 
 
 def _same(rendered: Column, role: Column, text: Column) -> Column:
     turns = parse(rendered)
-    return (F.size(turns) == 1) & (turns[0]["role"] == role) & (turns[0]["text"] == text)
+    return F.coalesce((F.size(turns) == 1) & (turns[0]["role"] == role) & (turns[0]["text"] == text), F.lit(False))
 
 
 def render_turns(rows: DataFrame) -> DataFrame:

@@ -139,6 +139,7 @@ def _choose(n: int, k: int) -> int:
 def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
     """The cheapest plan for n distinct fingerprints, by estimated probes and candidates."""
     best: Plan | None = None
+    n = max(n, 2)  # for fewer, all plans would cost nothing
     pairs = max(len(sample) * (len(sample) - 1) // 2, 1)
     apart = np.triu_indices(len(sample), 1)
     for m in range(1, min(distance + 1, 6) + 1):
