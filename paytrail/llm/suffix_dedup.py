@@ -180,7 +180,7 @@ def compare_sorted(rows: DataFrame, by: str, scratch: Scratch) -> DataFrame:
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held, first = None, True
+        held, n_rows = None, 0
 
         def edge(table: pa.Table, seq: int) -> pa.Table:
             n = table.num_rows
@@ -191,9 +191,9 @@ def compare_sorted(rows: DataFrame, by: str, scratch: Scratch) -> DataFrame:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            if first:
-                yield from edge(table.slice(0, NEAR), 0).to_batches()
-                first = False
+            if n_rows < NEAR:
+                yield from edge(table.slice(0, NEAR - n_rows), n_rows).to_batches()
+            n_rows += batch.num_rows
             table = pa.concat_tables([held, table]) if held is not None else table
             found = Rows(table).matches()
             n = found.num_rows
@@ -201,7 +201,8 @@ def compare_sorted(rows: DataFrame, by: str, scratch: Scratch) -> DataFrame:
             yield from pa.table({**{c: found[c] for c in ("class", "l", "r")}, **blank}).to_batches()
             held = table.slice(max(table.num_rows - NEAR, 0))
         if held is not None:
-            yield from edge(held, NEAR).to_batches()
+            fresh = min(held.num_rows, max(n_rows - NEAR, 0))  # rows that are not among the first
+            yield from edge(held.slice(held.num_rows - fresh), n_rows - fresh).to_batches()
 
     def compare_edges(group: pa.Table) -> pa.Table:
         return Rows(group.sort_by([("part", "ascending"), ("seq", "ascending")])).matches()
