@@ -1,7 +1,7 @@
 """Toxicity by a factorisation machine over hashed terms.
 
 Terms are the words, lower-cased and without the ASCII punctuation around them, and
-the first bytes of longer words, so that an insult is known in every inflection.  A
+the first bytes of words, so that an insult is known in every inflection.  A
 term's presence in the text is what counts: one insult weighs the same in a text of
 any length.  The pair terms let an insult and a mention of a group add up to more
 than either, which linear weights can't say.
@@ -24,7 +24,7 @@ from .textkernels import mix, span_hashes, split_words
 
 THRESHOLD = 0.3
 SETTINGS = fm.Settings()
-#: Bytes at the head of a longer word that are a term too.
+#: Bytes at the head of a word that are a term too.
 PREFIXES = (4, 5, 6)
 IS_PUNCTUATION = np.zeros(256, dtype=bool)
 IS_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -50,7 +50,7 @@ def terms(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, owner = starts[kept], ends[kept], words.owner()[kept]
     texts, buckets = [owner], [fm.to_buckets(span_hashes(words.lowered, starts, ends))]
     for n in PREFIXES:
-        long = ends - starts > n
+        long = ends - starts >= n
         heads = span_hashes(words.lowered, starts[long], starts[long] + n)
         texts.append(owner[long])
         buckets.append(fm.to_buckets(mix(heads + np.uint64(n))))

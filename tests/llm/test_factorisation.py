@@ -11,7 +11,7 @@ from paytrail.llm import fm, quality, toxicity
 
 from .texts import DOCS, prose
 
-SMALL = fm.Settings(rounds=12, least_documents=5, shards=2, least_chi2=4.0)
+SMALL = fm.Settings(rounds=12, least_documents=5, shards=2, least_chi2=4.0, batch=8)
 LABELS = "doc_id long, label int"
 
 
@@ -48,7 +48,7 @@ def planted(n=400):
         text = prose(40 + i % 60, 5_000 + i)
         if bad:
             w = text.split(" ")
-            w[random.Random(i).randrange(len(w))] = "Zorgl" + ["", "ing!", "est,", "ov."][i // 5 % 4]
+            w[random.Random(i).randrange(len(w))] = "Zorgl" + ["", "ing!", "est,", "ov."][i // 25 % 4]
             text = " ".join(w)
         rows.append((i, text))
         labels.append((i, int(bad)))
