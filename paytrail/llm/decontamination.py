@@ -61,6 +61,15 @@ UNIT_HASHES = _hashes_of(UNITS)
 LONGEST_UNIT = max(map(len, UNITS))
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes, A-Z lower already, with the capitals from U+00C0 to U+00DE lower-cased too."""
+    at = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital = at[(data[at] >= 0x80) & (data[at] <= 0x9E) & (data[at] != 0x97)]
+    out = data.copy()
+    out[capital] += 0x20
+    return out
+
+
 class Templates:
     """Template tokens of a batch: codes with and without name placeholders, slots and limits of the texts."""
 
@@ -69,6 +78,7 @@ class Templates:
         starts, ends = trim(words.lowered, words.starts, words.ends)
         kept = np.flatnonzero(ends > starts)
         self.data = words.data
+        words.lowered = lower_latin(words.lowered)
         self.starts, self.ends = starts[kept], ends[kept]
         self.first = np.searchsorted(kept, words.first)
         hashes = span_hashes(words.lowered, self.starts, self.ends) | np.uint64(4)  # never a placeholder
