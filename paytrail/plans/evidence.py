@@ -62,24 +62,43 @@ def _small(spark: SparkSession, rows: list[tuple[str, int, str, int]]) -> DataFr
     return spark.createDataFrame(made, schema).withColumns({"event_time": at, "received_at": at})
 
 
+def write_lines(spark: SparkSession, folder: str, least_records: int) -> str:
+    """Generated arrivals as one file of JSON lines, in order; its path."""
+    path = f"{folder}/arrivals"
+    generator.arrivals(spark, least_records).orderBy("ordinal").select("value").coalesce(1).write.mode("overwrite").text(path)
+    return next(p for p in spark.read.text(path).inputFiles() if "/part-" in p)
+
+
+def load_twice(spark: SparkSession, store: TableStore, lines: DataFrame, registry: DataFrame, key: bytes) -> tuple[float, float]:
+    """Seconds to take the arrivals in, and to take them in again in another order."""
+    taken = []
+    for name, rows in (("initial", lines), ("replay", lines.withColumn("ordinal", -F.col("ordinal")))):
+        began = time.time()
+        workflow.process(store, rows, registry, key, name)
+        taken.append(time.time() - began)
+    return taken[0], taken[1]
+
+
+def measure(spark: SparkSession, folder: str, profile: str, key: bytes = b"key of measured runs, of 32 bytes") -> dict:
+    """Times of the two loads of a profile, after one small load that starts the machine."""
+    registry = control.registry(spark)
+    warm = arrivals.read_lines(spark, write_lines(spark, f"{folder}/warm", 500))
+    load_twice(spark, TableStore(spark, f"{folder}/warm-tables"), warm, registry, key)
+    lines = arrivals.read_lines(spark, write_lines(spark, folder, PROFILES[profile]))
+    elapsed, replayed = load_twice(spark, TableStore(spark, f"{folder}/tables"), lines, registry, key)
+    return {"elapsed_seconds": round(elapsed, 3), "replay_seconds": round(replayed, 3), "records_per_second": round(lines.count() / elapsed, 1)}
+
+
 def run(spark: SparkSession, profile: str, folder: str, key: bytes, least_records: int | None = None) -> dict:
     """Generates, takes in, replays and settles; runs every scenario; writes summary.json and report.html."""
     files, store = Files(spark), TableStore(spark, f"{folder}/tables")
-    registry = control.registry(spark).persist()
-    path = f"{folder}/arrivals"
-    generated = generator.arrivals(spark, least_records or PROFILES[profile])
-    generated.orderBy("ordinal").select("value").coalesce(1).write.mode("overwrite").text(path)
-    name = next(p for p in spark.read.text(path).inputFiles() if "/part-" in p)
+    registry = control.registry(spark)
+    name = write_lines(spark, folder, least_records or PROFILES[profile])
     listed = manifest.build(spark, name)
     manifest.verify(spark, listed, name)
     lines = arrivals.read_lines(spark, name)
-    began = time.time()
-    workflow.process(store, lines, registry, key, "initial")
-    elapsed = time.time() - began
-    first = summarise(store, "initial")
-    began = time.time()
-    workflow.process(store, lines.withColumn("ordinal", -F.col("ordinal")), registry, key, "replay")
-    replayed, second = time.time() - began, summarise(store, "replay")
+    elapsed, replayed = load_twice(spark, store, lines, registry, key)
+    first, second = summarise(store, "initial"), summarise(store, "replay")
     scenarios = _scenarios(spark, store, folder, lines, registry, key, listed, name, first, second)
     summary = {
         "classification": "SYNTHETIC",
