@@ -47,11 +47,6 @@ def escape_non_ascii(text: Column) -> Column:
     return F.when(plain, text).otherwise(F.array_join(each, ""))
 
 
-def key_names(canonical: Column) -> Column:
-    """Candidate object keys anywhere in JSON text, lower-cased; text within strings may add some."""
-    return F.transform(F.regexp_extract_all(canonical, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), 1), F.lower)
-
-
 def _found(value, names: frozenset[str]) -> set[str]:
     own: set[str] = set()
     stack = [value]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.secrets import confirmed_prohibited, customer_token, escape_non_ascii, key_names, redacted, stripped
+from ..functions.secrets import confirmed_prohibited, customer_token, escape_non_ascii, redacted, stripped
 from ..functions.times import instant, time_reason
 from ..vocabulary import (
     CURRENCIES,
@@ -35,16 +35,23 @@ def _field(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
 
 
-def _text(v: Column, name: str) -> Column:
+FIELDS = (*REQUIRED_FIELDS, OPTIONAL_FIELD)
+
+
+def extracted(payload: Column) -> dict[str, Column]:
+    """Kind and text of every contract field; taken out once, since rules look at them again and again."""
+    kinds = {f"_kind_{name}": _kind(_field(payload, f"$.{name}")) for name in FIELDS}
+    return kinds | {f"_raw_{name}": F.try_variant_get(payload, f"$.{name}", "string") for name in FIELDS}
+
+
+def _text(name: str) -> Column:
     """A field that is a string, else null."""
-    part = _field(v, f"$.{name}")
-    return F.when(_kind(part) == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
+    return F.when(F.col(f"_kind_{name}") == "STRING", F.col(f"_raw_{name}"))
 
 
-def _integer(v: Column, name: str) -> Column:
+def _integer(name: str) -> Column:
     """A field that is a whole number of at most 64 bits, else null."""
-    part = _field(v, f"$.{name}")
-    return F.when(_kind(part) == "BIGINT", F.try_variant_get(v, f"$.{name}", "bigint"))
+    return F.when(F.col(f"_kind_{name}") == "BIGINT", F.col(f"_raw_{name}").cast("long"))
 
 
 def is_object(v: Column) -> Column:
@@ -62,11 +69,12 @@ def unwrap(arrivals: DataFrame, column: str = "value") -> DataFrame:
     meta, data = _field(v, "$.metadata"), _field(v, "$.data")
     # A JSON null counts as absent.
     absent = lambda x: F.coalesce(_kind(x), F.lit("VOID")) == "VOID"
-    enveloped = is_object(v) & ~(absent(meta) & absent(data))
+    an_object = F.col(column).rlike(r"\A\s*\{")  # of a text that parses
+    enveloped = an_object & ~(absent(meta) & absent(data))
     table, operation = (F.try_variant_get(v, f"$.metadata['{k}']", "string") for k in ("table-name", "operation"))
     reason = (
         F.when(v.isNull(), "invalid_json")
-        .when(~is_object(v), "non_object_event")
+        .when(~an_object, "non_object_event")
         .when(~enveloped, None)
         .when(~(is_object(meta) & is_object(data)), "invalid_cdc_envelope")
         .when(F.coalesce(table != OUTBOX_TABLE, F.lit(True)), "unsupported_cdc_table")
@@ -77,45 +85,52 @@ def unwrap(arrivals: DataFrame, column: str = "value") -> DataFrame:
 
 def prohibited(canonical: Column) -> Column:
     """Sorted, comma-joined prohibited keys at any depth, or null.  Text search finds suspects, a parse confirms them."""
-    suspect = F.arrays_overlap(key_names(canonical), F.array(*map(F.lit, PROHIBITED_FIELDS)))
+    suspect = canonical.rlike(r'(?iu)"(?:' + "|".join(PROHIBITED_FIELDS) + r')"\s*:')
     return confirmed_prohibited(F.when(suspect, canonical))
 
 
-def fingerprint(payload: Column, canonical: Column) -> Column:
-    """SHA-256 of the identity fields that are present, keys in order, non-ASCII escaped; received_at is no part of it."""
-    keys = F.json_object_keys(canonical)
+def fingerprint(keys: Column) -> Column:
+    """SHA-256 of the identity fields that are present, in order, of a row that keeps the contract.
+
+    Its texts but the address are plain ASCII without quotes, by their rules, so they are
+    JSON as they are.  received_at is no part of the identity; an address that is null is.
+    """
     parts = []
-    for name in sorted({*REQUIRED_FIELDS, OPTIONAL_FIELD} - {"received_at"}):
-        value = F.to_json(_field(payload, f"$.{name}"))
+    for name in sorted({*FIELDS} - {"received_at"}):
+        raw = F.col(f"_raw_{name}")
         if name == OPTIONAL_FIELD:
-            text = _text(payload, name)
-            value = F.when(text.isNotNull(), F.regexp_extract(F.to_json(F.struct(F.lower(stripped(text)).alias("x"))), r"(?s)\A\{\"x\":(.*)\}\z", 1)).otherwise(value)
-        parts.append(F.when(F.array_contains(keys, name), F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null")))))
-    return F.sha2(escape_non_ascii(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))), 256)
+            quoted = F.regexp_extract(F.to_json(F.struct(F.lower(stripped(raw)).alias("x"))), r"(?s)\A\{\"x\":(.*)\}\z", 1)
+            value = F.when(raw.isNotNull(), escape_non_ascii(quoted)).otherwise("null")
+            parts.append(F.when(F.array_contains(keys, name), F.concat(F.lit(f'"{name}":'), value)))
+        elif name in ("amount_minor", "transaction_version"):
+            parts.append(F.concat(F.lit(f'"{name}":'), raw))
+        else:
+            parts.append(F.concat(F.lit(f'"{name}":"'), raw, F.lit('"')))
+    return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")), 256)
 
 
-def _reasons(v: Column, keys: Column, with_key: bool) -> list[Column]:
+def _reasons(keys: Column, with_key: bool) -> list[Column]:
     """Reasons in their order; each is null if its rule is kept."""
     listed = lambda names: F.array(*map(F.lit, names))
     joined = lambda xs: F.array_join(F.array_sort(xs), ",")
     missing = F.array_except(listed(REQUIRED_FIELDS), keys)
     unexpected = F.array_except(keys, listed((*REQUIRED_FIELDS, OPTIONAL_FIELD)))
     fails = lambda kept, reason: F.when(~F.coalesce(kept, F.lit(False)), F.lit(reason))
-    email, email_kind = _text(v, OPTIONAL_FIELD), _kind(_field(v, f"$.{OPTIONAL_FIELD}"))
-    no_email = F.coalesce(email_kind, F.lit("VOID")) == "VOID"
+    email = _text(OPTIONAL_FIELD)
+    no_email = F.coalesce(F.col(f"_kind_{OPTIONAL_FIELD}"), F.lit("VOID")) == "VOID"
     return [
         F.when(F.col("_prohibited").isNotNull(), F.concat(F.lit("prohibited_fields:"), F.col("_prohibited"))),
         F.when(F.size(missing) > 0, F.concat(F.lit("missing_fields:"), joined(missing))),
         F.when(F.size(unexpected) > 0, F.concat(F.lit("unexpected_fields:"), joined(unexpected))),
-        fails(_text(v, "schema_version") == SCHEMA_VERSION, "unsupported_schema_version"),
-        *(fails(_text(v, name).rlike(IDENTIFIER_PATTERN), f"invalid_{name}") for name in IDENTIFIERS),
+        fails(_text("schema_version") == SCHEMA_VERSION, "unsupported_schema_version"),
+        *(fails(_text(name).rlike(IDENTIFIER_PATTERN), f"invalid_{name}") for name in IDENTIFIERS),
         F.when(F.col("_contract").isNull(), "unknown_source"),
         fails(F.col("_contract") == "payment_event", "source_contract_mismatch"),
-        fails(_integer(v, "transaction_version") >= 1, "invalid_transaction_version"),
-        fails(_text(v, "event_type").isin(*EVENT_TYPES), "unsupported_event_type"),
-        fails(_integer(v, "amount_minor") > 0, "invalid_amount_minor"),
-        fails(_text(v, "currency").isin(*CURRENCIES), "unsupported_currency"),
-        *(time_reason(_text(v, name), name) for name in ("event_time", "received_at")),
+        fails(_integer("transaction_version") >= 1, "invalid_transaction_version"),
+        fails(_text("event_type").isin(*EVENT_TYPES), "unsupported_event_type"),
+        fails(_integer("amount_minor") > 0, "invalid_amount_minor"),
+        fails(_text("currency").isin(*CURRENCIES), "unsupported_currency"),
+        *(time_reason(_text(name), name) for name in ("event_time", "received_at")),
         fails(no_email | email.contains("@"), "invalid_customer_email"),
         *([] if with_key else [F.when(~no_email, "token_key_too_short")]),
     ]
@@ -129,18 +144,16 @@ def check(arrivals: DataFrame, registry: DataFrame, key: bytes, column: str = "v
     """
     contracts = registry.select(F.col("source_id").alias("_source"), F.col("contract").alias("_contract"))
     unwrapped = unwrap(arrivals, column).withColumn("_canonical", F.when(F.col("unwrap_reason").isNull(), F.to_json("payload")))
-    v, canonical = F.col("payload"), F.col("_canonical")
-    keyed = unwrapped.withColumns({"_prohibited": prohibited(canonical), "_source_id": _text(v, "source_id")})
-    joined = keyed.join(F.broadcast(contracts), F.col("_source_id") == F.col("_source"), "left")
-    reason = F.coalesce(F.col("unwrap_reason"), *_reasons(v, F.json_object_keys(canonical), len(key) >= 32))
-    judged = joined.withColumn("reason", reason)
+    canonical = F.col("_canonical")
+    keyed = unwrapped.withColumns({"_prohibited": prohibited(canonical), "_keys": F.json_object_keys(canonical), **extracted(F.when(F.col("unwrap_reason").isNull(), F.col("payload")))})
+    joined = keyed.join(F.broadcast(contracts), _text("source_id") == F.col("_source"), "left")
+    judged = joined.withColumn("reason", F.coalesce(F.col("unwrap_reason"), *_reasons(F.col("_keys"), len(key) >= 32)))
     ok = F.col("reason").isNull()
-    email = _text(v, OPTIONAL_FIELD)
-    typed = {name: F.when(ok, _text(v, name)) for name in (*IDENTIFIERS, "event_type", "currency")}
-    typed |= {name: F.when(ok, _integer(v, name)) for name in ("transaction_version", "amount_minor")}
-    typed |= {name: F.when(ok, instant(_text(v, name))) for name in ("event_time", "received_at")}
-    typed["customer_token"] = F.when(ok, customer_token(email, key)) if len(key) >= 32 else F.lit(None).cast("string")
-    typed["fingerprint"] = F.when(ok, fingerprint(v, canonical))
+    typed = {name: F.when(ok, _text(name)) for name in (*IDENTIFIERS, "event_type", "currency")}
+    typed |= {name: F.when(ok, _integer(name)) for name in ("transaction_version", "amount_minor")}
+    typed |= {name: F.when(ok, instant(_text(name))) for name in ("event_time", "received_at")}
+    typed["customer_token"] = F.when(ok, customer_token(_text(OPTIONAL_FIELD), key)) if len(key) >= 32 else F.lit(None).cast("string")
+    typed["fingerprint"] = F.when(ok, fingerprint(F.col("_keys")))
     return judged.withColumns(typed).select(*arrivals.columns, "reason", *EVENT_COLUMNS, "fingerprint")
 
 
