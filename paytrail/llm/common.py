@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = conf.get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not (conf.get("spark.master") or "").startswith("local["):
+    master = conf.get("spark.master") or ""
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     global _own
     _own = _own or "file://" + tempfile.mkdtemp(prefix="paytrail-")

@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 LEAST_REVISIT_BYTES = 1000
+#: Digests of repeated payloads that may be broadcast, 40 bytes each.
+BROADCAST_DIGESTS = 200_000
 ARCHIVE_BYTES = 64 << 20
 PIECE = 1 << 16
 LEVEL = 3
@@ -48,15 +50,19 @@ def sha1_label(digest: bytes) -> str:
     return "sha1:" + base64.b32encode(digest).decode()
 
 
-def with_roles(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
-    """pages (page_id, url, html) as page_id, url, payload, record_type and refers_to."""
+def with_roles(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
+    """pages (page_id, url, html) as page_id, url, payload, record_type and refers_to.
+
+    Digests of payloads that occur again are written as a table; while they are few,
+    they go to the pages, so that payloads needn't be shuffled.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.unhex(F.sha2("payload", 256)), "size": F.octet_length("payload")})
     large = rows.filter(F.col("size") >= least_bytes).select("page_id", "digest")
-    # Only payloads that occur again are joined, so the pages themselves needn't move for it.
     repeated = large.groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n")).filter("n > 1").select("digest", "response_id")
-    marked = rows.join(repeated, "digest", "left")
+    repeated = scratch.keep(repeated, "repeated")
+    marked = rows.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_DIGESTS else repeated, "digest", "left")
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     return marked.select("page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("response_id")).alias("refers_to"))
 
@@ -223,6 +229,6 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Writes pages as archives in the shared folder and reads all of their records back."""
     scratch = Scratch(spark, "warc")
     folder = scratch.at("archives")
-    written = scratch.keep(write_archives(with_roles(pages), folder), "listing")
+    written = scratch.keep(write_archives(with_roles(pages, scratch), folder), "listing")
     n = max(1, written.count())
     return read_archives(written.repartition(n), folder)

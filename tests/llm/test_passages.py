@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paytrail.llm import decontamination, packing, suffix_dedup, warc
+from paytrail.llm.common import Scratch
 
 from .texts import DOCS, corpus, prose, words
 
@@ -147,7 +148,7 @@ def test_archives_give_back_every_page(spark):
 
 
 def test_archives_rotate_and_an_empty_table_has_none(spark, tmp_path):
-    rows = warc.with_roles(spark.createDataFrame(pages(), PAGE)).coalesce(1)
+    rows = warc.with_roles(spark.createDataFrame(pages(), PAGE), Scratch(spark, "test")).coalesce(1)
     listing = warc.write_archives(rows, f"file://{tmp_path}", most_bytes=2_000).collect()
     assert len(listing) > 3 and sum(r["n_records"] for r in listing) == len(pages())
     assert warc.round_trip(spark, spark.createDataFrame([], PAGE)).count() == 0
