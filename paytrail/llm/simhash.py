@@ -354,12 +354,17 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
-def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
-    """The links (a, b) whose texts have so great a Jaccard similarity of word shingles."""
-    nodes = scratch.keep(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), "nodes")
+def text_sets(nodes: DataFrame, docs: DataFrame, scratch: Scratch, words: int, name: str) -> DataFrame:
+    """shingle_sets() of the texts whose keys are in nodes."""
     few = F.broadcast(nodes) if nodes.count() <= BROADCAST_TEXTS else nodes
     texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(few, "node", "left_semi").dropDuplicates(["node"])
-    sets = scratch.keep(shingle_sets(texts, words), "sets")
+    return scratch.keep(shingle_sets(texts, words), name)
+
+
+def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: int, similarity: float, name: str = "links") -> DataFrame:
+    """The links (a, b) whose texts have so great a Jaccard similarity of word shingles."""
+    nodes = scratch.keep(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), f"{name}-nodes")
+    sets = text_sets(nodes, docs, scratch, words, f"{name}-sets")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -373,18 +378,207 @@ def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: in
     x, y = sets.withColumnsRenamed({"node": "a", "shingles": "x"}), sets.withColumnsRenamed({"node": "b", "shingles": "y"})
     size = lambda c: F.octet_length(c)  # noqa: E731  # Jaccard is at most the smaller size by the larger
     pairs = links.join(x, "a").join(y, "b").filter(F.least(size("x"), size("y")) >= similarity * F.greatest(size("x"), size("y")))
-    return scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    return scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), name)
+
+
+# -- the links that no fingerprint tells of -----------------------------------------------------
+
+#: Texts that the order of shingles looks at, and the shingles of them that are put last at most.
+ORDER_TEXTS, LAST_SHINGLES = 16_384, 500_000
+#: Lists with at most so many texts are compared pair by pair, longer ones in blocks of texts.
+SHORT_LIST, BLOCK_TEXTS = 32, 2_048
+
+
+def frequent_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, counts) of the shingles that several of a bounded sample of texts hold."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            held = [np.frombuffer(s.as_py(), np.uint64) for s in batch.column("shingles")]
+            keys, often = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(often)], names=["key", "n"])
+
+    sample = texts.filter(F.pmod(F.xxhash64("node"), F.lit(n // ORDER_TEXTS + 1)) == 0)
+    counts = shingle_sets(sample, words).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 2")
+    rows = counts.orderBy(F.desc("n"), "key").limit(LAST_SHINGLES).toArrow()
+    keys, often = (rows[c].to_numpy() for c in ("key", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    return keys.view(np.uint64)[order], often[order]
+
+
+def prefix_rows(texts: DataFrame, words: int, similarity: float, last: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, node, n, moved): of each text's n shingles, in one order for all texts, the first n - ceil(similarity n) + 1.
+
+    Two texts of that similarity share at least ceil(similarity n) of either's shingles,
+    so one of those that the rows list.  The order puts frequent shingles last; it changes
+    costs only.  texts has node, text and moved.
+    """
+    common, often = last
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(stream, "text", 4 << 20):
+            found = split_words(batch["text"])
+            hashes = word_hashes(found)
+            grams = gram_hashes(hashes, words)
+            first = found.first
+            long = np.flatnonzero(np.diff(first) >= words)
+            short = np.flatnonzero(np.diff(first) < words)
+            sizes = np.diff(first)[long] - words + 1
+            at = np.repeat(first[long] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            ones = [gram_hashes(hashes[first[i] : first[i + 1]], int(first[i + 1] - first[i]))[0] if first[i + 1] > first[i] else np.uint64(0) for i in short]
+            keys = np.concatenate((grams[at], np.array(ones, dtype=np.uint64)))
+            owner = np.concatenate((np.repeat(long, sizes), short))
+            weight = np.zeros(len(keys), dtype=np.int64)
+            if len(common):
+                place = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+                weight = np.where(common[place] == keys, often[place], 0)
+            order = np.lexsort((keys, weight, owner))
+            keys, owner = keys[order], owner[order]
+            fresh = np.ones(len(keys), dtype=bool)
+            fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+            keys, owner = keys[fresh], owner[fresh]
+            n = np.bincount(owner, minlength=len(first) - 1)
+            listed = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+            keep = np.arange(len(keys)) - (np.cumsum(n) - n)[owner] < listed[owner]
+            keys, owner = keys[keep], owner[keep]
+            node, moved = (batch[c].combine_chunks().to_numpy(zero_copy_only=False)[owner] for c in ("node", "moved"))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node), pa.array(n[owner].astype(np.int32)), pa.array(moved)], names=["key", "node", "n", "moved"])
+
+    return texts.select("node", "text", "moved").mapInArrow(run, "key long, node long, n int, moved long")
+
+
+LISTED = "a long, b long, key long, low int, high int"
+
+
+def list_candidates(rows: DataFrame, similarity: float) -> DataFrame:
+    """Every pair (a, b) of texts in one list, and of longer lists the texts (a) in each pair of blocks (key, low, high).
+
+    Pairs whose groups (node xor moved) are the same, or whose sizes are too far apart, are left out.
+    """
+
+    def done(key: np.ndarray, node: np.ndarray, n: np.ndarray, group: np.ndarray) -> pa.RecordBatch:
+        cuts = np.flatnonzero(np.diff(key)) + 1
+        starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(key)]))
+        size = ends - starts
+        of = np.repeat(np.arange(len(size)), size)
+        mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
+        pairs = []
+        use = (mixed & (size <= SHORT_LIST))[of]
+        s_of, s_node, s_n, s_group = of[use], node[use], n[use], group[use]
+        for step in range(1, SHORT_LIST):
+            i = np.flatnonzero(s_of[step:] == s_of[:-step]) if len(s_of) > step else np.zeros(0, np.int64)
+            if not len(i):
+                break
+            j = i + step
+            fits = (s_group[i] != s_group[j]) & (np.minimum(s_n[i], s_n[j]) >= similarity * np.maximum(s_n[i], s_n[j]) - 1e-9)
+            pairs.append(np.stack((np.maximum(s_node[i], s_node[j])[fits], np.minimum(s_node[i], s_node[j])[fits]), axis=1))
+        pair = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), dtype=np.int64)
+        texts, keys, lows, highs = [], [], [], []
+        for k in np.flatnonzero(mixed & (size > SHORT_LIST)):
+            own = np.unique(node[starts[k] : ends[k]])
+            count = -(-len(own) // BLOCK_TEXTS)
+            block = np.arange(len(own)) % count
+            for low in range(count):
+                for high in range(min(low + 1, count - 1), count):
+                    at = own[(block == low) | (block == high)]
+                    texts.append(at)
+                    keys.append(np.full(len(at), key[starts[k]]))
+                    lows.append(np.full(len(at), low, np.int32))
+                    highs.append(np.full(len(at), high, np.int32))
+        m = sum(map(len, texts))
+        none = lambda x, size, kind: pa.concat_arrays([pa.nulls(size, kind), pa.array(np.concatenate(x) if x else [], kind)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((pair[:, 0], *texts))), pa.concat_arrays([pa.array(np.ascontiguousarray(pair[:, 1])), pa.nulls(m, pa.int64())]), none(keys, len(pair), pa.int64()), none(lows, len(pair), pa.int32()), none(highs, len(pair), pa.int32())],
+            names=["a", "b", "key", "low", "high"],
+        )
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            key, node, n, moved = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "n", "moved"))
+            held.append([key, node, n, node ^ moved])
+            if held[0][0][0] == key[-1]:
+                continue
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(columns[0], key[-1]))  # all but the last list are complete
+            yield done(*(x[:cut] for x in columns))
+            held = [[x[cut:] for x in columns]]
+        if held:
+            yield done(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, "key").sortWithinPartitions("key").mapInArrow(run, LISTED)
+
+
+def joining_links(nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Links between similar texts of different groups, enough to join all groups that have any."""
+    sizes = np.array([len(s) for s in sets])
+    _, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    by = owner[np.argsort(token, kind="stable")]
+    begin, first = np.cumsum(often) - often, np.cumsum(sizes) - sizes
+    _, group = np.unique(groups, return_inverse=True)
+    links = []
+    # Texts that share most with all others are asked first: they join most.
+    for x in np.argsort(-np.add.reduceat(often[token], first), kind="stable"):
+        if group.min() == group.max():
+            break
+        own = token[first[x] : first[x] + sizes[x]]
+        own = own[often[own] > 1]
+        count = often[own]
+        at = np.repeat(begin[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(by[at], minlength=len(sets))
+        near = np.flatnonzero((both >= similarity * (sizes + sizes[x] - both)) & (group != group[x]))
+        if len(near):
+            _, one = np.unique(group[near], return_index=True)
+            links += [(nodes[x], nodes[y]) for y in near[one]]
+            group[np.isin(group, group[near])] = group[x]
+    return np.array(links, dtype=np.int64).reshape(-1, 2)
+
+
+def remaining_links(docs: DataFrame, roots: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
+    """Links (a, b) between similar texts that join all groups of roots (node, root) that have any such texts.
+
+    No pair is missed: each is in a list of prefix_rows().
+    """
+    moved = roots.filter("node <> root").select("node", F.col("node").bitwiseXOR(F.col("root")).alias("moved"))
+    few = F.broadcast(moved) if moved.count() <= BROADCAST_TEXTS else moved
+    texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n, distinct = texts.agg(F.count("*"), F.count_distinct("node")).first()
+    if distinct < n:
+        texts = texts.dropDuplicates(["node"])
+    last = frequent_shingles(texts, words, distinct)
+    texts = texts.join(few, "node", "left").select("node", "text", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"))
+    found = scratch.keep(list_candidates(prefix_rows(texts, words, similarity, last), similarity), "listed")
+    pairs = scratch.keep(found.filter("key is null").select("a", "b").distinct(), "pairs")
+    links = similar_links(pairs, docs, scratch, words, similarity, "late")
+    long = found.filter("key is not null").select(F.col("a").alias("node"), "key", "low", "high")
+    nodes = scratch.keep(long.select("node").distinct(), "long-nodes")
+    sets = text_sets(nodes, docs, scratch, words, "long-sets").join(few, "node", "left").select("node", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"), "shingles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, own = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("node", "moved"))
+        held = [np.frombuffer(s.as_py(), np.uint64) if len(s.as_py()) else np.zeros(1, np.uint64) for s in table["shingles"]]
+        links = joining_links(node, node ^ own, held, similarity)
+        return pa.table({"a": links[:, 0].copy(), "b": links[:, 1].copy()})
+
+    return links.unionByName(scratch.keep(long.join(sets, "node").groupBy("key", "low", "high").applyInArrow(compare, "a long, b long"), "long"))
 
 
 def near_copy_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 4, distance: int = 4) -> DataFrame:
     """(doc_id, node, stays) of each row in a group of equal or similar texts; one row's document stays, that of the least identifier.
 
     Texts are similar if the Jaccard similarity of their word shingles reaches
-    similarity; groups are connected by similar texts.
+    similarity; groups are connected by similar texts.  Fingerprints connect most of
+    them; what they don't tell of is found by shared shingles, and none is missed.
     """
     scratch = Scratch(docs.sparkSession, "near-copies")
     links = similar_links(candidate_links(docs, scratch, tables, distance), docs, scratch, words, similarity)
-    roots = scratch.keep(connected_components(links, scratch), "roots")
+    early = scratch.keep(connected_components(links, scratch), "early")
+    links = links.unionByName(remaining_links(docs, early, scratch, words, similarity))
+    roots = scratch.keep(connected_components(links, scratch, "all-components"), "roots")
     rows = docs.select("doc_id", text_node(F.col("text")).alias("node")).join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("group"))
     groups = rows.groupBy("group").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")).filter("n > 1")
     return rows.join(groups, "group").select("doc_id", "node", F.col("doc_id").eqNullSafe(F.col("least_id")).alias("stays"))

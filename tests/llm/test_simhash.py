@@ -9,7 +9,7 @@ import xxhash
 from paytrail.llm import components, simhash
 from paytrail.llm.common import Scratch
 
-from .texts import DOCS, corpus, words
+from .texts import DOCS, corpus, prose, words
 
 
 def fingerprint(text, size=3):
@@ -115,3 +115,41 @@ def test_near_copies_by_similarity(spark):
     out = simhash.drop_near_copies(docs, tables=3)
     assert out.columns == docs.columns
     assert sorted({r["doc_id"] for r in out.collect()}) == sorted(min(g) for g in groups.values())
+
+
+def jaccard(a, b, size=5):
+    a, b = ({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def kept_by_brute_force(rows):
+    """Least identifiers of the groups that similar texts connect."""
+    held = [words(t) for _, t in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in held]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    root = least_reachable(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if alike(sets[i], sets[j])])
+    return sorted({rows[r][0] for r in root.values()})
+
+
+def edited_copies(n, seed, n_words=300, edits=8):
+    """One text and n copies of it with so many words of their own, similar to it but not to each other."""
+    rng = np.random.default_rng(seed)
+    base = prose(n_words, seed, 3_000).split()
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for at in rng.choice(np.arange(4, n_words - 5, 6), edits, replace=False):
+            own[at] = f"own{seed}x{i}x{at}"
+        rows.append(own)
+    return base, rows
+
+
+@pytest.mark.parametrize("block_texts", [2_048, 100])
+def test_copies_similar_to_one_text_only_are_one_group(spark, monkeypatch, block_texts):
+    monkeypatch.setattr(simhash, "BLOCK_TEXTS", block_texts)
+    base, copies = edited_copies(300, 21, edits=6)
+    assert all(jaccard(base, c) >= 0.8 for c in copies)
+    assert sum(jaccard(copies[0], c) >= 0.8 for c in copies[1:]) < 30
+    rows = [(i, " ".join(c)) for i, c in enumerate(copies)] + [(900, " ".join(base))] + [(1_000 + i, prose(200, 5_000 + i, 3_000)) for i in range(20)]
+    out = simhash.drop_near_copies(spark.createDataFrame(rows, DOCS))
+    assert sorted(r["doc_id"] for r in out.collect()) == kept_by_brute_force(rows)
