@@ -10,8 +10,9 @@ An arc weighs log10 p, a failure arc log10 of the mass that the state's arcs lea
     left(h)     = 1 - sum over arcs of (c(hw) - D) / c(h)
 
 where h' is h without its first token; each state's probabilities sum to one.  An
-n-gram is in the model if it was seen MIN_ARC times in training, and the n-grams that it
-starts and ends with (for pairs: both words) make up MIN_SHARE of the training tokens.
+n-gram is in the model if it was seen MIN_ARC times in training, whatever the input's size.
+With min_share, the n-grams that it starts and ends with (for pairs: both words) must also
+make up that share of the training tokens.
 
 The model is never in one place.  Documents are encoded once into blocks of
 bounded size.  A block sends its distinct n-grams, packed by hash part, to the tasks
@@ -44,7 +45,6 @@ ORDER = 2
 BLOCK_BYTES = 8 << 20
 PART_KEYS = 1_000_000
 DISCOUNT = 0.75
-MIN_SHARE = 4e-5
 MIN_ARC = 3
 SEGMENT = 1024
 #: Key of the end token, and what tells a state's key from an n-gram's.
@@ -114,7 +114,7 @@ class Level:
 
 
 class Block:
-    """A block with the levels that are known; words below the model's share have no key."""
+    """A block with the levels that are known; words too rare for the model have no key."""
 
     def __init__(self, row: dict, least: float):
         self.least = least  # training occurrences that n-grams within longer ones need
@@ -343,7 +343,7 @@ class Automaton:
         return np.bincount(doc, weights=score, minlength=len(sizes)), single, known
 
 
-def score_documents(docs: DataFrame, held: str = "held", order: int = ORDER, min_share: float = MIN_SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, held: str = "held", order: int = ORDER, min_share: float = 0.0) -> DataFrame:
     """Scores docs (doc_id, text and the boolean column held), learning from rows that aren't held out."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "backoff-lm")

@@ -77,3 +77,13 @@ def test_nothing_to_learn_from(spark):
     assert {r["score"] for r in out} == {0.0} and {r["train_tokens"] for r in out} == {0}
     empty = spark.createDataFrame([], DOCS).withColumn("held", F.lit(False))
     assert backoff_lm.score_documents(empty).count() == 0
+
+
+def test_rare_words_are_in_pairs_at_any_size(spark):
+    rows = [(i, "common " * 100_000) for i in range(3)] + [(10 + i, "seldom found") for i in range(4)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("held", F.lit(False))
+    out = {r["doc_id"]: r for r in backoff_lm.score_documents(docs).collect()}
+    model = Model([tokens(t) for _, t in rows], 2, 0)
+    w = tokens("seldom found")
+    assert out[10]["score"] == pytest.approx(sum(math.log10(model.p(tuple(w[max(0, j - 1) : j]), x)) for j, x in enumerate(w)), abs=1e-6)
+    assert out[10]["score"] > out[10]["base_score"] + 5
