@@ -14,8 +14,13 @@ as they are, since a sentence's first word is no name there but may look like on
 in another text.
 
 A text is contaminated by an item if the tokens of the item that its consistent
-windows cover are at least COVERED, or SHARE of a shorter item.  Items of
-fewer than SHORTEST template tokens are not told from chance and never match.
+windows cover are at least COVERED, or SHARE of a shorter item.
+
+Items of fewer than SHORTEST template tokens, and items with a window of fewer than
+LITERALS plain words, are also looked for as they are: their literal tokens are all
+words, numbers and units unchanged and words of punctuation (operators) included,
+and windows of them match exactly.  An item of fewer than LITERALS literal tokens
+must fill a line of the text, which tells it from a common phrase.
 
 Defined results: null and empty texts match nothing.  A benchmark of repeated items
 gives a row for each.  Rows of documents that repeat an identifier are told apart by
@@ -45,6 +50,8 @@ BATCH_BYTES = 4 << 20
 HELD_WINDOWS = 4_000_000
 #: Placeholders.
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (1, 2, 3))
+#: What tells the hashes of literal windows from those of templates.
+LITERAL = np.uint64(0x11EA7C0DE5)
 UNITS = (
     "mm cm dm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t gram grams kilogram kilograms ton tons tonne tonnes oz lb lbs pound pounds "
     "ml cl dl l liter liters litre litres gallon gallons ms s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years "
@@ -90,6 +97,13 @@ class Templates:
         self.plain = np.where(number, NUMBER, np.where(unit, UNIT, hashes))
         self.named = np.where(self._names(words, kept) & ~number, NAME, self.plain)
         self.owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+        bare = ends <= starts
+        self.literal = span_hashes(words.lowered, np.where(bare, words.starts, starts), np.where(bare, words.ends, ends))
+        self.literal_first, self.literal_owner = words.first, words.owner()
+        line = np.concatenate(([0], np.cumsum(self.data == 10)))[words.starts]
+        self.fresh = np.ones(len(line) + 1, dtype=bool)  # a line or text begins there
+        self.fresh[1:-1] = line[1:] > line[:-1]
+        self.fresh[words.first] = True
 
     def _names(self, words, kept: np.ndarray) -> np.ndarray:
         """Words with a capital, then a small letter, within a sentence."""
@@ -118,6 +132,27 @@ class Templates:
         literal = np.concatenate(([0], np.cumsum(self.named > NAME)))
         yield self._hashed(self.named, size, (self.owner[:n] == self.owner[size - 1 :]) & (names[size:] > names[:-size]) & (literal[size:] - literal[:-size] >= min(LITERALS, size)))
 
+    def weak(self) -> np.ndarray:
+        """Texts that are too short for template windows, or have one with too few plain words."""
+        n = np.diff(self.first)
+        out = n < SHORTEST
+        plain = np.concatenate(([0], np.cumsum(self.plain > NAME)))
+        for size in {min(WINDOW, int(x)) for x in n[~out]}:
+            at = np.arange(max(len(self.plain) - size + 1, 0))
+            at = at[self.owner[at] == self.owner[at + size - 1]]
+            at = at[np.minimum(n, WINDOW)[self.owner[at]] == size]
+            out[self.owner[at[plain[at + size] - plain[at] < min(LITERALS, size)]]] = True
+        return out
+
+    def literal_windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, hashes) of the windows of literal tokens of one text each."""
+        at = np.arange(max(len(self.literal) - size + 1, 0))
+        inside = self.literal_owner[at] == self.literal_owner[at + size - 1]
+        if size < LITERALS:
+            inside &= self.fresh[at] & self.fresh[at + size] & (np.cumsum(self.fresh)[at + size] - np.cumsum(self.fresh)[at] == 1)
+        at, hashes = self._hashed(self.literal, size, inside)
+        return at, mix(hashes ^ LITERAL)
+
     @staticmethod
     def _hashed(codes: np.ndarray, size: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(wanted)
@@ -132,24 +167,39 @@ class Templates:
         return [bytes(self.data[self.starts[i] : self.ends[i]]).decode().lower() for i in range(at, at + size) if codes[i] <= NAME]
 
 
-WINDOW_ROW = "hash long, size int, pos int, slots array<string>"
-WINDOW_TYPE = [("hash", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("slots", pa.list_(pa.string()))]
+WINDOW_ROW = "hash long, size int, pos int, slots array<string>, literal boolean"
+WINDOW_TYPE = [("hash", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()), ("slots", pa.list_(pa.string())), ("literal", pa.bool_())]
+
+
+def _literal_rows(t: Templates, sizes: list[int], keep) -> list[tuple]:
+    """_rows() of literal windows, which have no slots."""
+    out = []
+    for size in sizes:
+        at, hashes = t.literal_windows(size)
+        hit = keep(hashes)
+        for i, h in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
+            text = int(t.literal_owner[i])
+            out.append((text, h, size, i - int(t.literal_first[text]), [], True))
+    return out
 
 
 def _rows(t: Templates, sizes: list[int], keep) -> list[tuple]:
-    """(text, hash, size, pos, slots) of the windows whose hashes pass keep."""
+    """(text, hash, size, pos, slots, literal) of the windows whose hashes pass keep."""
     out = []
     for size in sizes:
         for named, (at, hashes) in enumerate(t.windows(size)):
             hit = keep(hashes)
             for i, h in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
                 text = int(t.owner[i])
-                out.append((text, h, size, i - int(t.first[text]), t.slots(i, size, bool(named))))
+                out.append((text, h, size, i - int(t.first[text]), t.slots(i, size, bool(named)), False))
     return out
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_tokens, hash, size, pos, slots) of all template windows of the items."""
+    """(item_id, n_tokens, whole, hash, size, pos, slots, literal) of the items' template windows, and the literal ones of weak items.
+
+    n_tokens counts an item's template tokens, whole those of the window's kind.
+    """
     kind = benchmark.schema["item_id"].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,16 +209,21 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             rows = []
             for size in sorted({min(WINDOW, int(x)) for x in n if x >= SHORTEST}):
                 rows += [r for r in _rows(t, [size], lambda h: np.ones(len(h), dtype=bool)) if min(WINDOW, n[r[0]]) == size]
+            literal, weak = np.diff(t.literal_first), t.weak()
+            for size in sorted({min(WINDOW, int(x)) for x in literal[weak] if x}):
+                rows += [r for r in _literal_rows(t, [size], lambda h: np.ones(len(h), dtype=bool)) if weak[r[0]] and min(WINDOW, literal[r[0]]) == size]
             if rows:
                 text, *columns = zip(*rows, strict=True)
                 ids = batch["item_id"].combine_chunks().take(pa.array(text))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n[list(text)].astype(np.int32)), *(pa.array(x, k) for x, (_, k) in zip(columns, WINDOW_TYPE, strict=True))], names=["item_id", "n_tokens", *(c for c, _ in WINDOW_TYPE)])
+                whole = np.where(columns[-1], literal[list(text)], n[list(text)])
+                counts = [pa.array(x.astype(np.int32)) for x in (n[list(text)], whole)]
+                yield pa.RecordBatch.from_arrays([ids, *counts, *(pa.array(x, k) for x, (_, k) in zip(columns, WINDOW_TYPE, strict=True))], names=["item_id", "n_tokens", "whole", *(c for c, _ in WINDOW_TYPE)])
 
-    return benchmark.mapInArrow(run, f"item_id {kind}, n_tokens int, {WINDOW_ROW}")
+    return benchmark.mapInArrow(run, f"item_id {kind}, n_tokens int, whole int, {WINDOW_ROW}")
 
 
-def document_windows(docs: DataFrame, sizes: list[int], held: np.ndarray | None) -> DataFrame:
-    """(doc_id, row, hash, size, pos, slots) of docs' windows: those in held (sorted hashes), or all if it is None."""
+def document_windows(docs: DataFrame, sizes: list[int], literal_sizes: list[int], held: np.ndarray | None) -> DataFrame:
+    """(doc_id, row, hash, size, pos, slots, literal) of docs' windows: those in held (sorted hashes), or all if it is None."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     marks = np.zeros(1 << 22, dtype=bool)
     if held is not None:
@@ -185,7 +240,8 @@ def document_windows(docs: DataFrame, sizes: list[int], held: np.ndarray | None)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream, "text", BATCH_BYTES):
-            rows = _rows(Templates(batch["text"]), sizes, keep)
+            t = Templates(batch["text"])
+            rows = _rows(t, sizes, keep) + _literal_rows(t, literal_sizes, keep)
             if rows:
                 text, *columns = zip(*rows, strict=True)
                 ids, row = (batch[c].combine_chunks().take(pa.array(text)) for c in ("doc_id", "row"))
@@ -208,18 +264,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, held_windows: int = HELD
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = scratch.keep(benchmark_windows(benchmark.select("item_id", text.alias("text"))), "items")
     hashes = items.select("hash").distinct()
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    every = items.select("size", "literal").distinct().collect()
+    sizes, literal_sizes = (sorted(r["size"] for r in every if r["literal"] == x) for x in (False, True))
     held = None
     if hashes.count() <= held_windows:
         held = np.sort(np.array([r["hash"] for r in hashes.toLocalIterator()], dtype=np.int64).view(np.uint64))
     rows = docs.select("doc_id", text_key(F.col("text")).alias("row"), text.alias("text"))
-    found = scratch.keep(document_windows(rows, sizes, held), "found")
-    other = items.select("hash", "item_id", "n_tokens", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    found = scratch.keep(document_windows(rows, sizes, literal_sizes, held), "found")
+    other = items.select("hash", "item_id", "n_tokens", "whole", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     pairs = found.join(other, "hash").withColumn("shift", F.col("pos") - F.col("item_pos"))
     covered = F.expr("sequence(item_pos, item_pos + size - 1)")
     value = F.expr("transform(arrays_zip(slots, item_slots), x -> struct(x.item_slots AS old, x.slots AS new))")
     # All that one alignment of an item gathers is bounded by the item's length.
-    aligned = pairs.groupBy("doc_id", "row", "item_id", "n_tokens", "shift").agg(
+    aligned = pairs.groupBy("doc_id", "row", "item_id", "n_tokens", "whole", "literal", "shift").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(covered)))).alias("covered_tokens"),
         F.countDistinct("item_pos").alias("n_windows"),
         F.array_distinct(F.flatten(F.collect_set(value))).alias("values"),
@@ -228,7 +285,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, held_windows: int = HELD
     changed = F.size(F.filter("values", lambda v: v["old"] != v["new"]))
     one_to_one = (F.size(F.array_distinct(F.col("values.old"))) == n) & (F.size(F.array_distinct(F.col("values.new"))) == n)
     same = one_to_one | (2 * changed <= n)
-    enough = F.col("covered_tokens") >= F.least(F.lit(COVERED), F.ceil(F.col("n_tokens") * SHARE))
+    enough = F.col("covered_tokens") >= F.least(F.lit(COVERED), F.ceil(F.col("whole") * SHARE))
     hits = aligned.filter(same & enough).withColumn("new_values", changed)
     best = F.max(F.struct("covered_tokens", "n_windows", "new_values")).alias("b")
     return hits.groupBy("doc_id", "row", "item_id", F.col("n_tokens").alias("item_tokens")).agg(best).select("doc_id", "row", "item_id", "item_tokens", "b.*")

@@ -79,6 +79,16 @@ def test_new_values_must_be_consistent(spark):
     assert (out[1]["new_values"], out[3]["new_values"]) == (4, 0)
 
 
+def test_items_of_numbers_and_short_items_match_verbatim_copies(spark):
+    items = [(1, "Compute 3 + 4 * 12 - 7 / 2 + 9 * 5"), (2, "How many cm are in 3 m"), (3, "What is 12 + 30?"), (4, "2 + 2")]
+    copies = [(i, f"{prose(40, 60 + i, 5_000)} {t} {prose(30, 80 + i, 5_000)}") for i, t in items[:3]] + [(4, f"{prose(20, 64)}\n2 + 2\n{prose(20, 65)}")]
+    others = [(11, "Compute 8 + 1 * 12 - 6 / 3 + 4 * 7"), (12, "How many cm are in 5 m"), (13, "What is 12 - 31?"), (14, f"so 2 + 2 is {prose(20, 66)}")]
+    docs, benchmark = spark.createDataFrame(copies + others, DOCS), spark.createDataFrame(items, ITEM)
+    for held in (decontamination.HELD_WINDOWS, 0):
+        out = decontamination.contaminated(docs, benchmark, held_windows=held)
+        assert sorted((r["doc_id"], r["item_id"]) for r in out.collect()) == [(i, i) for i, _ in items]
+
+
 def test_empty_tables_match_nothing(spark):
     docs, items = spark.createDataFrame([(1, prose(40, 1))], DOCS), spark.createDataFrame([], ITEM)
     assert decontamination.contaminated(docs, items).count() == 0
