@@ -153,3 +153,17 @@ def test_copies_similar_to_one_text_only_are_one_group(spark, monkeypatch, block
     rows = [(i, " ".join(c)) for i, c in enumerate(copies)] + [(900, " ".join(base))] + [(1_000 + i, prose(200, 5_000 + i, 3_000)) for i in range(20)]
     out = simhash.drop_near_copies(spark.createDataFrame(rows, DOCS))
     assert sorted(r["doc_id"] for r in out.collect()) == kept_by_brute_force(rows)
+
+
+def test_copies_with_an_edited_block_are_found(spark):
+    rows, edited = [], []
+    for i in range(30):
+        base = prose(300, 7_000 + i, 3_000).split()
+        new = [f"new{i}x{k}" for k in range(60)]
+        at = 40 + 5 * i
+        for k, own in enumerate((base + new, base[:at] + base[at + 50 :], base[:at] + new[:26] + base[at + 26 :])):
+            assert 0.8 <= jaccard(base, own) < 0.85
+            edited.append((1_000 + 10 * i + k, " ".join(own)))
+        rows.append((i, " ".join(base)))
+    out = simhash.drop_near_copies(spark.createDataFrame(rows + edited, DOCS))
+    assert sorted(r["doc_id"] for r in out.collect()) == [i for i, _ in rows]
