@@ -372,12 +372,12 @@ def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: in
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     x, y = sets.withColumnsRenamed({"node": "a", "shingles": "x"}), sets.withColumnsRenamed({"node": "b", "shingles": "y"})
     size = lambda c: F.octet_length(c)  # noqa: E731  # Jaccard is at most the smaller size by the larger
-    pairs = links.join(x, "a").join(y, "b").filter(F.least(size("x"), size("y")) >= similarity * F.greatest(size("x"), size("y")))
+    pairs = links.join(x, "a").join(y, "b").filter(F.least(size("x"), size("y")) >= similarity * F.greatest(size("x"), size("y")) - 1e-6)
     return scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), name)
 
 
@@ -385,8 +385,14 @@ def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: in
 
 #: Texts that the order of shingles looks at, and the shingles of them that are put last at most.
 ORDER_TEXTS, LAST_SHINGLES = 16_384, 500_000
-#: Lists with at most so many texts are compared pair by pair, longer ones in blocks of texts.
-SHORT_LIST, BLOCK_TEXTS = 32, 2_048
+#: A shingle that more than one in so many sampled texts hold is hot: its list is never gathered in one task.
+HOT_SHARE = 256
+#: Lists with at most so many texts are compared pair by pair, longer ones in bundles.
+SHORT_LIST = 4
+#: Texts, and shingles of them, of one block of a bundle.
+BLOCK_TEXTS, BLOCK_SHINGLES = 2_048, 2_000_000
+#: Shingles' lists and bundles that may be broadcast, some 40 bytes each.
+BROADCAST_LISTS = 500_000
 
 
 def frequent_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -406,12 +412,12 @@ def frequent_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray,
     return keys.view(np.uint64)[order], often[order]
 
 
-def prefix_rows(texts: DataFrame, words: int, similarity: float, last: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, node, n, moved): of each text's n shingles, in one order for all texts, the first n - ceil(similarity n) + 1.
+def prefix_rows(texts: DataFrame, words: int, similarity: float, last: tuple[np.ndarray, np.ndarray], sampled: int) -> DataFrame:
+    """(key, node, n, moved, hot): of each text's n shingles, in one order for all texts, the first n - ceil(similarity n) + 1.
 
     Two texts of that similarity share at least ceil(similarity n) of either's shingles,
     so one of those that the rows list.  The order puts frequent shingles last; it changes
-    costs only.  texts has node, text and moved.
+    costs only.  texts has node, text and moved; sampled texts gave the frequencies last.
     """
     common, often = last
 
@@ -436,30 +442,33 @@ def prefix_rows(texts: DataFrame, words: int, similarity: float, last: tuple[np.
             keys, owner = keys[order], owner[order]
             fresh = np.ones(len(keys), dtype=bool)
             fresh[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-            keys, owner = keys[fresh], owner[fresh]
+            keys, owner, weight = keys[fresh], owner[fresh], weight[order][fresh]
             n = np.bincount(owner, minlength=len(first) - 1)
             listed = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
             keep = np.arange(len(keys)) - (np.cumsum(n) - n)[owner] < listed[owner]
-            keys, owner = keys[keep], owner[keep]
+            keys, owner, weight = keys[keep], owner[keep], weight[keep]
             node, moved = (batch[c].combine_chunks().to_numpy(zero_copy_only=False)[owner] for c in ("node", "moved"))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node), pa.array(n[owner].astype(np.int32)), pa.array(moved)], names=["key", "node", "n", "moved"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(node), pa.array(n[owner].astype(np.int32)), pa.array(moved), pa.array(weight > sampled // HOT_SHARE)], names=["key", "node", "n", "moved", "hot"])
 
-    return texts.select("node", "text", "moved").mapInArrow(run, "key long, node long, n int, moved long")
+    return texts.select("node", "text", "moved").mapInArrow(run, "key long, node long, n int, moved long, hot boolean")
 
 
-LISTED = "a long, b long, key long, low int, high int"
+LISTED = "a long, b long, n int"
 
 
 def list_candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Every pair (a, b) of texts in one list, and of longer lists the texts (a) in each pair of blocks (key, low, high).
+    """What the lists of rows (key, node, n, moved) tell: pairs (a, b) to compare, n null, and members a with n shingles of bundle b.
 
-    Pairs whose groups (node xor moved) are the same, or whose sizes are too far apart, are left out.
+    A list whose texts are of one group (node xor moved) tells nothing.  Every pair of a
+    short list is told, unless its groups are the same or its sizes too far apart.  A longer list
+    belongs to the bundle of its least node, so that the many lists of a family of
+    copies become one; besides, each of its groups is tried once with that of the least node.
     """
 
     def done(key: np.ndarray, node: np.ndarray, n: np.ndarray, group: np.ndarray) -> pa.RecordBatch:
         cuts = np.flatnonzero(np.diff(key)) + 1
-        starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(key)]))
-        size = ends - starts
+        starts = np.concatenate(([0], cuts))
+        size = np.diff(np.concatenate((starts, [len(key)])))
         of = np.repeat(np.arange(len(size)), size)
         mixed = np.maximum.reduceat(group, starts) != np.minimum.reduceat(group, starts)
         pairs = []
@@ -467,30 +476,31 @@ def list_candidates(rows: DataFrame, similarity: float) -> DataFrame:
         s_of, s_node, s_n, s_group = of[use], node[use], n[use], group[use]
         for step in range(1, SHORT_LIST):
             i = np.flatnonzero(s_of[step:] == s_of[:-step]) if len(s_of) > step else np.zeros(0, np.int64)
-            if not len(i):
-                break
             j = i + step
             fits = (s_group[i] != s_group[j]) & (np.minimum(s_n[i], s_n[j]) >= similarity * np.maximum(s_n[i], s_n[j]) - 1e-9)
-            pairs.append(np.stack((np.maximum(s_node[i], s_node[j])[fits], np.minimum(s_node[i], s_node[j])[fits]), axis=1))
-        pair = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), dtype=np.int64)
-        texts, keys, lows, highs = [], [], [], []
-        for k in np.flatnonzero(mixed & (size > SHORT_LIST)):
-            own = np.unique(node[starts[k] : ends[k]])
-            count = -(-len(own) // BLOCK_TEXTS)
-            block = np.arange(len(own)) % count
-            for low in range(count):
-                for high in range(min(low + 1, count - 1), count):
-                    at = own[(block == low) | (block == high)]
-                    texts.append(at)
-                    keys.append(np.full(len(at), key[starts[k]]))
-                    lows.append(np.full(len(at), low, np.int32))
-                    highs.append(np.full(len(at), high, np.int32))
-        m = sum(map(len, texts))
-        none = lambda x, size, kind: pa.concat_arrays([pa.nulls(size, kind), pa.array(np.concatenate(x) if x else [], kind)])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((pair[:, 0], *texts))), pa.concat_arrays([pa.array(np.ascontiguousarray(pair[:, 1])), pa.nulls(m, pa.int64())]), none(keys, len(pair), pa.int64()), none(lows, len(pair), pa.int32()), none(highs, len(pair), pa.int32())],
-            names=["a", "b", "key", "low", "high"],
-        )
+            pairs.append(np.stack((s_node[i][fits], s_node[j][fits]), axis=1))
+        long = mixed & (size > SHORT_LIST)
+        use = long[of]
+        l_of, l_node, l_n, l_group = of[use], node[use], n[use], group[use]
+        least = np.minimum.reduceat(node, starts)
+        head = least[l_of]
+        # One text of each group of a list, another one for each key, with one of the least node's group.
+        pick = np.lexsort((mix((l_node ^ key[use]).view(np.uint64)), l_group, l_of))
+        first = np.ones(len(pick), dtype=bool)
+        first[1:] = (l_of[pick][1:] != l_of[pick][:-1]) | (l_group[pick][1:] != l_group[pick][:-1])
+        chosen = pick[first]
+        own = np.zeros(len(size), dtype=np.int64)
+        own[l_of[l_node == head]] = l_group[l_node == head]
+        partner = np.zeros(len(size), dtype=np.int64)
+        with_head = chosen[l_group[chosen] == own[l_of[chosen]]]
+        partner[l_of[with_head]] = l_node[with_head]
+        others = chosen[l_group[chosen] != own[l_of[chosen]]]
+        pairs.append(np.stack((l_node[others], partner[l_of[others]]), axis=1))
+        pair = np.concatenate(pairs)
+        pair = np.unique(np.stack((pair.max(axis=1), pair.min(axis=1)), axis=1), axis=0) if len(pair) else pair
+        member, at = np.unique(np.stack((l_node, head), axis=1), axis=0, return_index=True) if len(l_node) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+        a, b = (np.concatenate((pair[:, k], member[:, k])) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.concat_arrays([pa.nulls(len(pair), pa.int32()), pa.array(l_n[at].astype(np.int32))])], names=["a", "b", "n"])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -509,11 +519,22 @@ def list_candidates(rows: DataFrame, similarity: float) -> DataFrame:
             yield done(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(width, "key").sortWithinPartitions("key").mapInArrow(run, LISTED)
+    return rows.select("key", "node", "n", "moved").repartition(width, "key").sortWithinPartitions("key").mapInArrow(run, LISTED)
 
 
-def joining_links(nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Links between similar texts of different groups, enough to join all groups that have any."""
+def hot_candidates(rows: DataFrame) -> DataFrame:
+    """list_candidates() of hot shingles, of which there is a bounded number, by aggregation: no list is gathered."""
+    grouped = rows.withColumn("group", F.col("node").bitwiseXOR(F.col("moved")))
+    groups = grouped.groupBy("key", "group").agg(F.min("node").alias("least"), F.min_by("node", F.xxhash64("node", "key")).alias("one"))
+    heads = groups.groupBy("key").agg(F.min("least").alias("head"), F.min_by(F.struct("group", "one"), "least").alias("own"), F.count("*").alias("n_groups")).filter("n_groups > 1")
+    heads = F.broadcast(heads.select("key", "head", "own"))
+    pairs = groups.join(heads, "key").filter(F.col("group") != F.col("own.group"))
+    pairs = pairs.select(F.greatest("one", "own.one").alias("a"), F.least("one", "own.one").alias("b"), F.lit(None).cast("int").alias("n")).distinct()
+    return pairs.unionByName(rows.join(heads, "key").select(F.col("node").alias("a"), F.col("head").alias("b"), "n").distinct())
+
+
+def joining_links(nodes: np.ndarray, groups: np.ndarray, asked: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Links between similar texts of different groups, one of them asked, enough to join all groups that have any such."""
     sizes = np.array([len(s) for s in sets])
     _, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -522,7 +543,8 @@ def joining_links(nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray],
     _, group = np.unique(groups, return_inverse=True)
     links = []
     # Texts that share most with all others are asked first: they join most.
-    for x in np.argsort(-np.add.reduceat(often[token], first), kind="stable"):
+    order = np.argsort(-np.add.reduceat(often[token], first), kind="stable")
+    for x in order[asked[order]]:
         if group.min() == group.max():
             break
         own = token[first[x] : first[x] + sizes[x]]
@@ -530,7 +552,7 @@ def joining_links(nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray],
         count = often[own]
         at = np.repeat(begin[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
         both = np.bincount(by[at], minlength=len(sets))
-        near = np.flatnonzero((both >= similarity * (sizes + sizes[x] - both)) & (group != group[x]))
+        near = np.flatnonzero((both >= similarity * (sizes + sizes[x] - both) - 1e-9) & (group != group[x]))
         if len(near):
             _, one = np.unique(group[near], return_index=True)
             links += [(nodes[x], nodes[y]) for y in near[one]]
@@ -538,33 +560,65 @@ def joining_links(nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray],
     return np.array(links, dtype=np.int64).reshape(-1, 2)
 
 
-def remaining_links(docs: DataFrame, roots: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
-    """Links (a, b) between similar texts that join all groups of roots (node, root) that have any such texts.
+def small(df: DataFrame, most: int) -> DataFrame:
+    """df, which is a written table, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def bundle_blocks(members: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """(head, i, j, node, group, asked): the comparisons of the bundles members (head, node, n) that have several groups.
+
+    Texts of a bundle's largest group needn't be compared with each other, so the others,
+    dealt to blocks i, are asked against all, dealt to blocks j.  What is dealt twice stays in
+    proportion to the bundle as long as one group holds most of it.
+    """
+    grouped = scratch.keep(members.join(small(roots.filter("node <> root"), BROADCAST_TEXTS), "node", "left").select("head", "node", "n", F.coalesce("root", "node").alias("group")), "members")
+    groups = grouped.groupBy("head", "group").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"))
+    most = F.max(F.struct("texts", "shingles", "group"))
+    bundles = groups.groupBy("head").agg(F.count("*").alias("n_groups"), F.sum("texts").alias("texts"), F.sum("shingles").alias("shingles"), most.alias("most")).filter("n_groups > 1")
+    blocks = lambda texts, shingles: F.greatest(F.ceil(texts / BLOCK_TEXTS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    bundles = scratch.keep(
+        bundles.select("head", F.col("most.group").alias("main"), blocks(F.col("texts") - F.col("most.texts"), F.col("shingles") - F.col("most.shingles")).alias("n_i"), blocks(F.col("texts"), F.col("shingles")).alias("n_j")), "bundles"
+    )
+    rows = grouped.join(small(bundles, BROADCAST_LISTS), "head")
+    place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = rows.filter("group <> main").select("head", place(1, F.col("n_i")).alias("i"), every("n_j").alias("j"), "node", "group", F.lit(True).alias("asked"))
+    others = rows.select("head", every("n_i").alias("i"), place(2, F.col("n_j")).alias("j"), "node", "group", F.lit(False).alias("asked"))
+    return scratch.keep(asked.unionByName(others).groupBy("head", "i", "j", "node").agg(F.first("group").alias("group"), F.max("asked").alias("asked")), "blocks")
+
+
+def remaining_links(docs: DataFrame, links: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
+    """links (a, b) and those between similar texts that join all groups of them which have any such texts.
 
     No pair is missed: each is in a list of prefix_rows().
     """
-    moved = roots.filter("node <> root").select("node", F.col("node").bitwiseXOR(F.col("root")).alias("moved"))
-    few = F.broadcast(moved) if moved.count() <= BROADCAST_TEXTS else moved
+    roots = scratch.keep(connected_components(links, scratch), "early")
+    moved = scratch.keep(roots.filter("node <> root").select("node", F.col("node").bitwiseXOR(F.col("root")).alias("moved")), "moved")
     texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n, distinct = texts.agg(F.count("*"), F.count_distinct("node")).first()
     if distinct < n:
         texts = texts.dropDuplicates(["node"])
     last = frequent_shingles(texts, words, distinct)
-    texts = texts.join(few, "node", "left").select("node", "text", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"))
-    found = scratch.keep(list_candidates(prefix_rows(texts, words, similarity, last), similarity), "listed")
-    pairs = scratch.keep(found.filter("key is null").select("a", "b").distinct(), "pairs")
-    links = similar_links(pairs, docs, scratch, words, similarity, "late")
-    long = found.filter("key is not null").select(F.col("a").alias("node"), "key", "low", "high")
-    nodes = scratch.keep(long.select("node").distinct(), "long-nodes")
-    sets = text_sets(nodes, docs, scratch, words, "long-sets").join(few, "node", "left").select("node", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"), "shingles")
+    texts = texts.join(small(moved, BROADCAST_TEXTS), "node", "left").select("node", "text", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"))
+    rows = scratch.keep(prefix_rows(texts, words, similarity, last, distinct // (distinct // ORDER_TEXTS + 1)), "prefixes")
+    found = scratch.keep(list_candidates(rows.filter("not hot"), similarity).unionByName(hot_candidates(rows.filter("hot"))), "listed")
+    scratch.drop("prefixes")
+    pairs = scratch.keep(found.filter("n is null").select("a", "b").distinct(), "pairs")
+    links = scratch.keep(links.unionByName(similar_links(pairs, docs, scratch, words, similarity, "late")), "most-links")
+    members = found.filter("n is not null").groupBy(F.col("b").alias("head"), F.col("a").alias("node")).agg(F.max("n").alias("n"))
+    blocks = bundle_blocks(members, connected_components(links, scratch, "most-components"), scratch)
+    nodes = scratch.keep(blocks.select("node").distinct(), "long-nodes")
+    sets = text_sets(nodes, docs, scratch, words, "long-sets")
 
     def compare(table: pa.Table) -> pa.Table:
-        node, own = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("node", "moved"))
+        node, group, asked = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("node", "group", "asked"))
         held = [np.frombuffer(s.as_py(), np.uint64) if len(s.as_py()) else np.zeros(1, np.uint64) for s in table["shingles"]]
-        links = joining_links(node, node ^ own, held, similarity)
-        return pa.table({"a": links[:, 0].copy(), "b": links[:, 1].copy()})
+        found = joining_links(node, group, asked.astype(bool), held, similarity)
+        return pa.table({"a": found[:, 0].copy(), "b": found[:, 1].copy()})
 
-    return links.unionByName(scratch.keep(long.join(sets, "node").groupBy("key", "low", "high").applyInArrow(compare, "a long, b long"), "long"))
+    late = scratch.keep(blocks.join(sets, "node").groupBy("head", "i", "j").applyInArrow(compare, "a long, b long"), "long")
+    return links.unionByName(late)
 
 
 def near_copy_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 4, distance: int = 4) -> DataFrame:
@@ -576,8 +630,7 @@ def near_copy_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, t
     """
     scratch = Scratch(docs.sparkSession, "near-copies")
     links = similar_links(candidate_links(docs, scratch, tables, distance), docs, scratch, words, similarity)
-    early = scratch.keep(connected_components(links, scratch), "early")
-    links = links.unionByName(remaining_links(docs, early, scratch, words, similarity))
+    links = remaining_links(docs, links, scratch, words, similarity)
     roots = scratch.keep(connected_components(links, scratch, "all-components"), "roots")
     rows = docs.select("doc_id", text_node(F.col("text")).alias("node")).join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("group"))
     groups = rows.groupBy("group").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")).filter("n > 1")
