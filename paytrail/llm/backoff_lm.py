@@ -10,16 +10,17 @@ An arc weighs log10 p, a failure arc log10 of the mass that the state's arcs lea
     left(h)     = 1 - sum over arcs of (c(hw) - D) / c(h)
 
 where h' is h without its first token; each state's probabilities sum to one.  An
-n-gram is in the model if it was seen MIN_ARC times in training, whatever the input's size.
-With min_share, the n-grams that it starts and ends with (for pairs: both words) must also
-make up that share of the training tokens.
+n-gram is in the model if it was seen min_count times in training, whatever the
+input's size (1 takes all; every single word is a state of its own anyway).
 
 The model is never in one place.  Documents are encoded once into blocks of
-bounded size.  A block sends its distinct n-grams, packed by hash part, to the tasks
+bounded size.  A block sends its distinct words, packed by hash part, to the tasks
 that sum them up over all blocks, and these answer each block's packs in their
-order; so a task holds one part of the counts, or one block and the part of the
-automaton that it can reach.  Parts grow in number with the n-grams, not in size.
-Within a block, segments of documents go through the automaton from left to right
+order.  Of longer n-grams it first sends sketches, 32 bits of hash for each, and
+the parts answer with a bit for those that may reach min_count; only these go
+out with their whole keys and histories.  So a task holds one part of the counts, or one
+block and the part of the automaton that it can reach.  Parts grow in number with
+the n-grams, not in size.  Within a block, segments of documents go through the automaton from left to right
 in step, each carrying its state; a segment that continues a document first runs
 over the tokens before it, which fixes its state.
 
@@ -41,11 +42,14 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .textkernels import BASE, batches, mix, split_words, word_hashes
 
-ORDER = 2
+ORDER = 3
+#: Training occurrences that make an n-gram of several words an arc.
+MIN_COUNT = 2
 BLOCK_BYTES = 8 << 20
 PART_KEYS = 1_000_000
+#: Blocks with their answers that one task goes through.
+TASK_BLOCKS = 8
 DISCOUNT = 0.75
-MIN_ARC = 3
 SEGMENT = 1024
 #: Key of the end token, and what tells a state's key from an n-gram's.
 END = np.uint64(0x5EED0FE2D)
@@ -61,6 +65,19 @@ def unpacked(raw: bytes, dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd"), dtype) if raw else np.zeros(0, dtype)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte by byte: their leading bytes are zeros."""
+    return packed(np.diff(keys, prepend=keys[:1]).view(np.uint8).reshape(-1, keys.itemsize).T) + keys[:1].tobytes()
+
+
+def unpacked_keys(raw: bytes | None, dtype=np.uint64) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    if not raw or int.from_bytes(raw[:8], "little") == 0:
+        return np.zeros(0, dtype)
+    planes = unpacked(raw[:-size], np.uint8).reshape(size, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype) + np.frombuffer(raw[-size:], dtype)
+
+
 # -- blocks ----------------------------------------------------------------------------------------
 
 
@@ -107,17 +124,17 @@ class Level:
     def __init__(self, keys: np.ndarray, places: np.ndarray, train: np.ndarray):
         self.keys, self.places = keys, places
         at = np.flatnonzero(places >= 0)
-        self.seen = np.bincount(places[at][train[at]], minlength=len(keys)).astype(float)
+        self.seen = np.bincount(places[at][train[at]], minlength=len(keys)).astype(np.uint32)
         self.first = np.zeros(len(keys), dtype=np.int64)
         self.first[places[at[::-1]]] = at[::-1]
         self.counts = self.mass = np.zeros(len(keys))
 
 
 class Block:
-    """A block with the levels that are known; words too rare for the model have no key."""
+    """A block with the levels that are known; words too rare for longer n-grams have no key."""
 
-    def __init__(self, row: dict, least: float):
-        self.least = least  # training occurrences that n-grams within longer ones need
+    def __init__(self, row: dict, least: int):
+        self.least = least  # training occurrences that words within longer n-grams need
         self.sizes = np.array(row["sizes"], dtype=np.int64)
         self.train = np.repeat(~np.array(row["held"], dtype=bool), self.sizes)
         planes = unpacked(row["tokens"], np.uint8).reshape(4, -1)
@@ -125,44 +142,54 @@ class Block:
         keys = unpacked(row["keys"], np.uint64) if "keys" in row else np.zeros(row["n_keys"], np.uint64)
         self.levels = [Level(keys, places, self.train)]
 
-    def grow(self) -> None:
-        """Adds the n-grams that are one longer than the last and may be in the model."""
-        words, last = self.levels[0], self.levels[-1]
-        known = (last.places >= 0) & (last.counts[last.places] >= self.least)
-        inner = np.ones(len(words.places), dtype=bool)  # has a token of its own document before it
-        inner[np.cumsum(self.sizes)[:-1]] = False
-        inner[:1] = False
-        at = np.flatnonzero(inner)
-        at = at[known[at] & known[at - 1]]
-        keys, where = np.unique(mix(last.keys[last.places[at - 1]] * np.uint64(BASE) + words.keys[words.places[at]]), return_inverse=True)
-        places = np.full(len(words.places), -1, dtype=np.int64)
-        places[at] = where
-        self.levels.append(Level(keys, places, self.train))
-
-    def states(self, level: int) -> np.ndarray:
-        """Indices of the n-grams of a level that may be states."""
-        return np.flatnonzero(self.levels[level].counts >= self.least)
-
-    def take(self, answers: list[dict]) -> None:
-        """Rebuilds the levels from the answers to this block's packs, in the order of the levels."""
+    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each length from 2 to order: (tokens at which an n-gram of known words ends, its key)."""
+        words = self.levels[0]
+        known = words.counts[words.places] >= self.least
+        place = np.arange(len(known)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        own = words.keys[words.places]
+        at, keys = np.flatnonzero(known), own[known]
+        for length in range(2, order + 1):
+            whole = np.zeros(len(known), dtype=np.uint64)
+            whole[at] = keys
+            held = np.zeros(len(known) + 1, dtype=bool)
+            held[at] = True
+            at = np.flatnonzero(known & (place >= length - 1) & held[np.arange(len(known)) - 1])
+            keys = mix(whole[at - 1] * np.uint64(BASE) + own[at])
+            yield at, keys
+
+    def grow(self, order: int, marks: dict[int, list[dict]] | None) -> None:
+        """Adds the levels of longer n-grams; with marks (answers to their sketches), those only that may be in the model."""
+        for level, (at, keys) in enumerate(self.grams(order), 1):
+            keys, where = np.unique(keys, return_inverse=True)
+            use = np.ones(len(keys), dtype=bool) if marks is None else bits_in_order(marks.get(level, []), keys)
+            above = self.levels[-1].places
+            use = use[where] & (above[at] >= 0) & (above[at - 1] >= 0)
+            kept, at = np.unique(where[use], return_inverse=True), at[use]
+            places = np.full(len(self.train), -1, dtype=np.int64)
+            places[at] = kept[1]
+            self.levels.append(Level(keys[kept[0]], places, self.train))
+
+    def take_words(self, answers: list[dict]) -> None:
+        words = self.levels[0]
+        answers = sorted((a for a in answers if a["kind"] == "word"), key=lambda a: a["part"])
+        words.counts = np.zeros(len(words.keys))
+        for a in answers:
+            at, sums = unpacked(a["place"], np.int32), unpacked(a["value"], np.int64)
+            words.counts[at] = sums
+            words.keys[at[sums >= self.least]] = unpacked_keys(a["keys"])
+
+    def take(self, answers: list[dict], order: int, sketched: bool) -> None:
+        """All levels, with the counts and masses that are among the answers."""
         by: dict[tuple[int, str], list[dict]] = {}
         for a in sorted(answers, key=lambda a: a["part"]):
             by.setdefault((a["level"], a["kind"]), []).append(a)
-        for k in range(1 + max((level for level, _ in by), default=-1)):
+        self.take_words(answers)
+        self.grow(order, {k: by.get((k, "mark"), []) for k in range(1, order)} if sketched else None)
+        for k, level in enumerate(self.levels):
             if k:
-                self.grow()
-            level = self.levels[k]
-            if not k:
-                words = by.get((0, "count"), [])
-                level.counts = np.zeros(len(level.keys))
-                at = np.concatenate([unpacked(a["place"], np.int32) for a in words])
-                level.counts[at] = np.concatenate([unpacked(a["value"], np.int64) for a in words])
-                level.keys[at[level.counts[at] >= self.least]] = np.concatenate([unpacked(a["keys"], np.uint64) for a in words])
-            else:
                 level.counts = in_order(by.get((k, "count"), []), level.keys)
-                above, states = self.levels[k - 1], self.states(k - 1)
-                above.mass = np.zeros(len(above.keys))
-                above.mass[states] = in_order(by.get((k, "mass"), []), state_keys(above.keys[states]))
+            level.mass = in_order(by.get((k, "mass"), []), state_keys(level.keys))
 
 
 def state_keys(keys: np.ndarray) -> np.ndarray:
@@ -172,10 +199,15 @@ def state_keys(keys: np.ndarray) -> np.ndarray:
 # -- counting over all blocks ------------------------------------------------------------------
 
 
-def deal(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
-    """(part, indices of its keys in order) for each part that has any."""
+def short(keys: np.ndarray) -> np.ndarray:
+    """What a sketch holds of a key."""
+    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def deal(keys: np.ndarray, parts: int, by: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """(part, indices of its keys, sorted by key or by) for each part that has any."""
     part = ((keys >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((keys if by is None else by, part))
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     return [(int(part[x[0]]), x) for x in np.split(order, cuts) if len(x)]
 
@@ -189,21 +221,33 @@ def in_order(answers: list[dict], keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def pack_rows(block: int, keys: np.ndarray, seen: np.ndarray, parts: int, kind: str = "count", history: np.ndarray | None = None) -> list[dict]:
+def bits_in_order(answers: list[dict], keys: np.ndarray) -> np.ndarray:
+    """The marks of keys whose sketches were dealt."""
+    out = np.zeros(len(keys), dtype=bool)
+    if answers and len(keys):
+        dealt = deal(keys, answers[0]["parts"], short(keys))
+        out[np.concatenate([x for _, x in dealt])] = np.concatenate([np.unpackbits(unpacked(a["value"], np.uint8), count=len(x)) for a, (_, x) in zip(answers, dealt, strict=True)]).astype(bool)
+    return out
+
+
+def pack_rows(block: int, level: int, kind: str, keys: np.ndarray, parts: int, seen: np.ndarray, history: np.ndarray | None = None) -> list[dict]:
+    """A row for each part: sorted keys, and for words their places in the block, for longer n-grams their histories."""
     rows = []
     for part, at in deal(keys, parts):
-        row = {"part": part, "block": block, "kind": kind, "keys": packed(keys[at]), "seen": packed(seen[at]), "histories": None, "place": None}
-        if history is None and kind == "count":
+        row = {"part": part, "block": block, "level": level, "kind": kind, "keys": packed_keys(keys[at]), "seen": packed(seen[at]), "histories": None, "place": None}
+        if kind == "word":
             row["place"] = packed(at.astype(np.int32))
         if history is not None:
             own, place = np.unique(history[at], return_inverse=True)
-            row |= {"histories": packed(own), "place": packed(place.astype(np.int32))}
+            row |= {"histories": packed_keys(own), "place": packed(place.astype(np.int32))}
         rows.append(row)
     return rows
 
 
-PACK_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("kind", pa.string()), ("keys", pa.binary()), ("seen", pa.binary()), ("histories", pa.binary()), ("place", pa.binary())])
-PACK = "part int, block long, kind string, keys binary, seen binary, histories binary, place binary"
+PACK_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("level", pa.int32()), ("kind", pa.string()), ("keys", pa.binary()), ("seen", pa.binary()), ("histories", pa.binary()), ("place", pa.binary())])
+PACK = "part int, block long, level int, kind string, keys binary, seen binary, histories binary, place binary"
+ANSWER_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("level", pa.int32()), ("kind", pa.string()), ("keys", pa.binary()), ("place", pa.binary()), ("value", pa.binary()), ("parts", pa.int32())])
+ANSWER = "part int, block long, level int, kind string, keys binary, place binary, value binary, parts int"
 #: Blocks of rows that answer no block: what a part's arcs take from their states, and a part's totals.
 MASSES, TOTALS = -1, -2
 
@@ -214,62 +258,128 @@ def word_packs(blocks: DataFrame, parts: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 words = Block(row, 0).levels[0]
-                yield from pa.Table.from_pylist(pack_rows(row["block"], words.keys, words.seen, parts), PACK_TYPE).to_batches()
+                yield from pa.Table.from_pylist(pack_rows(row["block"], 0, "word", words.keys, parts, words.seen), PACK_TYPE).to_batches()
 
     return blocks.mapInArrow(run, PACK)
 
 
-def gram_packs(blocks: DataFrame, answers: DataFrame, parts: int, state_parts: int, least: float) -> DataFrame:
-    """Packs of the n-grams one longer than those that answers tells of, and of the states they extend."""
+def by_block(blocks: DataFrame, answers: DataFrame, n_blocks: int, run, schema: str) -> DataFrame:
+    """run(block, its answers) for each block; a task goes through a bounded number of them."""
+    width = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_blocks // TASK_BLOCKS))
+    left, right = blocks.repartition(width, "block"), answers.filter("block >= 0").repartition(width, "block")
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+
+def answer(row: dict, **values) -> dict:
+    return {"part": row["part"], "block": row["block"], "level": row["level"], "kind": row["kind"], "keys": None, "place": None, "parts": None} | values
+
+
+def resolve_words(packs: DataFrame, parts: int, least: int) -> DataFrame:
+    """Counts of each pack's words; those that reach least come back with their keys, so that blocks can go without them."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        held = [unpacked_keys(r["keys"]) for r in rows]
+        keys, where = np.unique(np.concatenate(held), return_inverse=True)
+        total = np.bincount(where, weights=np.concatenate([unpacked(r["seen"], np.uint32) for r in rows]), minlength=len(keys)).astype(np.int64)
+        out, at = [], 0
+        for r, own in zip(rows, held, strict=True):
+            sums = total[where[at : at + len(own)]]
+            at += len(own)
+            out.append(answer(r, keys=packed_keys(own[sums >= least]), place=r["place"], value=packed(sums), parts=parts))
+        out.append(answer(rows[0], block=TOTALS, value=packed(np.array([total.sum(), (total > 0).sum()], dtype=float))))
+        return pa.Table.from_pylist(out, ANSWER_TYPE)
+
+    return packs.groupBy("part").applyInArrow(run, ANSWER)
+
+
+def marked(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts: int, least: int) -> DataFrame:
+    """Answers to sketches: a bit for each n-gram of a block that may have been seen least times."""
+
+    def sketch(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         block = Block(row, least)
-        block.take(right.to_pylist())
-        block.grow()
-        above, level = block.levels[-2:]
-        history = state_keys(above.keys[above.places[level.first - 1]]) if len(level.keys) else level.keys
-        states = state_keys(above.keys[block.states(-2)])
-        rows = pack_rows(row["block"], level.keys, level.seen, parts, history=history)
-        return pa.Table.from_pylist(rows + pack_rows(row["block"], states, np.zeros(len(states)), state_parts, "mass"), PACK_TYPE)
+        block.take_words(right.to_pylist())
+        rows = []
+        for level, (at, keys) in enumerate(block.grams(order), 1):
+            keys, where = np.unique(keys, return_inverse=True)
+            seen = np.bincount(where[block.train[at]], minlength=len(keys)).astype(np.uint32)
+            for part, i in deal(keys, parts, short(keys)):
+                rows.append({"part": part, "block": row["block"], "level": level, "kind": "mark", "keys": packed_keys(short(keys[i])), "seen": packed(seen[i]), "histories": None, "place": None})
+        return pa.Table.from_pylist(rows, PACK_TYPE)
+
+    def mark(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        held = [unpacked_keys(r["keys"], np.uint32) for r in rows]
+        keys, where = np.unique(np.concatenate(held), return_inverse=True)
+        total = np.bincount(where, weights=np.concatenate([unpacked(r["seen"], np.uint32) for r in rows]), minlength=len(keys))
+        cuts = np.cumsum([len(x) for x in held])[:-1]
+        return pa.Table.from_pylist([answer(r, value=packed(np.packbits(x)), parts=parts) for r, x in zip(rows, np.split(total[where] >= least, cuts), strict=True)], ANSWER_TYPE)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, PACK)
+    return by_block(blocks, told, n_blocks, sketch, PACK).groupBy("level", "part").applyInArrow(mark, ANSWER)
 
 
-def resolve(packs: DataFrame, state_parts: int = 0, least: float = np.inf) -> DataFrame:
-    """Sums each part's keys over all packs and answers the packs of blocks, in their order.
+def gram_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts: int, state_parts: int, least: int, sketched: bool) -> DataFrame:
+    """Packs of the n-grams that may be in the model, with their histories, and of all states (kind mass)."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        block = Block(row, least)
+        block.take(right.to_pylist(), order, sketched)
+        rows = []
+        for k, level in enumerate(block.levels):
+            if k:
+                above = block.levels[k - 1]
+                history = state_keys(above.keys[above.places[level.first - 1]])
+                rows += pack_rows(row["block"], k, "count", level.keys, parts, level.seen, history)
+            if k < order - 1:
+                rows += pack_rows(row["block"], k, "mass", state_keys(level.keys), state_parts, np.zeros(len(level.keys), np.uint32))
+        return pa.Table.from_pylist(rows, PACK_TYPE)
+
+    return by_block(blocks, told, n_blocks, run, PACK)
 
-    Keys that reach least come back with their sums.  With state_parts, n-grams seen MIN_ARC times are arcs, and what they take from their
-    states is given out as packs for these states' parts; without, the part's totals are.
-    """
+
+def resolve_grams(packs: DataFrame, parts: int, state_parts: int, least: int) -> DataFrame:
+    """Counts of each pack's n-grams; what those seen least times take from their states is given out as packs for the states' parts."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        held = [unpacked(r["keys"], np.uint64) for r in rows]
-        limits = np.cumsum([0] + [len(x) for x in held])
+        held = [unpacked_keys(r["keys"]) for r in rows]
         keys, where = np.unique(np.concatenate(held), return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate([unpacked(r["seen"], np.float64) for r in rows]), minlength=len(keys))
-        part = rows[0]["part"]
+        total = np.bincount(where, weights=np.concatenate([unpacked(r["seen"], np.uint32) for r in rows]), minlength=len(keys))
+        cuts = np.cumsum([len(x) for x in held])[:-1]
+        out = [answer(r, value=packed(x), parts=parts) for r, x in zip(rows, np.split(total[where], cuts), strict=True)]
+        history = np.zeros(len(keys), dtype=np.uint64)
+        history[where] = np.concatenate([unpacked_keys(r["histories"])[unpacked(r["place"], np.int32)] for r in rows])
+        arcs = total >= least
+        states, of = np.unique(history[arcs], return_inverse=True)
+        mass = np.bincount(of, weights=total[arcs] - DISCOUNT, minlength=len(states))
+        out += [answer(rows[0], part=p, block=MASSES, level=rows[0]["level"] - 1, kind="mass", keys=packed_keys(states[at]), value=packed(mass[at])) for p, at in deal(states, state_parts)]
+        return pa.Table.from_pylist(out, ANSWER_TYPE)
+
+    return packs.groupBy("level", "part").applyInArrow(run, ANSWER)
+
+
+def resolve_masses(asked: DataFrame, taken: DataFrame, parts: int) -> DataFrame:
+    """What the arcs of each pack's states take in all."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        given = [r for r in rows if r["block"] == MASSES]
+        states, where = np.unique(np.concatenate([np.zeros(0, np.uint64), *(unpacked_keys(r["keys"]) for r in given)]), return_inverse=True)
+        mass = np.append(np.bincount(where, weights=np.concatenate([np.zeros(0), *(unpacked(r["value"], np.float64) for r in given)]), minlength=len(states)), 0.0)
         out = []
-        for i, r in enumerate(rows):
+        for r in rows:
             if r["block"] >= 0:
-                sums = total[where[limits[i] : limits[i + 1]]]
-                if np.isfinite(least):  # words: their places come back too, so that blocks can go without keys
-                    out.append({"part": part, "block": r["block"], "keys": packed(held[i][sums >= least]), "place": r["place"], "value": packed(sums.astype(np.int64))})
-                else:
-                    out.append({"part": part, "block": r["block"], "value": packed(sums)})
-        if state_parts:
-            history = np.zeros(len(keys), dtype=np.uint64)
-            history[where] = np.concatenate([unpacked(r["histories"], np.uint64)[unpacked(r["place"], np.int32)] for r in rows])
-            arcs = total >= MIN_ARC
-            states, of = np.unique(history[arcs], return_inverse=True)
-            mass = np.bincount(of, weights=total[arcs] - DISCOUNT, minlength=len(states))
-            out += [{"part": p, "block": MASSES, "keys": packed(states[at]), "value": packed(mass[at])} for p, at in deal(states, state_parts)]
-        else:
-            out.append({"part": part, "block": TOTALS, "value": packed(np.array([total.sum(), (total > 0).sum()], dtype=float))})
-        return pa.Table.from_pylist(out, pa.schema([("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("place", pa.binary()), ("value", pa.binary())]))
-
-    return packs.groupBy("part").applyInArrow(run, "part int, block long, keys binary, place binary, value binary")
+                own = unpacked_keys(r["keys"])
+                at = np.searchsorted(states, own)
+                found = (at < len(states)) & (np.append(states, np.uint64(0))[at] == own)
+                out.append(answer(r, value=packed(np.where(found, mass[at], 0.0)), parts=parts))
+        return pa.Table.from_pylist(out, ANSWER_TYPE)
+
+    columns = ("part", "block", "level", "kind", "keys")
+    rows = asked.select(*columns, F.lit(None).cast("binary").alias("value")).unionByName(taken.select(*columns, "value"))
+    return rows.groupBy("level", "part").applyInArrow(run, ANSWER)
 
 
 # -- the automaton of a block --------------------------------------------------------------------
@@ -278,7 +388,7 @@ def resolve(packs: DataFrame, state_parts: int = 0, least: float = np.inf) -> Da
 class Automaton:
     """Arcs and failure arcs of the n-grams of one block; places say which n-gram ends at each token."""
 
-    def __init__(self, levels: list[Level], n: int, v: int):
+    def __init__(self, levels: list[Level], n: int, v: int, least: int):
         self.levels, self.order = levels, len(levels)
         base = np.log10((levels[0].counts + 1) / (n + v + 1))
         self.unigram, self.known = base, levels[0].counts > 0
@@ -295,7 +405,7 @@ class Automaton:
             lower = 10 ** self.weight[k][level.places[first]] if len(first) else np.zeros(0)
             total = np.maximum(level.counts[history], 1)
             p = np.maximum(longer.counts - DISCOUNT, 0) / total + np.maximum(1 - level.mass[history] / total, 1e-12) * lower
-            self.weight.append(np.where(longer.counts >= MIN_ARC, np.log10(np.maximum(p, 1e-300)), -np.inf))
+            self.weight.append(np.where(longer.counts >= least, np.log10(np.maximum(p, 1e-300)), -np.inf))
 
     def run(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each document: its score, its score by single words and its known tokens."""
@@ -343,41 +453,40 @@ class Automaton:
         return np.bincount(doc, weights=score, minlength=len(sizes)), single, known
 
 
-def score_documents(docs: DataFrame, held: str = "held", order: int = ORDER, min_share: float = 0.0) -> DataFrame:
-    """Scores docs (doc_id, text and the boolean column held), learning from rows that aren't held out."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "backoff-lm")
+def score_documents(docs: DataFrame, held: str = "held", order: int = ORDER, min_count: int = MIN_COUNT) -> DataFrame:
+    """Scores docs (doc_id, text and the boolean column held), learning from rows that aren't held out.
+
+    The result has doc_id, held_out, n_tokens, n_known, base_score, score and train_tokens;
+    other columns of docs are not read.
+    """
+    scratch = Scratch(docs.sparkSession, "backoff-lm")
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    blocks = scratch.keep(encode(docs.select("doc_id", text.alias("text"), F.col(held).alias("held"))), "blocks")
+    blocks = scratch.keep(encode(docs.select("doc_id", text.alias("text"), F.coalesce(F.col(held), F.lit(False)).alias("held"))), "blocks")
     all_tokens = F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")
-    n_keys, n_tokens, n = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_keys", all_tokens, "n_train"))).first()
-    least = max(MIN_ARC, min_share * n)
-    slots = spark.sparkContext.defaultParallelism
+    n_blocks, n_keys, n_tokens, n = blocks.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_keys", all_tokens, "n_train"))).first()
+    slots = docs.sparkSession.sparkContext.defaultParallelism
     word_parts, gram_parts = (max(slots, -(-x // PART_KEYS)) for x in (n_keys, n_tokens // 2))
-    told = scratch.keep(resolve(word_packs(blocks, word_parts), least=least), "words")
+    told = scratch.keep(resolve_words(word_packs(blocks, word_parts), word_parts, min_count), "words")
     blocks = blocks.drop("keys")
     v = sum(int(unpacked(r["value"], np.float64)[1]) for r in told.filter(F.col("block") == TOTALS).select("value").toLocalIterator())
-
-    def as_answers(table: DataFrame, level: int, kind: str, parts: int) -> DataFrame:
-        return table.filter("block >= 0").select("block", "part", F.lit(level).alias("level"), F.lit(kind).alias("kind"), F.lit(parts).alias("parts"), "keys", "place", "value")
-
-    answers = as_answers(told, 0, "count", word_parts)
-    for level in range(1, order):
-        packs = scratch.keep(gram_packs(blocks, answers, gram_parts, word_parts, least), f"packs{level}")
-        counts = scratch.keep(resolve(packs.filter("kind = 'count'"), word_parts), f"counts{level}")
-        taken = counts.filter(F.col("block") == MASSES).select("part", "block", F.lit("mass").alias("kind"), "keys", F.col("value").alias("seen"), *(F.lit(None).cast("binary").alias(c) for c in ("histories", "place")))
-        masses = scratch.keep(resolve(packs.filter("kind = 'mass'").unionByName(taken)), f"masses{level}")
-        scratch.drop(f"packs{level}")
-        answers = answers.unionByName(as_answers(counts, level, "count", gram_parts)).unionByName(as_answers(masses, level, "mass", word_parts))
+    sketched = min_count > 1
+    if order > 1:
+        if sketched:
+            told = told.unionByName(scratch.keep(marked(blocks, told, n_blocks, order, gram_parts, min_count), "marks"))
+        packs = scratch.keep(gram_packs(blocks, told, n_blocks, order, gram_parts, word_parts, min_count, sketched), "packs")
+        counts = scratch.keep(resolve_grams(packs.filter("kind = 'count'"), gram_parts, word_parts, min_count), "counts")
+        masses = scratch.keep(resolve_masses(packs.filter("kind = 'mass'"), counts.filter(F.col("block") == MASSES), word_parts), "masses")
+        scratch.drop("packs")
+        told = told.unionByName(counts).unionByName(masses)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block(left.to_pylist()[0], least)
-        block.take(right.to_pylist())
-        total, single, known = Automaton(block.levels, n, v).run(block.sizes)
+        block = Block(left.to_pylist()[0], min_count)
+        block.take(right.to_pylist(), order, sketched)
+        total, single, known = Automaton(block.levels, n, v, min_count).run(block.sizes)
         ids, flags = (left[c].combine_chunks().flatten() for c in ("doc_ids", "held"))
         return pa.table({"doc_id": ids, "held_out": flags, "n_tokens": block.sizes, "n_known": known, "base_score": single, "score": total})
 
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, out)
+    scored = by_block(blocks, told, n_blocks, score, out)
     return scored.withColumn("train_tokens", F.lit(n).cast("long"))

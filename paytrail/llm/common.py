@@ -30,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _own: str | None = None
+#: Spark's setting to delete the shuffle files of a query once it is done.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -47,8 +49,13 @@ class Scratch:
         return f"{self.path}/{name}"
 
     def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """Writes df and returns the written table."""
-        df.write.mode("overwrite").options(**{"compression": "zstd", **options}).parquet(self.at(name))
+        """Writes df and returns the written table; the shuffle files of the write go with its end."""
+        before = self.spark.conf.get(FREE_SHUFFLES, "false")
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").options(**{"compression": "zstd", **options}).parquet(self.at(name))
+        finally:
+            self.spark.conf.set(FREE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(self.at(name))
 
     def drop(self, *names: str) -> None:

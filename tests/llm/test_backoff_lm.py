@@ -16,14 +16,13 @@ from .texts import DOCS, corpus, words
 class Model:
     """The same model as dictionaries, with its recursion written out."""
 
-    def __init__(self, texts, order, share):
+    def __init__(self, texts, order, least):
         self.c = Counter(tuple(w[i : i + k]) for w in texts for k in range(1, order + 1) for i in range(len(w) - k + 1))
         self.n = sum(len(w) for w in texts)
         self.v = sum(len(g) == 1 for g in self.c)
-        least = max(backoff_lm.MIN_ARC, share * self.n)
         self.arcs = {g for g in self.c if len(g) == 1}
         for k in range(2, order + 1):
-            self.arcs |= {g for g, c in self.c.items() if len(g) == k and c >= backoff_lm.MIN_ARC and g[:-1] in self.arcs and g[1:] in self.arcs and min(self.c[g[:-1]], self.c[g[1:]]) >= least}
+            self.arcs |= {g for g, c in self.c.items() if len(g) == k and c >= least}
         self.mass = Counter()
         for g in self.arcs:
             if len(g) > 1:
@@ -43,16 +42,15 @@ def tokens(text):
     return [*words(text), "\0end"]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_equals_the_recursion(spark, order, monkeypatch):
+@pytest.mark.parametrize(("order", "least"), [(1, 2), (2, 3), (3, 2), (3, 1), (4, 2)])
+def test_equals_the_recursion(spark, order, least, monkeypatch):
     monkeypatch.setattr(backoff_lm, "SEGMENT", 64)
     monkeypatch.setattr(backoff_lm, "PART_KEYS", 200)
     rows = [(i, t) for i, t in corpus() if i is not None]
     docs = spark.createDataFrame(rows, DOCS).withColumn("held", remainder(F.col("doc_id"), 7) == 2)
-    share = 4e-4
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
-    model = Model([tokens(t) for i, t in rows if not held[i]], order, share)
-    got = sorted((r.asDict() for r in backoff_lm.score_documents(docs, order=order, min_share=share).collect()), key=lambda r: (r["doc_id"], r["n_tokens"]))
+    model = Model([tokens(t) for i, t in rows if not held[i]], order, least)
+    got = sorted((r.asDict() for r in backoff_lm.score_documents(docs, order=order, min_count=least).collect()), key=lambda r: (r["doc_id"], r["n_tokens"]))
     assert order == 1 or len(model.mass) > 5
     for r, (i, t) in zip(got, sorted(rows, key=lambda x: (x[0], len(tokens(x[1])))), strict=True):
         w = tokens(t)
@@ -63,7 +61,7 @@ def test_equals_the_recursion(spark, order, monkeypatch):
 
 
 def test_each_state_sums_to_one():
-    model = Model([tokens(t) for _, t in corpus() if t], 3, 4e-4)
+    model = Model([tokens(t) for _, t in corpus() if t], 3, 2)
     vocabulary = [g[0] for g in model.c if len(g) == 1]
     for history in [*list(model.mass)[:5], ("nowhere",)]:
         unknown = model.p(history, "\0unknown")
@@ -83,7 +81,7 @@ def test_rare_words_are_in_pairs_at_any_size(spark):
     rows = [(i, "common " * 100_000) for i in range(3)] + [(10 + i, "seldom found") for i in range(4)]
     docs = spark.createDataFrame(rows, DOCS).withColumn("held", F.lit(False))
     out = {r["doc_id"]: r for r in backoff_lm.score_documents(docs).collect()}
-    model = Model([tokens(t) for _, t in rows], 2, 0)
+    model = Model([tokens(t) for _, t in rows], 3, 2)
     w = tokens("seldom found")
-    assert out[10]["score"] == pytest.approx(sum(math.log10(model.p(tuple(w[max(0, j - 1) : j]), x)) for j, x in enumerate(w)), abs=1e-6)
+    assert out[10]["score"] == pytest.approx(sum(math.log10(model.p(tuple(w[max(0, j - 2) : j]), x)) for j, x in enumerate(w)), abs=1e-6)
     assert out[10]["score"] > out[10]["base_score"] + 5
