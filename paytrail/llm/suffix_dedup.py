@@ -8,15 +8,19 @@ Suffixes whose first GRAM words occur once are done.  The others are classed by
 words around them, LEFT before and RIGHT from the position: suffixes of one class
 repeat each other throughout.  Then one suffix of each class, where a gram has several
 classes, is sorted by its words, compared with its neighbours and extended from the
-position left and right; a second sort, by the words before it, finds partners that
-others stand between in the first.  A match of LEAST words or more counts, and
-goes back to all members of the class.  The matches of a text are merged into spans.
+position left and right; a second sort is by the words before it.  A match of LEAST words or
+more counts, and goes back to all members of the class.
 
-Sorting is by range, so a gram of any number of occurrences is spread over tasks;
-the rows at the limits of ranges are compared afterwards.
+In the first order the longest match to the right of a suffix is that with a neighbour, in the
+second the longest to the left.  Stretches of LEAST words that both lengths would allow,
+but no neighbour shared, may be shared with a suffix further away: they are looked up by
+hash among the suffixes of their gram.  So no repeated stretch of LEAST words is
+missed.  The matches of a text are merged into spans.
 
-Words are compared by hashes of 16 bits in runs of LEAST or more, which only equal
-passages pass; a limit of a span may be one word too far once in 65,000.
+Sorting is by range of all words around the position, so a gram of any number of occurrences
+is spread over tasks; the rows at the limits of ranges are compared afterwards.
+
+Words around a gram are compared by hashes of 32 bits, grams and classes by 64.
 
 Defined results: null and empty texts have no spans.  A passage that occurs twice in
 one text is repeated.  Rows that repeat identifier and text repeat each other.
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -38,10 +42,10 @@ from .textkernels import BASE, BASE_INVERSE, batches, gram_hashes, mix, powers,
 GRAM, WINDOW, LEAST = 12, 39, 51
 LEFT, RIGHT = WINDOW, LEAST
 BATCH_BYTES = 4 << 20
-#: Neighbours on either side that a suffix is compared with.
-NEAR = 2
 #: Rows that may be broadcast: keys of 8 bytes, or positions of the suffixes to fetch.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 250_000
+#: Masks have a bit for each number of words, up to LEFT, by which a stretch of LEAST words may begin before a position.
+ALL_STARTS = (1 << LEFT + 1) - 1
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -94,14 +98,14 @@ class Suffixes:
         return mix(mix(inner) + (self.left << 8).astype(np.uint64) + self.right.astype(np.uint64) + self.keys)
 
     def codes(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """16-bit word hashes before (nearest first) and after the gram of the chosen suffixes."""
-        short = (self.words >> np.uint64(48)).astype(">u2")
+        """32-bit word hashes before (nearest first) and after the gram of the chosen suffixes; no word is 0."""
+        short = np.maximum(self.words >> np.uint64(32), np.uint64(1)).astype(">u4")
         out = []
         for length, step, origin in ((self.left[which], -1, self.at[which] - 1), (self.right[which] - GRAM, 1, self.at[which] + GRAM)):
             width = LEFT if step < 0 else RIGHT - GRAM
             offset = np.arange(width)
             where = np.clip(origin[:, None] + step * offset, 0, max(len(short) - 1, 0))
-            out.append(np.where(offset < length[:, None], short[where] if len(short) else 0, 0).astype(">u2"))
+            out.append(np.where(offset < length[:, None], short[where] if len(short) else 0, 0).astype(">u4"))
         return out[0], out[1]
 
 
@@ -137,33 +141,41 @@ def contents(docs: DataFrame) -> DataFrame:
             which = np.flatnonzero(np.isin((s.text << 40) | (s.at - s.start), asked))
             before, after = s.codes(which)
             columns = [long_array(s.keys[which]), long_array(s.classes()[which]), pa.array(s.left[which].astype(np.int32)), pa.array(s.right[which].astype(np.int32))]
-            columns += [pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * x.shape[1]), len(which), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) for x in (before, after)]
+            columns += [pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * x.shape[1]), len(which), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) for x in (before, after)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "class", "left", "right", "before", "after"])
 
     return docs.mapInArrow(run, "key long, class long, left int, right int, before binary, after binary")
 
 
+def starts_from(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Masks with the bits from low to high, none if low is greater."""
+    one = np.int64(1)
+    return np.where(low <= high, (one << (high + 1)) - (one << np.minimum(low, high + 1)), 0)
+
+
 class Rows:
     """Suffixes in sorted order."""
 
     def __init__(self, table: pa.Table):
         column = lambda c: table[c].combine_chunks()
-        self.table = table
         self.key, self.klass = (column(c).to_numpy() for c in ("key", "class"))
         self.left, self.right = (column(c).to_numpy().astype(np.int64) for c in ("left", "right"))
-        self.before, self.after = (np.frombuffer(b"".join(column(c).to_pylist()), np.uint16).reshape(len(table), -1) for c in ("before", "after"))
+        self.before, self.after = (np.frombuffer(b"".join(column(c).to_pylist()), ">u4").reshape(len(table), -1) for c in ("before", "after"))
 
     def matches(self) -> pa.Table:
-        """(class, l, r) of each suffix and neighbour that repeat LEAST words or more around their positions."""
-        out = []
-        for step in range(1, NEAR + 1):
-            a, b = slice(0, max(len(self.key) - step, 0)), slice(step, None)
-            l = np.minimum(shared(self.before[a], self.before[b]), np.minimum(self.left[a], self.left[b]))  # noqa: E741
-            r = np.minimum(GRAM + shared(self.after[a], self.after[b]), np.minimum(self.right[a], self.right[b]))
-            hit = (self.key[a] == self.key[b]) & (l + r >= LEAST)
-            out += [np.stack((self.klass[x][hit], l[hit], r[hit]), axis=1) for x in (a, b)]
-        found = np.concatenate(out)
-        return pa.table({"class": found[:, 0].copy(), "l": pa.array(found[:, 1].astype(np.int32)), "r": pa.array(found[:, 2].astype(np.int32))})
+        """(class, l, r, mask) of each suffix that has a neighbour of its gram: the most words that it shares with one
+        to the left and to the right, and the starts of the stretches of LEAST words that it shares with one."""
+        a, b = slice(0, max(len(self.key) - 1, 0)), slice(1, None)
+        l = np.minimum(shared(self.before[a], self.before[b]), np.minimum(self.left[a], self.left[b]))  # noqa: E741
+        r = np.minimum(GRAM + shared(self.after[a], self.after[b]), np.minimum(self.right[a], self.right[b]))
+        same = self.key[a] == self.key[b]
+        pair = np.stack((np.where(same, l, 0), np.where(same, r, 0), np.where(same, starts_from(LEAST - r, l), 0)))
+        none = np.zeros((3, 1), dtype=np.int64)
+        up, down = np.concatenate((pair, none), axis=1), np.concatenate((none, pair), axis=1)
+        best, mask = np.maximum(up[:2], down[:2]), up[2] | down[2]
+        hit = np.flatnonzero(best[1])
+        columns = [self.klass[hit], best[0, hit].astype(np.int32), best[1, hit].astype(np.int32), mask[hit]]
+        return pa.table(dict(zip(("class", "l", "r", "mask"), map(pa.array, columns), strict=True)))
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -172,48 +184,73 @@ def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(apart.any(axis=1), apart.argmax(axis=1), a.shape[1])
 
 
-EDGE = "class long, l int, r int, part int, seq int, key long, left int, right int, before binary, after binary"
+MATCH = "class long, l int, r int, mask long"
+EDGE = f"{MATCH}, part int, last boolean, key long, left int, right int, before binary, after binary"
+OWN = ("key", "left", "right", "before", "after")
 
 
-def compare_sorted(rows: DataFrame, by: str, scratch: Scratch) -> DataFrame:
-    """Sorts suffixes by key and the words in column by, and gives the matches (class, l, r) of neighbours."""
+def compare_sorted(rows: DataFrame, by: str, then: str, scratch: Scratch) -> DataFrame:
+    """Sorts suffixes by key and the words in columns by and then, and gives the matches() of neighbours."""
+    blank = pa.schema([("part", pa.int32()), ("last", pa.bool_()), ("key", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held, n_rows = None, 0
+        held = None
 
-        def edge(table: pa.Table, seq: int) -> pa.Table:
-            n = table.num_rows
-            blank = {"l": pa.nulls(n, pa.int32()), "r": pa.nulls(n, pa.int32()), "part": pa.array([part] * n, pa.int32()), "seq": pa.array(range(seq, seq + n), pa.int32())}
-            return pa.table({"class": table["class"], **blank, **{c: table[c] for c in ("key", "left", "right", "before", "after")}})
+        def edge(row: pa.Table, last: bool) -> pa.Table:
+            none = {c: pa.nulls(1, t) for c, t in (("l", pa.int32()), ("r", pa.int32()), ("mask", pa.int64()))}
+            return pa.table({"class": row["class"], **none, "part": pa.array([part], pa.int32()), "last": pa.array([last]), **{c: row[c] for c in OWN}})
 
         for batch in stream:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            if n_rows < NEAR:
-                yield from edge(table.slice(0, NEAR - n_rows), n_rows).to_batches()
-            n_rows += batch.num_rows
+            if held is None:
+                yield from edge(table.slice(0, 1), False).to_batches()
             table = pa.concat_tables([held, table]) if held is not None else table
             found = Rows(table).matches()
-            n = found.num_rows
-            blank = {c: pa.nulls(n, t) for c, t in (("part", pa.int32()), ("seq", pa.int32()), ("key", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("before", pa.binary()), ("after", pa.binary()))}
-            yield from pa.table({**{c: found[c] for c in ("class", "l", "r")}, **blank}).to_batches()
-            held = table.slice(max(table.num_rows - NEAR, 0))
+            yield from pa.table({**{c: found[c] for c in found.column_names}, **{f.name: pa.nulls(found.num_rows, f.type) for f in blank}}).to_batches()
+            held = table.slice(table.num_rows - 1)
         if held is not None:
-            fresh = min(held.num_rows, max(n_rows - NEAR, 0))  # rows that are not among the first
-            yield from edge(held.slice(held.num_rows - fresh), n_rows - fresh).to_batches()
+            yield from edge(held, True).to_batches()
 
     def compare_edges(group: pa.Table) -> pa.Table:
-        return Rows(group.sort_by([("part", "ascending"), ("seq", "ascending")])).matches()
+        return Rows(group.sort_by([("last", "descending")])).matches()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "key", by).sortWithinPartitions("key", by)
+    ordered = rows.repartitionByRange(n, "key", by, then).sortWithinPartitions("key", by, then)
     found = scratch.keep(ordered.mapInArrow(run, EDGE), f"by-{by}")
-    # A few rows of each range, put next to those of the following one.
-    edges = found.filter("part is not null").select(F.lit(0).alias("all"), "part", "seq", "key", "class", "left", "right", "before", "after")
-    across = edges.groupBy("all").applyInArrow(compare_edges, "class long, l int, r int")
-    return found.filter("part is null").select("class", "l", "r").unionByName(across)
+    # The last row of each range that has rows is put beside the first of the next such range.
+    edges = found.filter("part is not null")
+    parts = sorted(r["part"] for r in edges.filter("last").select("part").collect())
+    place = rows.sparkSession.createDataFrame(list(zip(parts, range(len(parts)), strict=True)), "part int, place int")
+    limit = F.col("place") - F.when(F.col("last"), 0).otherwise(1)
+    across = edges.join(F.broadcast(place), "part").select(limit.alias("limit"), "last", "class", *OWN).groupBy("limit").applyInArrow(compare_edges, MATCH)
+    return found.filter("part is null").select("class", "l", "r", "mask").unionByName(across)
+
+
+def stretches_by_hash(content: DataFrame, sought: DataFrame) -> DataFrame:
+    """(class, mask) of stretches that classes share: those of content whose starts sought (key, starts) asks for.
+
+    content has mask, the starts at which a suffix may share a stretch with any other.
+    """
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = LEAST - GRAM
+        for batch in stream:
+            key, klass, asked = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "class", "asked"))
+            before, after = (np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(batch.num_rows, -1) for c in ("before", "after"))
+            for start in range(LEFT + 1):
+                at = np.flatnonzero(asked >> start & 1)
+                if len(at):
+                    words = np.concatenate((before[at, :start], after[at, : width - start]), axis=1).astype(np.uint64)
+                    hashes = mix(mix((words * powers(BASE, width)).sum(axis=1, dtype=np.uint64)) + mix(key[at].view(np.uint64) + np.uint64(start)))
+                    yield pa.RecordBatch.from_arrays([long_array(hashes), pa.array(klass[at]), pa.array(np.full(len(at), start, np.int32))], names=["hash", "class", "start"])
+
+    asked = content.join(sought, "key").withColumn("asked", F.col("mask").bitwiseAND(F.col("starts"))).filter("asked <> 0")
+    rows = asked.select("key", "class", "asked", "before", "after").mapInArrow(run, "hash long, class long, start int")
+    held = rows.groupBy("hash").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select("hash")
+    return rows.join(held, "hash").groupBy("class").agg(F.bit_or(F.expr("shiftleft(1L, start)")).alias("mask"))
 
 
 def small(df: DataFrame, n: int) -> DataFrame:
@@ -233,19 +270,37 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     mixed = keys.filter("low <> high").select("key")
     members = suffixes.join(small(mixed, mixed.count()), "key")
     classes = scratch.keep(members.groupBy("key", "class").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")), "classes")
-    whole = single.unionByName(classes.filter("n > 1").select("class")).select("class", F.lit(LEFT).alias("l"), F.lit(RIGHT).alias("r"))
+    whole = single.unionByName(classes.filter("n > 1").select("class")).select("class", F.lit(ALL_STARTS).alias("mask"))
     wanted = classes.groupBy("one.row").agg(F.collect_list("one.place").alias("wanted"))
     sought = texts.select("row", "text").join(small(wanted, classes.count()), "row").select("text", "wanted")
     content = scratch.keep(contents(sought).dropDuplicates(["key", "class"]), "contents")
-    found = compare_sorted(content, "after", scratch).unionByName(compare_sorted(content, "before", scratch))
-    reach = scratch.keep(whole.unionByName(found).groupBy("class").agg(F.max("l").alias("l"), F.max("r").alias("r")), "reach")
-    scratch.drop("contents", "by-after", "by-before")
-    hits = suffixes.join(small(reach, reach.count()), "class")
+    found = compare_sorted(content, "after", "before", scratch).unionByName(compare_sorted(content, "before", "after", scratch))
+    reach = scratch.keep(found.groupBy("class").agg(F.max("l").alias("l"), F.max("r").alias("r"), F.bit_or("mask").alias("shared")), "reach")
+    # Starts from LEAST - r to l: where a stretch may be shared with any suffix at all.
+    may = F.when(F.col("l") + F.col("r") >= LEAST, F.expr(f"shiftleft(1L, l + 1) - shiftleft(1L, {LEAST} - r)")).otherwise(F.lit(0).cast("long"))
+    open_ = content.join(reach.select("class", may.alias("mask"), "shared"), "class").filter("mask <> 0")
+    open_ = scratch.keep(open_.join(classes.select("class", (F.col("n") > 1).alias("whole")), "class"), "open")
+    asking = open_.filter("not whole").select("key", F.col("mask").bitwiseAND(F.bitwise_not("shared")).alias("starts")).filter("starts <> 0")
+    asking = scratch.keep(asking.groupBy("key").agg(F.bit_or("starts").alias("starts")), "asking")
+    further = scratch.keep(stretches_by_hash(open_, small(asking, asking.count())), "further")
+    masks = whole.unionByName(reach.filter("shared <> 0").select("class", F.col("shared").alias("mask"))).unionByName(further)
+    masks = masks.groupBy("class").agg(F.bit_or("mask").alias("mask"))
+    scratch.drop("contents", "by-after", "by-before", "open", "asking")
+    runs = scratch.keep(masks.select("class", F.explode(runs_of("mask")).alias("run")).select("class", "run.*"), "runs")
+    hits = suffixes.join(small(runs, runs.count()), "class")
     at, left, right = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
-    stretch = hits.select("doc_id", "row", (at - F.least("l", left)).alias("start"), (at + F.least("r", right)).alias("end")).filter(F.col("end") - F.col("start") >= LEAST)
+    stretch = hits.select("doc_id", "row", (at - F.least("high", left)).alias("start"), (at + F.least(LEAST - F.col("low"), right)).alias("end")).filter(F.col("end") - F.col("start") >= LEAST)
     return merged(stretch)
 
 
+def runs_of(mask: str) -> Column:
+    """array<struct<low, high>> of the runs of set bits of a mask."""
+    bit = f"(shiftright({mask}, i) & 1) = 1"
+    ends = lambda step: F.expr(f"filter(sequence(0, {LEFT}), i -> {bit} AND NOT {bit.replace(', i)', f', i + {step})')})")
+    starts = F.expr(f"filter(sequence(0, {LEFT}), i -> {bit} AND (i = 0 OR NOT {bit.replace(', i)', ', i - 1)')}))")
+    return F.arrays_zip(starts.alias("low"), ends(1).alias("high"))
+
+
 def merged(stretches: DataFrame) -> DataFrame:
     """Overlapping or touching stretches of a text as one."""
     order = Window.partitionBy("doc_id", "row").orderBy("start", "end")

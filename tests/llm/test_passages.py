@@ -40,6 +40,31 @@ def test_spans_equal_brute_force(spark, monkeypatch, broadcast):
     assert sorted({(r["doc_id"], r["start_word"], r["end_word"]) for r in out.collect()}, key=str) == sorted(set(repeated_spans(rows)), key=str)
 
 
+def test_partners_far_from_their_neighbours_are_found(spark):
+    """Passages of 51 words that two texts share, among texts that share more of either side with them, but not both."""
+    rows = []
+    for g in range(4):
+        fresh = iter(range(10**6))
+        new = lambda n, g=g, it=fresh: [f"w{g}x{next(it)}" for _ in range(n)]
+        passage = new(51)
+        beyond, before = new(20), new(12)
+        for k in range(2):
+            rows.append((1000 * g + k, " ".join(new(60) + before[6:] + passage + beyond[:8] + new(60))))
+        for k in range(16):
+            rows.append((1000 * g + 100 + k, " ".join(new(60) + passage[30:] + beyond + new(60))))
+            rows.append((1000 * g + 200 + k, " ".join(new(60) + before + passage[:30] + new(60))))
+    base = prose(200, 31, 3_000).split()
+    for k in range(300):  # copies with a word of their own every 30 words
+        own = list(base)
+        for at in range(k % 30, 200, 30):
+            own[at] = f"e{k}x{at}"
+        rows.append((50_000 + k, " ".join(own)))
+    for k in range(200):  # copies that end and begin anywhere
+        rows.append((60_000 + k, " ".join(prose(20, 8_000 + k, 3_000).split() + base[(7 * k) % 120 : (7 * k) % 120 + 40 + k % 30] + prose(20, 9_000 + k, 3_000).split())))
+    out = suffix_dedup.repeated_passages(spark.createDataFrame(rows, DOCS))
+    assert sorted({(r["doc_id"], r["start_word"], r["end_word"]) for r in out.collect()}, key=str) == repeated_spans(rows)
+
+
 def test_no_spans_in_nothing(spark):
     assert suffix_dedup.repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
     assert suffix_dedup.repeated_passages(spark.createDataFrame([(1, None), (2, "a b"), (3, prose(300, 1))], DOCS)).count() == 0
