@@ -45,7 +45,7 @@ COVERED, SHARE = 12, 0.8
 SHORTEST = 5
 #: Tokens of a window that must be words of their own.
 LITERALS = 4
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Distinct benchmark windows that tasks may hold, 8 bytes each.
 HELD_WINDOWS = 4_000_000
 #: Placeholders.

@@ -30,7 +30,7 @@ from .textkernels import batches
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 #: Texts to (text index, bucket) of the features that a text has, in any order, repeats included.
 Featurise = Callable[[pa.ChunkedArray], tuple[np.ndarray, np.ndarray]]

@@ -341,7 +341,7 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     """(node, shingles): the distinct word shingles of each text as sorted 64-bit hashes; a shorter text is one."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, "text", 4 << 20):
+        for batch in batches(stream, "text", 1 << 20):
             found = split_words(batch["text"])
             hashes = word_hashes(found)
             grams = gram_hashes(hashes, words)
@@ -354,6 +354,62 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
+#: Powers of two of bits that a sketch has at least and at most.
+LEAST_SKETCH, MOST_SKETCH = 6, 14
+
+
+def folded(bits: np.ndarray, power: int) -> np.ndarray:
+    """Sketches (rows of uint64) with 2**power bits, by adding up their halves."""
+    while bits.shape[1] > 1 << power - 6:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def shingle_sketches(texts: DataFrame, words: int) -> DataFrame:
+    """(node, n, bits): number of a text's distinct shingles, and for each of 2**k cells whether an odd number of them is in it.
+
+    Cells in which two sketches differ hold a shingle that one set lacks, so sets differ
+    in at least as many shingles.  A sketch has about a bit for each shingle.
+    """
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            sizes, bits = [], []
+            for held in batch.column("shingles"):
+                own = np.frombuffer(held.as_py(), np.uint64)
+                power = min(max(int(len(own)).bit_length(), LEAST_SKETCH), MOST_SKETCH)
+                cells = np.bincount((mix(own) & np.uint64((1 << power) - 1)).astype(np.int64), minlength=1 << power)
+                sizes.append(len(own))
+                bits.append(np.packbits((cells & 1).astype(np.uint8), bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+
+    return shingle_sets(texts, words).mapInArrow(run, "node long, n int, bits binary")
+
+
+def most_apart(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles in which similar sets of n and m may differ at most."""
+    return (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
+
+
+def possible_links(links: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) whose sketches leave such a similarity possible."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(s.as_py(), np.uint64)[None] for s in (x, y))
+                power = min(x.shape[1], y.shape[1]).bit_length() + 5
+                keep.append(int(np.bitwise_count(folded(x, power) ^ folded(y, power)).sum()))
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(keep) <= most_apart(n, m, similarity)))
+
+    x, y = (sketches.select(F.col("node").alias(c), F.col("n").alias(n), F.col("bits").alias(s)) for c, n, s in (("a", "n", "x"), ("b", "m", "y")))
+    pairs = links.join(x, "a").join(y, "b").filter(F.least("n", "m") >= similarity * F.greatest("n", "m") - 1e-6)
+    return pairs.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def text_sets(nodes: DataFrame, docs: DataFrame, scratch: Scratch, words: int, name: str) -> DataFrame:
     """shingle_sets() of the texts whose keys are in nodes."""
     few = F.broadcast(nodes) if nodes.count() <= BROADCAST_TEXTS else nodes
@@ -361,8 +417,9 @@ def text_sets(nodes: DataFrame, docs: DataFrame, scratch: Scratch, words: int, n
     return scratch.keep(shingle_sets(texts, words), name)
 
 
-def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: int, similarity: float, name: str = "links") -> DataFrame:
+def similar_links(links: DataFrame, sketches: DataFrame, docs: DataFrame, scratch: Scratch, words: int, similarity: float, name: str = "links") -> DataFrame:
     """The links (a, b) whose texts have so great a Jaccard similarity of word shingles."""
+    links = scratch.keep(possible_links(links, sketches, similarity), f"{name}-possible")
     nodes = scratch.keep(links.select(F.col("a").alias("node")).union(links.select("b")).distinct(), f"{name}-nodes")
     sets = text_sets(nodes, docs, scratch, words, f"{name}-sets")
 
@@ -376,9 +433,10 @@ def similar_links(links: DataFrame, docs: DataFrame, scratch: Scratch, words: in
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     x, y = sets.withColumnsRenamed({"node": "a", "shingles": "x"}), sets.withColumnsRenamed({"node": "b", "shingles": "y"})
-    size = lambda c: F.octet_length(c)  # noqa: E731  # Jaccard is at most the smaller size by the larger
-    pairs = links.join(x, "a").join(y, "b").filter(F.least(size("x"), size("y")) >= similarity * F.greatest(size("x"), size("y")) - 1e-6)
-    return scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), name)
+    pairs = links.join(x, "a").join(y, "b")
+    found = scratch.keep(pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), name)
+    scratch.drop(f"{name}-possible", f"{name}-nodes", f"{name}-sets")
+    return found
 
 
 # -- the links that no fingerprint tells of -----------------------------------------------------
@@ -390,7 +448,7 @@ HOT_SHARE = 256
 #: Lists with at most so many texts are compared pair by pair, longer ones in bundles.
 SHORT_LIST = 4
 #: Texts, and shingles of them, of one block of a bundle.
-BLOCK_TEXTS, BLOCK_SHINGLES = 2_048, 2_000_000
+BLOCK_TEXTS, BLOCK_SHINGLES = 2_048, 300_000
 #: Shingles' lists and bundles that may be broadcast, some 40 bytes each.
 BROADCAST_LISTS = 500_000
 
@@ -422,7 +480,7 @@ def prefix_rows(texts: DataFrame, words: int, similarity: float, last: tuple[np.
     common, often = last
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, "text", 4 << 20):
+        for batch in batches(stream, "text", 1 << 20):
             found = split_words(batch["text"])
             hashes = word_hashes(found)
             grams = gram_hashes(hashes, words)
@@ -494,7 +552,11 @@ def list_candidates(rows: DataFrame, similarity: float) -> DataFrame:
         partner = np.zeros(len(size), dtype=np.int64)
         with_head = chosen[l_group[chosen] == own[l_of[chosen]]]
         partner[l_of[with_head]] = l_node[with_head]
+        sizes = np.zeros(len(size), dtype=np.int64)
+        sizes[l_of[with_head]] = l_n[with_head]
         others = chosen[l_group[chosen] != own[l_of[chosen]]]
+        with_size = sizes[l_of[others]]
+        others = others[np.minimum(l_n[others], with_size) >= similarity * np.maximum(l_n[others], with_size) - 1e-9]
         pairs.append(np.stack((l_node[others], partner[l_of[others]]), axis=1))
         pair = np.concatenate(pairs)
         pair = np.unique(np.stack((pair.max(axis=1), pair.min(axis=1)), axis=1), axis=0) if len(pair) else pair
@@ -560,6 +622,25 @@ def joining_links(nodes: np.ndarray, groups: np.ndarray, asked: np.ndarray, sets
     return np.array(links, dtype=np.int64).reshape(-1, 2)
 
 
+def possible_nodes(nodes: np.ndarray, groups: np.ndarray, asked: np.ndarray, n: np.ndarray, sketches: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Of the nodes, those that by their sketches may be similar to one of another group, one of the two being asked."""
+    power = np.array([len(x).bit_length() + 5 for x in sketches])
+    out = np.zeros(len(nodes), dtype=bool)
+    for k in np.unique(power):
+        # Similar sets have sizes so close that their sketches' powers are the same or next to each other.
+        at = np.flatnonzero((power == k) | (power == k + 1))
+        bits = np.concatenate([folded(sketches[i][None], int(k)) for i in at])
+        for i in np.flatnonzero(asked[at]):
+            x = at[i]
+            near = (groups[at] != groups[x]) & ((power[at] == k) | (power[x] == k)) & (np.minimum(n[at], n[x]) >= similarity * np.maximum(n[at], n[x]) - 1e-6)
+            j = np.flatnonzero(near)
+            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= most_apart(n[at[j]], n[x], similarity)]
+            if len(j):
+                out[x] = True
+                out[at[j]] = True
+    return out
+
+
 def small(df: DataFrame, most: int) -> DataFrame:
     """df, which is a written table, to be broadcast if it has few rows."""
     return F.broadcast(df) if df.count() <= most else df
@@ -588,26 +669,32 @@ def bundle_blocks(members: DataFrame, roots: DataFrame, scratch: Scratch) -> Dat
     return scratch.keep(asked.unionByName(others).groupBy("head", "i", "j", "node").agg(F.first("group").alias("group"), F.max("asked").alias("asked")), "blocks")
 
 
-def remaining_links(docs: DataFrame, links: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
-    """links (a, b) and those between similar texts that join all groups of them which have any such texts.
+def remaining_links(docs: DataFrame, texts: DataFrame, sketches: DataFrame, links: DataFrame, scratch: Scratch, words: int, similarity: float) -> DataFrame:
+    """links (a, b) between texts (node, text), and those between similar texts that join all groups of them which have any such texts.
 
     No pair is missed: each is in a list of prefix_rows().
     """
     roots = scratch.keep(connected_components(links, scratch), "early")
     moved = scratch.keep(roots.filter("node <> root").select("node", F.col("node").bitwiseXOR(F.col("root")).alias("moved")), "moved")
-    texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n, distinct = texts.agg(F.count("*"), F.count_distinct("node")).first()
-    if distinct < n:
-        texts = texts.dropDuplicates(["node"])
+    distinct = sketches.count()
     last = frequent_shingles(texts, words, distinct)
     texts = texts.join(small(moved, BROADCAST_TEXTS), "node", "left").select("node", "text", F.coalesce("moved", F.lit(0).cast("long")).alias("moved"))
     rows = scratch.keep(prefix_rows(texts, words, similarity, last, distinct // (distinct // ORDER_TEXTS + 1)), "prefixes")
     found = scratch.keep(list_candidates(rows.filter("not hot"), similarity).unionByName(hot_candidates(rows.filter("hot"))), "listed")
     scratch.drop("prefixes")
     pairs = scratch.keep(found.filter("n is null").select("a", "b").distinct(), "pairs")
-    links = scratch.keep(links.unionByName(similar_links(pairs, docs, scratch, words, similarity, "late")), "most-links")
+    links = scratch.keep(links.unionByName(similar_links(pairs, sketches, docs, scratch, words, similarity, "late")), "most-links")
     members = found.filter("n is not null").groupBy(F.col("b").alias("head"), F.col("a").alias("node")).agg(F.max("n").alias("n"))
     blocks = bundle_blocks(members, connected_components(links, scratch, "most-components"), scratch)
+
+    def sift(table: pa.Table) -> pa.Table:
+        node, group, asked, n = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("node", "group", "asked", "n"))
+        bits = [np.frombuffer(s.as_py(), np.uint64) for s in table["bits"]]
+        keep = possible_nodes(node, group, asked.astype(bool), n, bits, similarity)
+        return table.select(["head", "i", "j", "node", "group", "asked"]).filter(pa.array(keep))
+
+    blocks = blocks.join(sketches, "node").groupBy("head", "i", "j").applyInArrow(sift, "head long, i int, j int, node long, group long, asked boolean")
+    blocks = scratch.keep(blocks, "possible")
     nodes = scratch.keep(blocks.select("node").distinct(), "long-nodes")
     sets = text_sets(nodes, docs, scratch, words, "long-sets")
 
@@ -629,8 +716,13 @@ def near_copy_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, t
     them; what they don't tell of is found by shared shingles, and none is missed.
     """
     scratch = Scratch(docs.sparkSession, "near-copies")
-    links = similar_links(candidate_links(docs, scratch, tables, distance), docs, scratch, words, similarity)
-    links = remaining_links(docs, links, scratch, words, similarity)
+    texts = docs.select(text_node(F.col("text")).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n, distinct = texts.agg(F.count("*"), F.count_distinct("node")).first()
+    if distinct < n:
+        texts = texts.dropDuplicates(["node"])
+    sketches = scratch.keep(shingle_sketches(texts, words), "sketches")
+    links = similar_links(candidate_links(docs, scratch, tables, distance), sketches, docs, scratch, words, similarity)
+    links = remaining_links(docs, texts, sketches, links, scratch, words, similarity)
     roots = scratch.keep(connected_components(links, scratch, "all-components"), "roots")
     rows = docs.select("doc_id", text_node(F.col("text")).alias("node")).join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("group"))
     groups = rows.groupBy("group").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")).filter("n > 1")

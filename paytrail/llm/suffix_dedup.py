@@ -41,7 +41,7 @@ from .textkernels import BASE, BASE_INVERSE, batches, gram_hashes, mix, powers,
 
 GRAM, WINDOW, LEAST = 12, 39, 51
 LEFT, RIGHT = WINDOW, LEAST
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Rows that may be broadcast: keys of 8 bytes, or positions of the suffixes to fetch.
 BROADCAST_ROWS = 250_000
 #: Masks have a bit for each number of words, up to LEFT, by which a stretch of LEAST words may begin before a position.
