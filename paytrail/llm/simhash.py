@@ -337,19 +337,25 @@ def candidate_links(docs: DataFrame, scratch: Scratch, tables: int, distance: in
     return scratch.keep(every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
 
 
+def sets_of(stream: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """For batches of texts (node, text): the nodes, and the distinct word shingles of each as sorted hashes; a shorter text is one."""
+    for batch in batches(stream, "text", 1 << 20):
+        found = split_words(batch["text"])
+        hashes = word_hashes(found)
+        grams = gram_hashes(hashes, words)
+        sets = []
+        for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
+            own = grams[a : b - words + 1] if b - a >= words else gram_hashes(hashes[a:b], b - a) if b > a else grams[:0]
+            sets.append(np.unique(own))
+        yield batch["node"].combine_chunks(), sets
+
+
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): the distinct word shingles of each text as sorted 64-bit hashes; a shorter text is one."""
+    """(node, shingles): the distinct word shingles of each text as sorted 64-bit hashes."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(stream, "text", 1 << 20):
-            found = split_words(batch["text"])
-            hashes = word_hashes(found)
-            grams = gram_hashes(hashes, words)
-            sets = []
-            for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
-                own = grams[a : b - words + 1] if b - a >= words else gram_hashes(hashes[a:b], b - a) if b > a else grams[:0]
-                sets.append(np.unique(own).tobytes())
-            yield pa.RecordBatch.from_arrays([batch["node"].combine_chunks(), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        for node, sets in sets_of(stream, words):
+            yield pa.RecordBatch.from_arrays([node, pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "shingles"])
 
     return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
 
@@ -374,17 +380,16 @@ def shingle_sketches(texts: DataFrame, words: int) -> DataFrame:
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        for node, sets in sets_of(stream, words):
             sizes, bits = [], []
-            for held in batch.column("shingles"):
-                own = np.frombuffer(held.as_py(), np.uint64)
+            for own in sets:
                 power = min(max(int(len(own)).bit_length(), LEAST_SKETCH), MOST_SKETCH)
                 cells = np.bincount((mix(own) & np.uint64((1 << power) - 1)).astype(np.int64), minlength=1 << power)
                 sizes.append(len(own))
                 bits.append(np.packbits((cells & 1).astype(np.uint8), bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([node, pa.array(sizes, pa.int32()), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
 
-    return shingle_sets(texts, words).mapInArrow(run, "node long, n int, bits binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, n int, bits binary")
 
 
 def most_apart(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
@@ -457,13 +462,12 @@ def frequent_shingles(texts: DataFrame, words: int, n: int) -> tuple[np.ndarray,
     """(hashes in order, counts) of the shingles that several of a bounded sample of texts hold."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            held = [np.frombuffer(s.as_py(), np.uint64) for s in batch.column("shingles")]
-            keys, often = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        for _, held in sets_of(stream, words):
+            keys, often = np.unique(np.concatenate(held), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(often)], names=["key", "n"])
 
     sample = texts.filter(F.pmod(F.xxhash64("node"), F.lit(n // ORDER_TEXTS + 1)) == 0)
-    counts = shingle_sets(sample, words).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 2")
+    counts = sample.select("node", "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 2")
     rows = counts.orderBy(F.desc("n"), "key").limit(LAST_SHINGLES).toArrow()
     keys, often = (rows[c].to_numpy() for c in ("key", "n"))
     order = np.argsort(keys.view(np.uint64))
