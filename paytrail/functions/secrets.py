@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pandas as pd
@@ -22,8 +23,6 @@ def stripped(text: Column) -> Column:
 def hmac_sha256(message: Column, key: bytes) -> Column:
     """Hex HMAC-SHA256 of a binary or string column; the pads are made once, on the driver."""
     if len(key) > BLOCK:
-        import hashlib
-
         key = hashlib.sha256(key).digest()
     key = key.ljust(BLOCK, b"\0")
     inner, outer = (F.lit(bytearray(k ^ pad for k in key)) for pad in (0x36, 0x5C))
@@ -47,45 +46,43 @@ def escape_non_ascii(text: Column) -> Column:
     return F.when(plain, text).otherwise(F.array_join(each, ""))
 
 
-def _found(value, names: frozenset[str]) -> set[str]:
-    own: set[str] = set()
-    stack = [value]
-    while stack:
-        at = stack.pop()
-        if isinstance(at, dict):
-            own |= {k.casefold() for k in at} & names
-            stack.extend(at.values())
-        elif isinstance(at, list):
-            stack.extend(at)
-    return own
+#: Letters beyond ASCII that case folding turns into letters of the names.
+FOLDED = {"k": "\u212a", "s": "\u017f"}
+_NAMES = "|".join("".join(f"[{c}{c.upper()}{FOLDED.get(c, '')}]" if c.isalpha() else c for c in name) for name in sorted(PROHIBITED_FIELDS))
 
 
-@F.pandas_udf(T.StringType())
-def confirmed_prohibited(raw: pd.Series) -> pd.Series:
-    """Sorted prohibited keys at any depth, comma-joined, or null; for rows that a text search suspects."""
-    names = frozenset(PROHIBITED_FIELDS)
+def may_be_prohibited(text: Column) -> Column:
+    """Whether JSON text may hold a prohibited key: one of the names before a colon, or a key written with escapes."""
+    return text.rlike(rf'"(?:{_NAMES})"\s*:|\\u')
 
-    def one(text: str | None) -> str | None:
-        found = _found(json.loads(text), names) if text else None
-        return ",".join(sorted(found)) if found else None
 
-    return raw.map(one)
+def prohibited_keys(canonical: Column) -> Column:
+    """Sorted prohibited keys at any depth, comma-joined, or null, of JSON text without white space between tokens.
+
+    A key there follows a brace or a comma; within a text value, quotes have a backslash before them.
+    """
+    found = F.regexp_extract_all(canonical, F.lit(rf'[{{,]"({_NAMES})":'), 1)
+    folded = F.transform(found, lambda k: F.lower(F.translate(k, "".join(FOLDED.values()), "".join(FOLDED))))
+    return F.when(F.size(found) > 0, F.array_join(F.array_sort(F.array_distinct(folded)), ","))
 
 
 @F.pandas_udf(T.StringType())
 def redacted(raw: pd.Series) -> pd.Series:
-    """JSON text with the values of prohibited keys and of the address replaced, at any depth; for quarantined rows."""
-    names = frozenset(PROHIBITED_FIELDS) | {OPTIONAL_FIELD}
+    """JSON text with the values of prohibited keys and of the address replaced, at any depth; for quarantined rows.
 
-    def hide(value):
-        if isinstance(value, dict):
-            return {k: REDACTED if k.casefold() in names else hide(v) for k, v in value.items()}
-        return [hide(v) for v in value] if isinstance(value, list) else value
+    Of a text that can't be read, or is nested too deep to be, its size and digest stay.
+    """
+    hidden = frozenset(PROHIBITED_FIELDS) | {OPTIONAL_FIELD}
+    reader = json.JSONDecoder(object_pairs_hook=lambda pairs: {k: REDACTED if k.casefold() in hidden else v for k, v in pairs})
 
     def one(text: str | None) -> str | None:
-        try:
-            return json.dumps(hide(json.loads(text)), sort_keys=True, separators=(",", ":"))
-        except (TypeError, ValueError):
+        if text is None:
             return None
+        try:
+            safe = reader.decode(text)
+            return json.dumps(safe, sort_keys=True, separators=(",", ":"))
+        except (ValueError, RecursionError):
+            own = text.encode("utf-8", "surrogatepass")
+            return json.dumps({"unreadable_bytes": len(own), "unreadable_sha256": hashlib.sha256(own).hexdigest()}, separators=(",", ":"))
 
     return raw.map(one)

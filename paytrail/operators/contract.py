@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.secrets import confirmed_prohibited, customer_token, escape_non_ascii, redacted, stripped
+from ..functions.secrets import customer_token, escape_non_ascii, may_be_prohibited, prohibited_keys, redacted, stripped
 from ..functions.times import instant, time_reason
 from ..vocabulary import (
     CURRENCIES,
@@ -19,10 +19,10 @@ from ..vocabulary import (
     OPTIONAL_FIELD,
     OUTBOX_OPERATIONS,
     OUTBOX_TABLE,
-    PROHIBITED_FIELDS,
     REQUIRED_FIELDS,
     SCHEMA_VERSION,
 )
+from .identity import CONFLICT
 
 IDENTIFIERS = ("event_id", "transaction_id", "source_id", "processor_id", "merchant_id")
 
@@ -58,11 +58,11 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(_kind(v), F.lit("OBJECT")), F.lit(False))
 
 
-def unwrap(arrivals: DataFrame, column: str = "value") -> DataFrame:
+def unwrap(arrivals: DataFrame, column: str = "value", keep: bool = False) -> DataFrame:
     """arrivals with payload (variant) and unwrap_reason.
 
     A direct event is its own payload.  A change-data envelope must be an insert or load
-    into the outbox table, and its data is the payload.
+    into the outbox table, and its data is the payload.  keep leaves _enveloped, which tells them apart.
     """
     parsed = arrivals.withColumn("_v", F.try_parse_json(F.col(column)))
     v = F.col("_v")
@@ -70,7 +70,8 @@ def unwrap(arrivals: DataFrame, column: str = "value") -> DataFrame:
     # A JSON null counts as absent.
     absent = lambda x: F.coalesce(_kind(x), F.lit("VOID")) == "VOID"
     an_object = F.col(column).rlike(r"\A\s*\{")  # of a text that parses
-    enveloped = an_object & ~(absent(meta) & absent(data))
+    enveloped = F.col("_enveloped")
+    parsed = parsed.withColumn("_enveloped", an_object & ~(absent(meta) & absent(data)))
     table, operation = (F.try_variant_get(v, f"$.metadata['{k}']", "string") for k in ("table-name", "operation"))
     reason = (
         F.when(v.isNull(), "invalid_json")
@@ -80,13 +81,12 @@ def unwrap(arrivals: DataFrame, column: str = "value") -> DataFrame:
         .when(F.coalesce(table != OUTBOX_TABLE, F.lit(True)), "unsupported_cdc_table")
         .when(F.coalesce(~operation.isin(*OUTBOX_OPERATIONS), F.lit(True)), "non_insert_outbox_mutation")
     )
-    return parsed.withColumns({"unwrap_reason": reason, "payload": F.when(enveloped, data).otherwise(v)}).drop("_v")
+    return parsed.withColumns({"unwrap_reason": reason, "payload": F.when(enveloped, data).otherwise(v)}).drop("_v", *([] if keep else ["_enveloped"]))
 
 
-def prohibited(canonical: Column) -> Column:
-    """Sorted, comma-joined prohibited keys at any depth, or null.  Text search finds suspects, a parse confirms them."""
-    suspect = canonical.rlike(r'(?iu)"(?:' + "|".join(PROHIBITED_FIELDS) + r')"\s*:')
-    return confirmed_prohibited(F.when(suspect, canonical))
+def prohibited(text: Column, parsed: Column) -> Column:
+    """Sorted, comma-joined prohibited keys at any depth, or null; only suspected texts are written out anew and searched."""
+    return F.when(may_be_prohibited(text), prohibited_keys(F.to_json(parsed)))
 
 
 def fingerprint(keys: Column) -> Column:
@@ -143,9 +143,10 @@ def check(arrivals: DataFrame, registry: DataFrame, key: bytes, column: str = "v
     some dozens of rows and goes to every task.
     """
     contracts = registry.select(F.col("source_id").alias("_source"), F.col("contract").alias("_contract"))
-    unwrapped = unwrap(arrivals, column).withColumn("_canonical", F.when(F.col("unwrap_reason").isNull(), F.to_json("payload")))
-    canonical = F.col("_canonical")
-    keyed = unwrapped.withColumns({"_prohibited": prohibited(canonical), "_keys": F.json_object_keys(canonical), **extracted(F.when(F.col("unwrap_reason").isNull(), F.col("payload")))})
+    unwrapped = unwrap(arrivals, column, keep=True)
+    payload = F.when(F.col("unwrap_reason").isNull(), F.col("payload"))
+    own_text = F.when(F.col("_enveloped"), F.to_json(payload)).otherwise(F.when(F.col("unwrap_reason").isNull(), F.col(column)))
+    keyed = unwrapped.withColumns({"_prohibited": prohibited(F.col(column), payload), "_keys": F.json_object_keys(own_text), **extracted(payload)})
     joined = keyed.join(F.broadcast(contracts), _text("source_id") == F.col("_source"), "left")
     judged = joined.withColumn("reason", F.coalesce(F.col("unwrap_reason"), *_reasons(F.col("_keys"), len(key) >= 32)))
     ok = F.col("reason").isNull()
@@ -173,6 +174,21 @@ EVENT_COLUMNS = (
 )
 
 
+#: Reasons of arrivals that are no payload of the gate's at all.
+UNREADABLE = ("invalid_json", "non_object_event", "invalid_cdc_envelope", "unsupported_cdc_table", "non_insert_outbox_mutation")
+
+
+def readable(reason: Column) -> Column:
+    """Whether an arrival with that reason (null if valid) may be kept as it came: it has a payload, without prohibited fields."""
+    return F.coalesce(~reason.isin(*UNREADABLE) & ~F.startswith(reason, F.lit("prohibited_fields")), F.lit(True))
+
+
+def conflicts(judged: DataFrame) -> DataFrame:
+    """(ordinal, reason, payload) of valid events whose identifier is taken: their safe columns, which hold no clear address."""
+    own = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"})
+    return judged.filter(F.col("reason") == CONFLICT[1]).select("ordinal", "reason", own.alias("payload"))
+
+
 def quarantine(rejected: DataFrame, column: str = "value") -> DataFrame:
     """(ordinal, reason, payload) of refused rows, personal data replaced."""
     return rejected.select("ordinal", "reason", redacted(F.col(column)).alias("payload"))

@@ -7,14 +7,27 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.arrivals import business_date_of, manifest_location
+from ..sources.arrivals import delivery
 from ..sources.control import read_json
 from ..sources.files import Files
 from ..vocabulary import MANIFEST
 from .revisions import decide
 
-FIELDS = tuple(sorted(MANIFEST.fieldNames()))
-MOST_BYTES = 5_000_000_000
+def _whole(most: int):
+    return lambda x: isinstance(x, int) and not isinstance(x, bool) and 1 <= x <= most
+
+
+#: What each field of a manifest must be.
+CONTROLS = {
+    "version": lambda x: x == 1 and not isinstance(x, bool),
+    "revision": _whole((1 << 31) - 1),
+    "file_name": lambda x: isinstance(x, str) and x != "",
+    "byte_size": _whole(5_000_000_000),
+    "record_count": _whole((1 << 63) - 1),
+    "sha256": lambda x: isinstance(x, str) and re.fullmatch(r"[0-9a-f]{64}", x) is not None,
+    "raw_control_totals_minor": lambda x: isinstance(x, dict),
+}
+assert set(CONTROLS) == set(MANIFEST.fieldNames())
 
 
 def raw_totals(lines: DataFrame) -> tuple[int, dict[str, int]]:
@@ -29,69 +42,55 @@ def raw_totals(lines: DataFrame) -> tuple[int, dict[str, int]]:
     return sum(r["n"] for r in got), {r["currency"]: r["total"] for r in got if r["currency"] is not None and r["total"] is not None}
 
 
-def build(spark: SparkSession, path: str, revision: int = 1) -> dict:
+def observe(spark: SparkSession, path: str, contents: bool = True) -> dict:
+    """What a manifest of the file would have to say of it; without contents, only what the bytes tell."""
     files = Files(spark)
-    count, totals = raw_totals(spark.read.text(path))
-    return {
-        "version": 1,
-        "revision": revision,
-        "file_name": path.rsplit("/", 1)[-1],
-        "byte_size": files.size(path),
-        "record_count": count,
-        "sha256": files.sha256(path),
-        "raw_control_totals_minor": totals,
-    }
+    seen = {"file_name": path.rsplit("/", 1)[-1], "byte_size": files.size(path), "sha256": files.sha256(path)}
+    if contents:
+        count, totals = raw_totals(spark.read.text(path))
+        seen |= {"record_count": count, "raw_control_totals_minor": totals}
+    return seen
 
 
-def verify(spark: SparkSession, manifest: dict, path: str) -> None:
-    """Stops at the first value that isn't the file's: name, size, digest, count, totals."""
-    files = Files(spark)
+def build(spark: SparkSession, path: str, revision: int = 1) -> dict:
+    return {"version": 1, "revision": revision} | observe(spark, path)
+
 
-    def require(kept: bool, what: str) -> None:
-        if not kept:
-            raise ValueError(f"manifest_{what}_mismatch")
+def require_same(manifest: dict, observed: dict) -> None:
+    """Stops if the manifest says other than what was observed, naming every such field."""
+    if other := [name for name, value in observed.items() if manifest.get(name) != value]:
+        raise ValueError("manifest_differs:" + ",".join(other))
 
-    require(manifest["file_name"] == path.rsplit("/", 1)[-1], "file_name")
-    require(manifest["byte_size"] == files.size(path), "byte_size")
-    require(manifest["sha256"] == files.sha256(path), "sha256")
-    count, totals = raw_totals(spark.read.text(path))
-    require(manifest["record_count"] == count, "record_count")
-    require(manifest["raw_control_totals_minor"] == totals, "control_totals")
+
+def verify(spark: SparkSession, manifest: dict, path: str) -> None:
+    require_same(manifest, observe(spark, path))
 
 
 def check_controls(manifest: object) -> dict:
-    """The manifest, if it has the right fields with values that can be."""
-    if not isinstance(manifest, dict) or tuple(sorted(manifest)) != FIELDS or manifest["version"] != 1:
-        raise ValueError("unsupported settlement manifest contract")
-    whole = lambda name, most: isinstance(manifest[name], int) and not isinstance(manifest[name], bool) and 1 <= manifest[name] <= most
-    limits = {"record_count": 1 << 62, "revision": 1 << 31, "byte_size": MOST_BYTES}
-    if not all(whole(n, m) for n, m in limits.items()) or not isinstance(manifest["raw_control_totals_minor"], dict) or not re.fullmatch(r"[0-9a-f]{64}", str(manifest["sha256"])):
-        raise ValueError("invalid settlement manifest control values")
-    return manifest
+    """The manifest, if it has exactly the fields of one, with values that can be."""
+    held = manifest if isinstance(manifest, dict) else {}
+    if held.keys() ^ CONTROLS.keys():
+        raise ValueError("manifest_fields:" + ",".join(sorted(map(str, held.keys() ^ CONTROLS.keys()))))
+    if bad := [name for name, right in CONTROLS.items() if not right(held[name])]:
+        raise ValueError("manifest_values:" + ",".join(bad))
+    return held
 
 
 def load(spark: SparkSession, bucket: str, key: str, verified: str, store) -> dict:
     """Takes in the manifest at bucket/key: checks, copies the data, registers the revision.
 
     store is a TableStore with table settlement_publication.  The answer's status is
-    VERIFIED, DUPLICATE_MANIFEST or STALE_MANIFEST.
+    VERIFIED, STALE_MANIFEST, DUPLICATE_MANIFEST for a revision that is reconciled, or
+    RECOVERED_DUPLICATE for one that is registered but was never carried through.
     """
-    _, _, data_key = manifest_location(bucket, key)
+    place = delivery(key)
+    listed = check_controls(read_json(spark, f"{bucket}/{key}"))
+    require_same(listed, observe(spark, f"{bucket}/{place.data}", contents=False))
+    target = f"{verified}/settlements/business_date={place.day}/revision={listed['revision']}/sha256={listed['sha256']}/data.jsonl"
     files = Files(spark)
-    manifest = check_controls(read_json(spark, f"{bucket}/{key}"))
-    data = f"{bucket}/{data_key}"
-    if manifest["file_name"] != data_key.rsplit("/", 1)[-1]:
-        raise ValueError("manifest file name does not match delivered object")
-    if manifest["byte_size"] != files.size(data):
-        raise ValueError("manifest byte size does not match delivered object")
-    if manifest["sha256"] != files.sha256(data):
-        raise ValueError("manifest checksum does not match delivered object")
-    day = business_date_of(data_key)
-    target = f"{verified}/settlements/business_date={day}/revision={manifest['revision']}/sha256={manifest['sha256']}/data.jsonl"
-    files.copy(data, target)
-    if files.sha256(target) != manifest["sha256"]:
-        raise ValueError("verified settlement copy checksum mismatch")
-    answer = {"business_date": day, "revision": manifest["revision"], "sha256": manifest["sha256"], "verified_path": target, "record_count": manifest["record_count"], "manifest": manifest}
+    files.copy(f"{bucket}/{place.data}", target)
+    require_same(listed, {"sha256": files.sha256(target)})
+    answer = {"business_date": place.day, "revision": listed["revision"], "sha256": listed["sha256"], "verified_path": target, "record_count": listed["record_count"], "manifest": listed}
     return answer | {"status": _register(spark, store, answer)}
 
 
@@ -103,8 +102,12 @@ def _register(spark: SparkSession, store, answer: dict) -> str:
     known = store.read("settlement_publication") if store.has("settlement_publication") else new.limit(0)
     decision = decide(known, new).first()["decision"]
     if decision == "CONFLICT":
-        raise ValueError("settlement revision reused with different content")
+        raise ValueError(f"revision_has_other_content:{answer['business_date']}:{answer['revision']}")
     if decision == "ACTIVE":
         with store.commit(f"revision-{answer['business_date']}-{answer['revision']}-{answer['sha256'][:16]}") as change:
             change.upsert("settlement_publication", new, ["business_date"])
-    return {"ACTIVE": "VERIFIED", "DUPLICATE": "DUPLICATE_MANIFEST", "STALE": "STALE_MANIFEST"}[decision]
+        return "VERIFIED"
+    if decision == "STALE":
+        return "STALE_MANIFEST"
+    done = known.filter((F.col("business_date") == answer["business_date"]) & (F.col("status") == "RECONCILED"))
+    return "RECOVERED_DUPLICATE" if done.isEmpty() else "DUPLICATE_MANIFEST"
