@@ -20,13 +20,16 @@ def main(args: list[str] | None = None) -> int:
     run.add_argument("--profile", choices=sorted(evidence.PROFILES), default="smoke")
     run.add_argument("--output", required=True)
     run.add_argument("--master", default=None)
+    run.add_argument("--registry", default=None, help="source registry, JSON; the shipped one if not given")
+    run.add_argument("--rules", default=None, help="posting rules, JSON; the shipped ones if not given")
     use = parser.parse_args(args)
     key = os.environ.get(KEY_VARIABLE, "").encode()
     if len(key) < 32:
         print(f"{KEY_VARIABLE} must hold at least 32 bytes", file=sys.stderr)
         return 2
     spark = session.build(use.master)
-    summary = evidence.run(spark, use.profile, os.path.abspath(use.output) if "://" not in use.output else use.output, key)
+    session.require(spark)
+    summary = evidence.run(spark, use.profile, os.path.abspath(use.output) if "://" not in use.output else use.output, key, registry_file=use.registry, rules_file=use.rules)
     print(json.dumps({k: summary[k] for k in ("profile", "records_per_second", "scenarios_passed", "sealed_sha256")}))
     return 0
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..vocabulary import STATUSES
@@ -72,8 +72,47 @@ def freshness(events: DataFrame, received: str = "received_at") -> DataFrame:
     return events.groupBy("source_id").agg(F.max("event_time").alias("latest_event"), F.max(received).alias("latest_arrival"), F.max(F.unix_timestamp(received) - F.unix_timestamp("event_time")).alias("longest_lag_seconds"))
 
 
+#: Minutes after which a source table is late, and stale.  Fixed values.
+WARN_MINUTES, ERROR_MINUTES = 15, 60
+
+
+def verdict_on(lag_minutes: Column, warn: Column | int = WARN_MINUTES, error: Column | int = ERROR_MINUTES) -> Column:
+    return F.when(F.coalesce(lag_minutes > error, F.lit(True)), "error").when(lag_minutes > warn, "warn").otherwise("pass")
+
+
+def source_verdicts(events: DataFrame, registry: DataFrame, now: str | None = None, received: str = "received_at") -> DataFrame:
+    """(source_id, minutes, freshness_minutes, verdict) of every registered payment source: late beyond its own limit, stale beyond four times that."""
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    latest = events.groupBy("source_id").agg(F.max(received).alias("latest"))
+    sources = registry.filter("contract = 'payment_event'").select("source_id", "freshness_minutes")
+    minutes = (F.unix_timestamp(at) - F.unix_timestamp("latest")) / 60
+    judged = sources.join(latest, "source_id", "left").withColumn("minutes", F.floor(minutes))
+    return judged.withColumn("verdict", verdict_on(minutes, F.col("freshness_minutes"), 4 * F.col("freshness_minutes"))).select("source_id", "minutes", "freshness_minutes", "verdict")
+
+
+def staging(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The views that marts and tests read, each with the time (processed_at) by which its freshness is judged."""
+    accepted, state, ledger, bad, settled = (tables[t] for t in ("accepted_event", "payment_state", "ledger_entry", "business_exception", "settlement_exception"))
+    times = accepted.groupBy("transaction_id").agg(F.max("received_at").alias("processed_at"))
+    return {
+        "stg_accepted_event": accepted.selectExpr("event_id", "transaction_id", "transaction_version", "processor_id", "merchant_id", "event_type", "amount_minor", "currency", "event_time", "received_at AS processed_at"),
+        "stg_payment_state": state.join(times, "transaction_id", "left"),
+        "stg_ledger_entry": ledger.withColumn("processed_at", F.col("event_time")),
+        "stg_business_exception": bad.groupBy("transaction_id", "business_error").agg(F.max("received_at").alias("processed_at")),
+        "stg_settlement_exception": settlement_exceptions(settled).withColumn("processed_at", F.col("business_date").cast("timestamp")),
+    }
+
+
+def source_freshness(views: dict[str, DataFrame], now: str | None = None) -> DataFrame:
+    """(source_table, minutes, verdict) of the two source tables that have limits."""
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    lag = lambda name: views[f"stg_{name}"].agg(((F.unix_timestamp(at) - F.unix_timestamp(F.max("processed_at"))) / 60).alias("m")).select(F.lit(name).alias("source_table"), F.floor("m").alias("minutes"), verdict_on(F.col("m")).alias("verdict"))
+    return lag("accepted_event").unionByName(lag("payment_state"))
+
+
 def state_hash(state: DataFrame) -> DataFrame:
-    """One row that is the same for the same rows in any order: their number and two sums of row hashes."""
-    row = F.to_json(F.struct(*sorted(state.columns)), {"ignoreNullFields": "false"})
-    sum_of = lambda h: F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("string")
-    return state.agg(F.count("*").alias("n_rows"), F.sha2(F.concat_ws("|", sum_of(F.xxhash64(row)), sum_of(F.xxhash64(F.concat(row, F.lit("+"))))), 256).alias("state_sha256"))
+    """One row that is the same for the same rows in any order: their number, and a digest of it and two sums of row digests."""
+    own = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in sorted(state.columns)]
+    digest = F.md5(F.concat(*own).cast("binary"))
+    part = lambda at: F.coalesce(F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return state.agg(F.count("*").alias("n_rows"), F.sha2(F.concat_ws("|", F.count("*").cast("string"), part(1), part(16)), 256).alias("state_sha256"))

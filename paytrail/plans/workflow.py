@@ -1,61 +1,127 @@
 """Runs over the table store: taking arrivals in, and closing a business date.
 
 A run's tables are published by one commit, so that a reader sees all of a run or
-nothing.  Projections are functions of the accepted events and are made anew, or,
-for one business date, for the payments that the date touches.
+nothing; a journal tells how each run went.  Projections follow the payments that a run
+touches: their whole history is judged again, their state and exceptions
+replace what was there, and events and ledger lines that weren't posted before are
+added.  What a late event makes invalid stays posted and is left out of marts by its exception.
 """
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import contract, identity, lifecycle, posting, settlement
+from ..operators import contract, identity, lifecycle, merging, posting, settlement
 from ..sources.files import Files
 from ..sources.tables import Change, TableStore
-from ..vocabulary import POSTING_RULES, SETTLEMENT, SETTLEMENT_KEY
+from ..vocabulary import ENTRY, EVENT, POSTING_RULES, SETTLEMENT, SETTLEMENT_KEY, STATE
+from . import marts
 
 DAILY = {"accepted_event": ["event_date"]}
+JOURNAL = T.StructType().add("run_id", "string").add("status", "string").add("at", "timestamp").add("failure_reason", "string")
+AMOUNTS = T.StructType([T.StructField(c, T.LongType()) for c in lifecycle.AMOUNTS])
+#: The tables that a new store begins with.
+TABLES = {
+    "accepted_event": T.StructType([*EVENT.fields, T.StructField("event_date", T.DateType())]),
+    "seen_event": T.StructType().add("event_id", "string").add("fingerprint", "string"),
+    "quarantine": T.StructType().add("ordinal", "long").add("reason", "string").add("payload", "string"),
+    "run_outcome": T.StructType().add("ordinal", "long").add("event_id", "string").add("outcome", "string").add("reason", "string").add("run_id", "string"),
+    "run_journal": JOURNAL,
+    "payment_state": STATE,
+    "business_exception": T.StructType([*EVENT.fields, *AMOUNTS.fields, T.StructField("business_error", T.StringType())]),
+    "posted_event": EVENT,
+    "ledger_entry": ENTRY,
+}
 
 
 class Failpoint(RuntimeError):
     """Raised by tests where a crash is wanted."""
 
 
-def project(change: Change, accepted: DataFrame, rules: DataFrame) -> None:
-    """All projections of accepted, as tables of one commit."""
-    assessed = lifecycle.assess(accepted)
-    change.replace("payment_state", lifecycle.current_state(assessed))
-    change.replace("business_exception", lifecycle.business_exceptions(accepted, assessed))
-    change.replace("posted_event", posting.postable(accepted, assessed))
+def note(store: TableStore, run: str, status: str, reason: str | None = None) -> None:
+    row = store.spark.createDataFrame([(run, status, None, reason)], JOURNAL).withColumn("at", F.current_timestamp())
+    with store.commit(f"journal-{uuid.uuid4().hex}") as change:
+        change.append("run_journal", row)
+
+
+@contextmanager
+def journaled(store: TableStore, run: str):
+    """Notes STARTED, and FAILED with the reason if what follows fails; success is noted with the run's own commit."""
+    note(store, run, "STARTED")
+    try:
+        yield
+    except Exception as error:
+        note(store, run, "FAILED", str(error)[:1000])
+        raise
+
+
+def journal(store: TableStore) -> DataFrame:
+    """(run_id, status, at, failure_reason): how each run stands."""
+    latest = F.max_by(F.struct("status", "at", "failure_reason"), F.struct("at", F.col("status") != "STARTED"))
+    return store.read("run_journal").groupBy("run_id").agg(latest.alias("s")).select("run_id", "s.*")
+
+
+def project(change: Change, history: DataFrame, rules: DataFrame) -> None:
+    """Projections of the payments in history, which holds all of their events, in place of those they had."""
+    assessed = lifecycle.assess(history)
+    touched = history.select("transaction_id").distinct()
+    renewed = {"payment_state": lifecycle.current_state(assessed), "business_exception": lifecycle.business_exceptions(history, assessed)}
+    renewed = {t: merging.renewed(change.read(t), rows, touched, "transaction_id") for t, rows in renewed.items()}
+    posted = posting.postable(history, assessed)
+    change.together(replace=True, **renewed, run_posted=merging.new_rows(change.read("posted_event"), posted, ["event_id"]))
     # The gate looks at what was written, so nothing is computed twice.
-    change.replace("ledger_entry", posting.post(change.read("posted_event"), rules))
-    posting.require_balanced(change.read("ledger_entry"))
+    new = change.read("run_posted")
+    change.together(posted_event=new, run_ledger=posting.post(new, rules))
+    posting.require_balanced(change.read("run_ledger"))
+    change.insert_new("ledger_entry", change.read("run_ledger"), ["entry_id"])
+    change.drop("run_posted", "run_ledger")
+
+
+def project_date(store: TableStore, business_date: str, run: str, rules: DataFrame | None = None) -> None:
+    """Projects the payments that have an event on the date, with their whole history."""
+    rules = posting.rules_frame(store.spark, POSTING_RULES) if rules is None else rules
+    with journaled(store, run), store.commit(run) as change:
+        project(change, lifecycle.touched_history(change.read("accepted_event").drop("event_date"), business_date), rules)
+        change.append("run_journal", succeeded(store.spark, run))
+
+
+def succeeded(spark: SparkSession, run: str) -> DataFrame:
+    return spark.createDataFrame([(run, "SUCCEEDED", None, None)], JOURNAL).withColumn("at", F.current_timestamp())
 
 
 def process(store: TableStore, arrivals: DataFrame, registry: DataFrame, key: bytes, run: str, rules: DataFrame | None = None, failpoint: str | None = None) -> None:
     """Takes in arrivals (ordinal, value) as one run: identities, accepted events, quarantine, outcomes, projections."""
     spark = store.spark
     rules = posting.rules_frame(spark, POSTING_RULES) if rules is None else rules
-    with store.commit(run, DAILY) as change:
+    store.bootstrap(TABLES, DAILY)
+    with journaled(store, run), store.commit(run, DAILY) as change:
         # Written once, and read for each of the tables that come of it.
         change.replace("run_checked", contract.check(arrivals, registry, key))
         checked = change.read("run_checked")
-        seen = change.read("seen_event") if change.has("seen_event") else None
-        change.replace("run_judged", identity.classify(checked.filter("reason IS NULL").drop("reason"), seen))
+        change.replace("run_judged", identity.classify(checked.filter("reason IS NULL").drop("reason"), change.read("seen_event")))
         judged = change.read("run_judged")
         refused = checked.filter("reason IS NOT NULL").withColumn("outcome", F.lit("QUARANTINED"))
         outcomes = refused.select("ordinal", "event_id", "outcome", "reason").unionByName(judged.select("ordinal", "event_id", "outcome", "reason"))
-        change.append("run_outcome", outcomes.withColumn("run_id", F.lit(run)))
-        change.append("quarantine", contract.quarantine(refused.select("ordinal", "reason", "value").unionByName(judged.filter("outcome = 'QUARANTINED'").select("ordinal", "reason", "value"))))
-        change.append("seen_event", identity.newly_seen(judged))
         new = judged.filter("outcome = 'ACCEPTED'").select(*contract.EVENT_COLUMNS).withColumn("event_date", F.to_date("event_time"))
-        change.append("accepted_event", new)
+        change.together(
+            run_outcome=outcomes.withColumn("run_id", F.lit(run)),
+            quarantine=contract.quarantine(refused.select("ordinal", "reason", "value")).unionByName(contract.conflicts(judged)),
+            seen_event=identity.newly_seen(judged),
+            accepted_event=new,
+        )
         if failpoint == "after_ingest":
             raise Failpoint(failpoint)
-        project(change, change.read("accepted_event").drop("event_date"), rules)
-        for name in ("run_checked", "run_judged", "settlement_exception"):
-            change.state["tables"].pop(name, None)  # a reconciliation holds only for the postings that it saw
+        if not new.isEmpty():
+            accepted = change.read("accepted_event").drop("event_date")
+            project(change, accepted.join(new.select("transaction_id"), "transaction_id", "left_semi"), rules)
+            change.drop("settlement_exception")  # a reconciliation holds only for the postings that it saw
+        change.append("run_journal", succeeded(spark, run))
+        change.drop("run_checked", "run_judged")
         if failpoint == "before_commit":
             raise Failpoint(failpoint)
 
@@ -66,30 +132,25 @@ def read_evidence(spark: SparkSession, path: str) -> DataFrame:
 
 
 def validate_evidence(records: DataFrame, manifest: dict, business_date: str) -> DataFrame:
-    """The records, if contract, keys, number and totals are right."""
-    if not settlement.violations(records, business_date).isEmpty():
-        raise RuntimeError("settlement evidence contract gate failed")
-    if not settlement.duplicate_keys(records).isEmpty():
-        raise RuntimeError("duplicate settlement evidence key")
-    totals = settlement.control_totals(records).collect()  # a row for each of the four currencies
-    if sum(r["record_count"] for r in totals) != manifest["record_count"]:
-        raise RuntimeError("settlement manifest record-count gate failed")
-    if {r["currency"]: r["total_minor"] for r in totals} != manifest["raw_control_totals_minor"]:
-        raise RuntimeError("settlement manifest control-total gate failed")
+    """The records, if nothing is wrong with the delivery; the error names all that is."""
+    if faults := settlement.verdict(records, manifest, business_date):
+        raise RuntimeError(f"settlement_evidence_refused:{business_date}:{','.join(faults)}")
     return records
 
 
-def reconcile(store: TableStore, evidence: DataFrame, business_date: str, run: str) -> dict:
-    """Compares a date's postings with its evidence and keeps both; the gate is looked at after that."""
+def reconcile(store: TableStore, evidence: DataFrame, business_date: str, run: str, strict: bool = True) -> dict:
+    """Compares a date's ledger with its evidence and keeps both; then a shut gate stops the workflow, if strict."""
     day = F.to_date(F.lit(business_date))
-    bad = store.read("business_exception").select("transaction_id")
-    posted = store.read("posted_event").filter(F.to_date("event_time") == day).join(bad, "transaction_id", "left_anti")
+    ledger = marts.excluding(store.read("ledger_entry").filter(F.to_date("event_time") == day), store.read("business_exception"))
     actual = evidence.filter(F.col("business_date") == day).select(*SETTLEMENT_KEY, "amount_minor")
-    found = settlement.exceptions(settlement.compare(settlement.expected(posted), actual))
+    found = settlement.exceptions(settlement.compare(settlement.expected(ledger), actual))
     with store.commit(run) as change:
         change.overwrite_where("settlement_evidence", actual, F.col("business_date") == day)
         change.overwrite_where("settlement_exception", found, F.col("business_date") == day)
-    return settlement.gate(store.read("settlement_exception").filter(F.col("business_date") == day)).first().asDict()
+    gate = settlement.gate(store.read("settlement_exception").filter(F.col("business_date") == day)).first().asDict()
+    if strict and not gate["gate_open"]:
+        raise RuntimeError(f"settlement_gate_shut:{business_date}:{gate['exception_count']} differences of {gate['absolute_delta_minor']} in all")
+    return gate
 
 
 def publish(store: TableStore, root: str, business_date: str, revision: int, sha256: str) -> str:
@@ -109,3 +170,26 @@ def require_reconciled(store: TableStore, business_date: str) -> None:
     """The marts' sensor."""
     if not store.has("settlement_publication") or store.read("settlement_publication").filter((F.col("business_date") == business_date) & (F.col("status") == "RECONCILED")).isEmpty():
         raise RuntimeError(f"business date not reconciled:{business_date}")
+
+
+def build_marts(store: TableStore, business_date: str, run: str, now: str | None = None) -> dict[str, str]:
+    """Waits for no one: stops unless the date is reconciled and no source table is stale; then writes the marts.
+
+    now is an ISO time to judge freshness by, the clock's if not given.  The answer is the
+    verdict on each source table.
+    """
+    require_reconciled(store, business_date)
+    views = marts.staging({t: store.read(t) for t in ("accepted_event", "payment_state", "ledger_entry", "business_exception", "settlement_exception")})
+    fresh = marts.source_freshness(views, now)
+    verdicts = {r["source_table"]: r["verdict"] for r in fresh.collect()}
+    if late := sorted(t for t, v in verdicts.items() if v == "error"):
+        raise RuntimeError("stale_sources:" + ",".join(late))
+    exceptions = views["stg_business_exception"]
+    with store.commit(run) as change:
+        change.together(
+            replace=True,
+            dim_payment_current=marts.payment_current(store.read("payment_state"), exceptions),
+            fct_ledger_daily=marts.ledger_daily(store.read("ledger_entry"), exceptions),
+            fct_settlement_exception=views["stg_settlement_exception"],
+        )
+    return verdicts
