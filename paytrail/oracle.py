@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .sources.generator import EVENT_SOURCES
-from .vocabulary import FAMILIES, POSTING_RULES, STATUSES
+from .sources.sample import DEFECTS
+from .vocabulary import FAMILIES, POSTING_RULES, STATE, STATUSES
 
 EVENTS = """
 o AS (SELECT o_orderkey AS k, o_custkey AS custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS auth, o_orderdate AS event_time FROM orders),
@@ -29,7 +30,7 @@ h AS (
 full_events AS (SELECT 'txn-' || k || ':e' || seq AS event_id, 'txn-' || k AS transaction_id, v AS transaction_version, kind AS event_type, amount AS amount_minor,
   'processor-0' || ((k + p) % 3 + 1) AS processor_id, 'merchant-' || ((custkey + m) % 250) AS merchant_id,
   ['INR', 'USD', 'EUR', 'GBP'][(k + c) % 4 + 1] AS currency, event_time, k, seq, custkey FROM h),
-ev AS (SELECT * EXCLUDE (k, seq, custkey) FROM full_events)"""
+ev AS MATERIALIZED (SELECT * EXCLUDE (k, seq, custkey) FROM full_events)"""
 
 ASSESSED = (
     EVENTS
@@ -136,10 +137,38 @@ FINGERPRINTED = """'{"amount_minor":' || amount_minor || ',"currency":"' || curr
   || '","event_time":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00","event_type":"' || event_type || '","merchant_id":"' || merchant_id || '","processor_id":"' || processor_id
   || '","schema_version":"1.0","source_id":"' || source_id || '","transaction_id":"' || transaction_id || '","transaction_version":' || transaction_version || '}'"""
 
+#: The arrivals' own JSON, fields in order; DEFECTS are the sample's.
+_FIELDS = {
+    "amount_minor": "CAST(amount_minor + bump AS VARCHAR)",
+    "currency": "'\"' || currency || '\"'",
+    "event_id": "'\"' || event_id || '\"'",
+    "event_time": "'\"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S') || '+00:00\"'",
+    "event_type": "'\"' || event_type || '\"'",
+    "merchant_id": "'\"' || merchant_id || '\"'",
+    "processor_id": "'\"' || processor_id || '\"'",
+    "received_at": "'\"' || strftime(event_time + to_seconds(k % 240 + 60 * copy), '%Y-%m-%dT%H:%M:%S') || '+00:00\"'",
+    "schema_version": "'\"1.0\"'",
+    "source_id": "'\"checkout-0' || (k % 5 + 1) || '\"'",
+    "transaction_id": "'\"' || transaction_id || '\"'",
+    "transaction_version": "CAST(transaction_version AS VARCHAR)",
+}
+
+
+def _safe_field(name: str) -> str:
+    """A field of an arrival's JSON after redaction, or null where it has none."""
+    hidden = name in ("card_number", "customer_email")
+    own = {n: "'\"<redacted>\"'" if hidden else "NULL" if value is None else f"'{value}'" for n, field, value in DEFECTS if field == name}
+    plain = "'\"<redacted>\"'" if name == "customer_email" else _FIELDS.get(name, "NULL")
+    cases = " ".join(f"WHEN seq = 0 AND k % 97 = {n} THEN {value}" for n, value in own.items())
+    return f"""'"{name}":' || """ + (f"(CASE {cases} ELSE {plain} END)" if cases else f"({plain})")
+
+
+SAFE = "'{' || concat_ws(',', " + ", ".join(map(_safe_field, sorted([*_FIELDS, "card_number", "customer_email", "surprise"]))) + ") || '}'"
+CASE_NUMBER = "(ordinal // 256 + ordinal // 4 % 64 + ordinal % 4) % 10"
 CDC = (
     ARRIVALS
-    + """,
-env AS (SELECT ordinal, event_id, reason, CAST(ordinal // 256 AS BIGINT) % 10 AS n FROM ar WHERE ordinal % 256 = 0)"""
+    + f""",
+env AS (SELECT ordinal, event_id, reason, CAST({CASE_NUMBER} AS BIGINT) AS n FROM ar)"""
 )
 
 SQL = {
@@ -152,6 +181,9 @@ SQL = {
   count(*) FILTER (WHERE outcome = 'QUARANTINED') AS quarantined, count(*) = count(*) FILTER (WHERE outcome IN ('ACCEPTED', 'DUPLICATE', 'QUARANTINED')) AS conserved FROM ou"""),
     "customer_token_hmac": _r(f"""SELECT ordinal, sha256('{_OUTER}'::BLOB || unhex(sha256('{_INNER}'::BLOB || encode('customer' || custkey % 10000 || '@example.test')))) AS customer_token FROM va"""),
     "identity_fingerprint": _r(f"SELECT ordinal, sha256({FINGERPRINTED}) AS fingerprint FROM va"),
+    "redacted_payloads": _r(f"""SELECT ordinal, '{{"customer_email":"<redacted>","held":[' || {SAFE} || '],'
+  || CASE WHEN {CASE_NUMBER} < 5 THEN '"list":[{{"CVV":"<redacted>","deep":{{"Card_Number":"<redacted>"}}}}],' ELSE '' END || '"note":"\\"pin\\": 1"}}' AS payload FROM ar"""),
+    "prohibited_key_scan": _r(f"""SELECT ordinal, CASE WHEN {CASE_NUMBER} < 5 THEN 'card_number,cvv' WHEN seq = 0 AND k % 97 = 1 THEN 'card_number' END AS prohibited FROM ar"""),
     "cdc_unwrap": f"""WITH {CDC}
 SELECT ordinal, CASE n WHEN 9 THEN 'invalid_cdc_envelope' WHEN 7 THEN 'unsupported_cdc_table' WHEN 8 THEN 'non_insert_outbox_mutation' END AS unwrap_reason,
   CASE WHEN n NOT IN (7, 8, 9) THEN CASE WHEN reason = 'invalid_event_id' THEN 'bad id' ELSE event_id END END AS event_id FROM env""",
@@ -165,7 +197,7 @@ SELECT ordinal, CASE n WHEN 9 THEN 'invalid_cdc_envelope' WHEN 7 THEN 'unsupport
     "payment_state_current": _a("SELECT * FROM st"),
     "payment_state_status_counts": _a("SELECT status, count(*) AS n FROM st GROUP BY status"),
     "business_error_counts": _a("SELECT business_error, count(*) AS n FROM a WHERE business_error IS NOT NULL GROUP BY business_error"),
-    "touched_history": f"WITH {EVENTS}\nSELECT * FROM ev WHERE transaction_id IN (SELECT transaction_id FROM ev WHERE CAST(event_time AS DATE) = DATE '1995-03-15')",
+    "touched_history": f"WITH {EVENTS}\nSELECT * FROM ev SEMI JOIN (SELECT DISTINCT transaction_id FROM ev WHERE CAST(event_time AS DATE) = DATE '1995-03-15') t USING (transaction_id)",
     "posted_events": _a("SELECT * FROM po"),
     "ledger_lines": _a("SELECT * FROM le"),
     "ledger_balance_check": _a("SELECT event_id, currency, CAST(sum(signed_minor) AS BIGINT) AS balance_minor FROM le GROUP BY ALL HAVING sum(signed_minor) <> 0"),
@@ -201,8 +233,22 @@ WHERE schema_version <> '1.0' OR currency IS NULL OR currency NOT IN ('INR', 'US
     "dq_no_invalid_current": _a("SELECT st.*, captured_minor - refunded_minor - chargeback_minor AS net_processor_receivable_minor FROM st WHERE transaction_id IN (SELECT transaction_id FROM ex)"),
     "dq_no_zero_delta": _a("SELECT * FROM sx WHERE delta_minor = 0"),
     "freshness_lag": _r("SELECT source_id, max(event_time) AS latest_event, max(received_at) AS latest_arrival, max(CAST(epoch(received_at) - epoch(event_time) AS BIGINT)) AS longest_lag_seconds FROM va GROUP BY source_id"),
+    "freshness_verdicts": f"""WITH {ARRIVALS},
+src AS (SELECT family || '-' || lpad(CAST(i AS VARCHAR), 2, '0') AS source_id, CAST(freshness_minutes AS INTEGER) AS freshness_minutes FROM
+  (SELECT *, unnest(range(1, instances + 1)) AS i FROM (VALUES {", ".join(str(x) for x in FAMILIES)}) f(family, instances, mode, contract, owner, freshness_minutes)) WHERE contract = 'payment_event'),
+lag AS (SELECT source_id, freshness_minutes, (epoch(TIMESTAMP '1998-08-01 00:10:00') - epoch(latest)) / 60 AS m
+  FROM src LEFT JOIN (SELECT source_id, max(received_at) AS latest FROM va GROUP BY source_id) USING (source_id))
+SELECT source_id, CAST(floor(m) AS BIGINT) AS minutes, freshness_minutes,
+  CASE WHEN m IS NULL OR m > 4 * freshness_minutes THEN 'error' WHEN m > freshness_minutes THEN 'warn' ELSE 'pass' END AS verdict FROM lag""",
+    "incremental_projection": _a("""SELECT st.*, coalesce(n_lines, 0) AS n_lines, coalesce(turnover_minor, 0) AS turnover_minor FROM st
+LEFT JOIN (SELECT transaction_id, count(*) AS n_lines, CAST(sum(abs(signed_minor)) AS BIGINT) AS turnover_minor FROM le GROUP BY transaction_id) USING (transaction_id)"""),
+    "state_hash": _a(
+        "SELECT count(*) AS n_rows, sha256(count(*) || '|' || coalesce(sum(CAST('0x' || substr(d, 1, 15) AS HUGEINT)), 0) || '|' || coalesce(sum(CAST('0x' || substr(d, 16, 15) AS HUGEINT)), 0)) AS state_sha256 FROM (SELECT md5("
+        + " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in sorted(f.name for f in STATE.fields))
+        + ") AS d FROM st)"
+    ),
     "stream_identity_gate": _r("SELECT ordinal, outcome, reason FROM ou"),
-    "generated_lifecycle": f"""WITH n AS (SELECT unnest(range(1, 2162)) AS n), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
+    "generated_lifecycle": f"""WITH n AS (SELECT unnest(range(1, 21606)) AS n), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
 e AS (SELECT n, 1 AS v, 'authorization' AS kind, amount FROM b UNION ALL SELECT n, 2, 'capture', amount FROM b
   UNION ALL SELECT n, 3, CASE WHEN n % 5 = 0 THEN 'refund' ELSE 'chargeback' END, CASE WHEN n % 5 = 0 THEN amount // 4 ELSE amount // 5 END FROM b WHERE n % 5 = 0 OR n % 7 = 0),
 x AS (SELECT *, 'txn-' || lpad(CAST(n AS VARCHAR), 10, '0') AS t, TIMESTAMP '2026-01-01' + to_seconds(10 * n + 60 * v) AS moment FROM e)
