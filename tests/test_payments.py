@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import hmac
 import json
@@ -10,13 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from paytrail import catalog
+from paytrail import catalog, vocabulary
 from paytrail.functions import secrets
 from paytrail.functions.times import instant, time_reason
 from paytrail.operators import contract, identity, lifecycle, manifest, merging, posting, revisions, settlement
 from paytrail.plans import evidence, marts, workflow
-from paytrail.sources import arrivals, control, generator
+from paytrail.sources import arrivals, control, generator, tables
 from paytrail.sources.tables import TableStore
+from paytrail.streaming import gate
 
 SAMPLE = "/root/testdata/sf0.001"
 KEY = b"0123456789abcdef0123456789abcdef"
@@ -52,6 +54,9 @@ CASES = [
     (BASE | {"customer_email": None}, None),
     (BASE | {"card_number": "4"}, "prohibited_fields:card_number"),
     (BASE | {"x": {"y": [{"CVV": 1, "Pan": 2}]}}, "prohibited_fields:cvv,pan"),
+    (json.dumps(BASE | {"pin": 1}).replace('"pin"', '"p\\u0069n" '), "prohibited_fields:pin"),
+    (BASE | {"trac\u212a_data": 1}, "prohibited_fields:track_data"),
+    (BASE | {'a"pin': 1}, 'unexpected_fields:a"pin'),
     (BASE | {"customer_email": '"pin": x@y'}, None),
     ({k: v for k, v in BASE.items() if k not in ("currency", "amount_minor")}, "missing_fields:amount_minor,currency"),
     (BASE | {"surprise": 1, "another": 2}, "unexpected_fields:another,surprise"),
@@ -112,6 +117,8 @@ def test_fingerprint_is_the_canonical_digest(spark):
 def test_redaction_at_any_depth(spark):
     raw = {"customer_email": "a@b", "n": [{"CVV": "1", "ok": [1, {"Pan": 2}]}], "pin": {"x": 1}}
     (out,) = lines(spark, raw).select(secrets.redacted("value")).first()
+    lost = [r[0] for r in lines(spark, "[" * 200_000, "{", None).select(secrets.redacted("value")).collect()]
+    assert json.loads(lost[0])["unreadable_bytes"] == 200_000 and json.loads(lost[1])["unreadable_sha256"] == hashlib.sha256(b"{").hexdigest() and lost[2] is None
     assert json.loads(out) == {"customer_email": "<redacted>", "n": [{"CVV": "<redacted>", "ok": [1, {"Pan": "<redacted>"}]}], "pin": "<redacted>"}
 
 
@@ -221,7 +228,7 @@ def test_manifest(spark, tmp_path):
     assert (made["record_count"], made["raw_control_totals_minor"]) == (3, {"INR": 150, "USD": 75})
     manifest.verify(spark, made, f"file://{path}")
     for field, value in (("file_name", "x"), ("sha256", "0" * 64), ("record_count", 4)):
-        with pytest.raises(ValueError, match=f"manifest_{field}_mismatch"):
+        with pytest.raises(ValueError, match=f"manifest_differs:{field}"):
             manifest.verify(spark, made | {field: value}, f"file://{path}")
     path.write_text(path.read_text() + "{}\n")
     with pytest.raises(ValueError, match="byte_size"):
@@ -275,7 +282,7 @@ def test_settlement_gates(spark):
     assert settlement.violations(rows, day).count() == 2
     good = rows.limit(1)
     workflow.validate_evidence(good, {"record_count": 1, "raw_control_totals_minor": {"INR": 5}}, day)
-    for frame, totals, n, why in ((rows, {}, 3, "contract"), (good.union(good), {}, 2, "duplicate"), (good, {"INR": 5}, 2, "record-count"), (good, {"INR": 6}, 1, "control-total")):
+    for frame, totals, n, why in ((rows, {"INR": 5, "USD": 5}, 3, ":contract$"), (good.union(good), {"INR": 10}, 2, ":keys$"), (good, {"INR": 5}, 2, ":records$"), (good, {"INR": 6}, 1, ":totals$"), (rows, {}, 9, ":contract,records,totals$")):
         with pytest.raises(RuntimeError, match=why):
             workflow.validate_evidence(frame, {"record_count": n, "raw_control_totals_minor": totals}, day)
 
@@ -314,15 +321,17 @@ def test_settlement_workflow(spark, tmp_path):
     root, day = f"file://{tmp_path}", "2026-01-01"
     store = TableStore(spark, f"{root}/tables")
     workflow.process(store, generator.arrivals(spark, 200), control.registry(spark), KEY, "run")
-    rows = settlement.expected(store.read("posted_event")).filter(F.col("business_date") == F.to_date(F.lit(day))).collect()
+    rows = settlement.expected(store.read("ledger_entry")).filter(F.col("business_date") == F.to_date(F.lit(day))).collect()
     folder = tmp_path / "in" / f"business_date={day}"
     folder.mkdir(parents=True)
     (folder / "daily.jsonl").write_text("".join(json.dumps({"schema_version": "1.0", "business_date": day, "processor_id": r["processor_id"], "currency": r["currency"], "amount_minor": r["expected_minor"]}) + "\n" for r in rows))
     made = manifest.build(spark, f"{root}/in/business_date={day}/daily.jsonl", 7)
     (folder / "daily.manifest.json").write_text(json.dumps(made))
     load = lambda: manifest.load(spark, f"{root}/in", f"business_date={day}/daily.manifest.json", f"{root}/verified", store)
+    with pytest.raises(ValueError, match="not_a_dated_manifest"):
+        manifest.load(spark, f"{root}/in", "daily.manifest.json", f"{root}/verified", store)
     took = load()
-    assert took["status"] == "VERIFIED" and load()["status"] == "DUPLICATE_MANIFEST"
+    assert took["status"] == "VERIFIED" and load()["status"] == "RECOVERED_DUPLICATE"
     found = workflow.validate_evidence(workflow.read_evidence(spark, took["verified_path"]), took["manifest"], day)
     assert workflow.reconcile(store, found, day, "reconcile")["gate_open"]
     with pytest.raises(RuntimeError, match="not reconciled"):
@@ -330,6 +339,99 @@ def test_settlement_workflow(spark, tmp_path):
     assert workflow.publish(store, root, day, 6, took["sha256"]) == "SUPERSEDED"
     assert workflow.publish(store, root, day, 7, took["sha256"]) == "RECONCILED"
     workflow.require_reconciled(store, day)
+    assert load()["status"] == "DUPLICATE_MANIFEST"
+    (folder / "daily.manifest.json").write_text(json.dumps(made | {"revision": 6}))
+    assert load()["status"] == "STALE_MANIFEST"
+    with pytest.raises(RuntimeError, match="settlement_gate_shut"):
+        workflow.reconcile(store, found.withColumn("amount_minor", F.col("amount_minor") + 1), day, "short")
+    assert store.read("settlement_exception").count() == len(rows)  # kept although the gate stopped
+    workflow.reconcile(store, found, day, "again")
+    with pytest.raises(RuntimeError, match="stale_sources:accepted_event,payment_state"):
+        workflow.build_marts(store, day, "marts-late")
+    latest = store.read("accepted_event").agg(F.max("received_at").cast("string")).first()[0]
+    assert set(workflow.build_marts(store, day, "marts", latest).values()) == {"pass"}
+    assert store.read("dim_payment_current").count() == store.read("payment_state").count()
+    assert marts.source_verdicts(store.read("accepted_event"), control.registry(spark), latest).count() == 17
+
+
+def test_manifests_as_a_stream(spark, tmp_path):
+    root, day = f"file://{tmp_path}", "2026-01-01"
+    store = TableStore(spark, f"{root}/tables")
+    folder = tmp_path / "in" / f"business_date={day}"
+    folder.mkdir(parents=True)
+    (folder / "a.jsonl").write_text('{"amount_minor":1,"currency":"INR"}\n')
+    (folder / "a.manifest.json").write_text(json.dumps(manifest.build(spark, f"{root}/in/business_date={day}/a.jsonl")))
+    (folder / "b.jsonl").write_text("{}\n")
+    (folder / "b.manifest.json").write_text("{}")
+    run = lambda: gate.start_manifests(spark, f"{root}/in", f"{root}/verified", store, f"{root}/checkpoint").awaitTermination()
+    run()
+    run()
+    told = {r["path"].rsplit("/", 1)[-1]: r for r in store.read("manifest_outcome").collect()}
+    assert told["a.manifest.json"]["status"] == "VERIFIED" and told["b.manifest.json"]["reason"].startswith("manifest_fields")
+
+
+def test_records_that_cannot_be_read_do_not_stop_the_stream(spark, tmp_path):
+    encode = lambda t: base64.b64encode(t if isinstance(t, bytes) else t.encode()).decode()
+    deep = "[" * 200_000
+    texts = [encode(json.dumps(BASE)), encode(deep), "no base64!", encode(b"\xff\xfe"), encode(json.dumps(BASE | {"pin": 1})), encode(json.dumps(BASE | {"amount_minor": 5})), encode(json.dumps(BASE)), None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "ordinal long, data string").coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    stream = spark.readStream.schema("ordinal long, data string").parquet(f"file://{tmp_path}/in")
+    store = TableStore(spark, f"file://{tmp_path}/tables")
+    gate.start(stream, control.registry(spark), KEY, store, f"file://{tmp_path}/checkpoint").awaitTermination()
+    got = {r["ordinal"]: r["reason"] for r in store.read("outcomes").collect()}
+    assert got == {0: "contract_and_identity_passed", 1: "invalid_json", 2: "invalid_json", 3: "invalid_json", 4: "prohibited_fields:pin", 5: "identity_payload_conflict", 6: "exact_event_replay", 7: "invalid_json"}
+    assert sorted(r["ordinal"] for r in store.read("bronze").collect()) == [0, 5, 6]
+    assert [str(r["event_date"]) for r in store.read("accepted_event").collect()] == ["2026-01-01"]
+    kept = {r["ordinal"]: r["payload"] for r in store.read("quarantine").collect()}
+    assert json.loads(kept[1])["unreadable_bytes"] == 200_000 and "@" not in kept[5].lower() and kept[7] is None
+
+
+def test_a_second_run_renews_only_what_it_touches(spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/t")
+    first = generator.arrivals(spark, 200)
+    workflow.process(store, first, control.registry(spark), KEY, "one")
+    n = store.read("ledger_entry").count()
+    late = BASE | {"event_id": "late", "transaction_id": "txn-0000000001", "transaction_version": 9, "event_type": "refund", "received_at": "2026-03-01T00:00:00Z"}
+    workflow.process(store, lines(spark, late), control.registry(spark), KEY, "two")
+    assert store.read("ledger_entry").count() == n
+    bad = {r["transaction_id"] for r in store.read("business_exception").collect()}
+    assert bad == {"txn-0000000001"} and store.read("payment_state").filter(F.col("transaction_id").isin(*bad)).isEmpty()
+    accepted = store.read("accepted_event").drop("event_date")
+    rebuilt = lifecycle.current_state(lifecycle.assess(accepted))
+    assert rebuilt.exceptAll(store.read("payment_state")).isEmpty() and rebuilt.count() == store.read("payment_state").count()
+    before = store.n_directories("posted_event")
+    workflow.process(store, first, control.registry(spark), KEY, "replay")
+    assert store.n_directories("posted_event") == before and store.read("ledger_entry").count() == n
+    workflow.project_date(store, "2026-01-01", "by-date")
+    assert rebuilt.exceptAll(store.read("payment_state")).isEmpty() and store.read("ledger_entry").count() == n
+    assert {r["run_id"]: r["status"] for r in workflow.journal(store).collect()} == {"one": "SUCCEEDED", "two": "SUCCEEDED", "replay": "SUCCEEDED", "by-date": "SUCCEEDED"}
+
+
+def test_store_names_and_whole_states(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FULL_EVERY", 3)
+    store = TableStore(spark, f"file://{tmp_path}/t")
+    for name in ("a b", "../x", "a;drop", ""):
+        with pytest.raises(ValueError, match="not_a_table_name"), store.commit(f"bad{name}") as change:
+            change.create(name, spark.range(1).schema)
+    assert store.bootstrap({"k": spark.range(1).schema}) == ["k"] and store.bootstrap({"k": spark.range(1).schema}) == []
+    for i in range(7):
+        with store.commit(f"r{i}", {"p": ["id"]}) as change:
+            change.append("k", spark.range(i, i + 1))
+            change.append("p", spark.range(2).withColumn("v", F.lit(i)))
+    assert sorted(r["id"] for r in store.read("k").collect()) == list(range(7)) and store.read("p").count() == 14
+    assert store.read("p").columns == ["v", "id"] and store.done("r3") and not store.done("r9")
+    assert store.read("k", 3).count() == 3
+    store.compact("p", 1)
+    assert store.read("p").count() == 14 and store.n_directories("p") == 1
+
+
+def test_shipped_files_of_rules_and_sources(spark, tmp_path):
+    (tmp_path / "rules.json").write_text(json.dumps({"version": 2, "currency_unit": "minor", "rules": {k: [{"account": a, "multiplier": m} for a, m in v] for k, v in vocabulary.POSTING_RULES.items()}}))
+    rules = posting.rules_frame(spark, *control.posting_rules(spark, f"file://{tmp_path}/rules.json"))
+    assert rules.count() == 6 and {r["version"] for r in rules.collect()} == {2}
+    (tmp_path / "sources.json").write_text(json.dumps({"families": [{"family": "f", "instances": 2, "mode": "stream", "contract": "payment_event", "owner": "o", "freshness_minutes": 5}]}))
+    assert control.registry(spark, f"file://{tmp_path}/sources.json").count() == 2
 
 
 def test_entry_points(spark):
