@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's docs.  All but the last return the
-columns of documents.
+columns of documents, extra ones included, whatever their names.
+
+Defined results: a null text counts as empty; an empty table stays empty; rows that
+repeat identifier and text go together, but for exact dedup, which keeps one of them.  Ties are
+settled by identifier: exact dedup keeps the largest, near dedup the smallest.
 """
 
 from __future__ import annotations
@@ -11,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm import decontamination, exact_dedup, packing, quality, simhash
-from paytrail.llm.common import Scratch, table
+from paytrail.llm.common import Scratch, fresh, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     machine = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
-    scored = quality.score(docs, machine, "_quality", "_good")
-    return scored.filter(F.col("_good") == 1).select(*docs.columns)
+    score, good = fresh("quality_score", docs.columns), fresh("quality_good", docs.columns)
+    scored = quality.score(docs, machine, score, good)
+    return scored.filter(F.col(good) == 1).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: The learned and hashed stages can't be said in SQL; tests hold them against brute force.
+#: The learned and hashed stages can't be said in SQL; tests hold each stage's decisions against brute force.
 ORACLE_SQL = None
 
 

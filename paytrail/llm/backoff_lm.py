@@ -24,7 +24,7 @@ the n-grams, not in size.  Within a block, segments of documents go through the
 in step, each carrying its state; a segment that continues a document first runs
 over the tokens before it, which fixes its state.
 
-Defined results: null and empty texts have the end token only.  Rows that repeat
+Defined results: null and empty texts have the end token only.  A null in the column held counts as false.  Rows that repeat
 an identifier are scored alike and count as often as they occur.  A word's key is
 64 bits of hash; at 10**9 distinct words the chance of any clash is about 3 %.
 """
@@ -32,6 +32,7 @@ an identifier are scored alike and count as often as they occur.  A word's key i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -319,21 +320,30 @@ def marked(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts:
     return by_block(blocks, told, n_blocks, sketch, PACK).groupBy("level", "part").applyInArrow(mark, ANSWER)
 
 
-def gram_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts: int, state_parts: int, least: int, sketched: bool) -> DataFrame:
-    """Packs of the n-grams that may be in the model, with their histories, and of all states (kind mass)."""
+def gram_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, level: int, parts: int, least: int, sketched: bool) -> DataFrame:
+    """Packs of the n-grams of one level that may be in the model, with their histories."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         block = Block(row, least)
-        block.take(right.to_pylist(), order, sketched)
+        block.take(right.to_pylist(), level + 1, sketched)
+        above, own = block.levels[-2:]
+        history = state_keys(above.keys[above.places[own.first - 1]])
+        return pa.Table.from_pylist(pack_rows(row["block"], level, "count", own.keys, parts, own.seen, history), PACK_TYPE)
+
+    return by_block(blocks, told, n_blocks, run, PACK)
+
+
+def state_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts: int, least: int, sketched: bool) -> DataFrame:
+    """Packs of all n-grams that may be states."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        block = Block(row, least)
+        block.take(right.to_pylist(), order - 1, sketched)
         rows = []
         for k, level in enumerate(block.levels):
-            if k:
-                above = block.levels[k - 1]
-                history = state_keys(above.keys[above.places[level.first - 1]])
-                rows += pack_rows(row["block"], k, "count", level.keys, parts, level.seen, history)
-            if k < order - 1:
-                rows += pack_rows(row["block"], k, "mass", state_keys(level.keys), state_parts, np.zeros(len(level.keys), np.uint32))
+            rows += pack_rows(row["block"], k, "mass", state_keys(level.keys), parts, np.zeros(len(level.keys), np.uint32))
         return pa.Table.from_pylist(rows, PACK_TYPE)
 
     return by_block(blocks, told, n_blocks, run, PACK)
@@ -474,10 +484,13 @@ def score_documents(docs: DataFrame, held: str = "held", order: int = ORDER, min
     if order > 1:
         if sketched:
             told = told.unionByName(scratch.keep(marked(blocks, told, n_blocks, order, gram_parts, min_count), "marks"))
-        packs = scratch.keep(gram_packs(blocks, told, n_blocks, order, gram_parts, word_parts, min_count, sketched), "packs")
-        counts = scratch.keep(resolve_grams(packs.filter("kind = 'count'"), gram_parts, word_parts, min_count), "counts")
-        masses = scratch.keep(resolve_masses(packs.filter("kind = 'mass'"), counts.filter(F.col("block") == MASSES), word_parts), "masses")
-        scratch.drop("packs")
+        counts = []
+        for level in range(1, order):
+            packs = gram_packs(blocks, told, n_blocks, level, gram_parts, min_count, sketched)
+            counts.append(scratch.keep(resolve_grams(packs, gram_parts, word_parts, min_count), f"counts{level}"))
+        counts = reduce(DataFrame.unionByName, counts)
+        asked = state_packs(blocks, told, n_blocks, order, word_parts, min_count, sketched)
+        masses = scratch.keep(resolve_masses(asked, counts.filter(F.col("block") == MASSES), word_parts), "masses")
         told = told.unionByName(counts).unionByName(masses)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:

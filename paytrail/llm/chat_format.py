@@ -20,6 +20,9 @@ Defined results: null role and null text are empty.  Turns are ordered by turn
 (null first), then role, then text, so repeated rows stay and their order is
 fixed.  Rows with a null conv_id form one conversation.  Columns beyond conv_id,
 turn, role and text are not read.
+
+The loss mask names the characters to learn from: for each turn of the trained role, its place in
+the conversation, and where its body begins and ends within the turn's own text.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROLES = ("user", "assistant", "system", "tool")
+#: The role whose texts are learned.
+TRAINED = "assistant"
 CLOSE = "</turn>"
 CONTROL = r"(### |</turn>)"
 BARE_CONTROL = r"(?<!\\)" + CONTROL
@@ -61,10 +66,15 @@ def render(role: Column, body: Column) -> Column:
     return F.concat(F.lit("### "), role_name(role), F.lit(": "), body, F.lit(f" {CLOSE}\n"))
 
 
+def turns_of(rendered: Column) -> Column:
+    """The texts of a conversation's turns, without what closes them."""
+    pieces = F.split(rendered, r"(?<!\\)" + CLOSE + "\n")
+    return F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
+
+
 def parse(rendered: Column) -> Column:
     """array<struct<role, text>> of a rendered conversation; text is null for a body that the grammar doesn't allow."""
-    pieces = F.split(rendered, r"(?<!\\)" + CLOSE + "\n")
-    pieces = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    pieces = turns_of(rendered)
     name_ends = lambda p: F.locate(": ", p)
     body = lambda p: F.substring(p, name_ends(p) + 2, F.length(p) - name_ends(p) - 2)
     return F.transform(
@@ -95,19 +105,25 @@ def render_turns(rows: DataFrame) -> DataFrame:
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, formatted and n_source_turns; turns of a conversation in order."""
+    """conv_id, formatted, loss_mask (array of turn, start, end) and n_source_turns; turns of a conversation in order."""
     turns = render_turns(rows)
     held = F.sort_array(F.collect_list(F.struct("turn", "role", "text", "rendered")))
+    head = lambda t: F.length(role_name(t["role"])) + len("### : ")
+    tail = len(f" {CLOSE}\n")
+    span = lambda t, i: F.struct(i.alias("turn"), head(t).alias("start"), (F.length(t["rendered"]) - tail).alias("end"), t["role"].alias("role"))
+    mask = F.transform(F.filter(F.transform("_turns", span), lambda s: s["role"] == TRAINED), lambda s: F.struct(s["turn"].alias("turn"), s["start"].alias("start"), s["end"].alias("end")))
     return turns.groupBy("conv_id").agg(held.alias("_turns")).select(
-        "conv_id", F.array_join(F.transform("_turns", lambda t: t["rendered"]), "").alias("formatted"), F.size("_turns").alias("n_source_turns")
+        "conv_id", mask.alias("loss_mask"), F.array_join(F.transform("_turns", lambda t: t["rendered"]), "").alias("formatted"), F.size("_turns").alias("n_source_turns")
     )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digest columns of each formatted conversation, from its parse alone."""
+    """Digest columns of each formatted conversation, from its text and its loss mask alone."""
     parsed = formatted.withColumn("_parsed", parse(F.col("formatted")))
     flat = F.array_join(F.transform("_parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("_parsed", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    parsed = parsed.withColumn("_own", turns_of(F.col("formatted")))
+    covered = lambda m: F.substring(F.get("_own", m["turn"]), m["start"] + 1, m["end"] - m["start"])
+    loss = F.array_join(F.transform("loss_mask", lambda m: unescape(covered(m))), "")
     return parsed.withColumns({"_flat": flat, "_loss": loss}).select(
         "conv_id",
         F.size("_parsed").cast("long").alias("n_turns"),

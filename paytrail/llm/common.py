@@ -76,6 +76,14 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """name, or with underscores before it, so that it is none of those taken (by whatever case)."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -86,6 +94,7 @@ BROADCAST_GONE = 500_000
 
 def without(docs: DataFrame, gone: DataFrame, key: Column, scratch: Scratch) -> DataFrame:
     """docs without the rows whose identifier and key are in gone (doc_id, key); all columns stay."""
-    listed = scratch.keep(gone.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct(), "gone")
+    own_id, own_key = (fresh(c, docs.columns) for c in ("gone_id", "gone_key"))
+    listed = scratch.keep(gone.select(F.col("doc_id").alias(own_id), F.col("key").alias(own_key)).distinct(), "gone")
     few = F.broadcast(listed) if listed.count() <= BROADCAST_GONE else listed
-    return docs.join(few, docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (key == F.col("_gone_key")), "left_anti")
+    return docs.join(few, docs["doc_id"].eqNullSafe(F.col(own_id)) & (key == F.col(own_key)), "left_anti")

@@ -24,7 +24,8 @@ must fill a line of the text, which tells it from a common phrase.
 
 Defined results: null and empty texts match nothing.  A benchmark of repeated items
 gives a row for each.  Rows of documents that repeat an identifier are told apart by
-their texts.
+their texts; rows that repeat both give one row.  Columns beyond doc_id (item_id) and text are not
+read; clean_documents() gives all columns of docs, whatever their names.
 """
 
 from __future__ import annotations

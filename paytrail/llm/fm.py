@@ -217,7 +217,10 @@ def _mix(encoded: DataFrame, machine: Machine, use: Settings, turn: int) -> None
 
 
 def apply(docs: DataFrame, machine: Machine, featurise: Featurise, name: str = "score") -> DataFrame:
-    """docs, which has a column text, with the score of each whole text; no shuffle."""
+    """docs, which has a column text, with the score of each whole text, in place of a column of that name; no shuffle."""
+    if name.lower() in {"doc_id", "text"}:
+        raise ValueError(f"a score can't be named {name}")
+    docs = docs.drop(name)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,18 +8,20 @@ is expected to hold; expectations come from the bins filled so far, so that the
 permitted sizes are chosen jointly.  When a bin is closed it is downsized to the
 least permitted length that holds its contents.
 
-A shard reads its pieces as a stream and keeps the open bins only; when more than
-OPEN_BINS are open, the fullest are closed, so memory doesn't depend on the input.
+A shard has a bounded number of pieces, so it can keep all of its bins open until
+its end (full ones are closed at once): each piece goes where it fits best among all.
 
 Defined results: null and empty texts have no tokens but the separator, so they are
 one piece of one token.  Every token of every row is in exactly one bin.  Repeated
-rows are packed as often as they occur.
+rows are packed as often as they occur.  Columns beyond doc_id and text are not read, but for
+those that size refers to.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,7 @@ LENGTHS = (512, 1024, 2048, 4096)
 #: Cost of a bin of n positions: n, and what each bin costs besides, in positions.
 BIN_OVERHEAD = 32
 SEPARATOR = 1
-OPEN_BINS = 512
-PIECES_A_SHARD = 200_000
+PIECES_A_SHARD = 100_000
 
 
 def n_tokens(text: Column) -> Column:
@@ -41,12 +42,13 @@ def n_tokens(text: Column) -> Column:
 
 
 class Packer:
-    """Best fit with several capacities.  Bins are opened for a piece and closed when full or crowded out."""
+    """Best fit with several capacities; of bins with the same room, the first opened is taken."""
 
     def __init__(self, lengths: tuple[int, ...], first_bin: int):
         self.lengths = sorted(lengths)
-        self.room: list[tuple[int, int]] = []  # (room left, bin) of the open bins, sorted
-        self.held: dict[int, list] = {}  # bin: capacity, used, pieces
+        self.rooms: list[int] = []  # the different amounts of room that open bins have, sorted
+        self.with_room: dict[int, list[int]] = {}  # heaps of bins
+        self.held: dict[int, list] = {}  # bin: capacity, used, first piece
         self.next = first_bin
         # Mean share of the room behind the first piece that bins of each length came to fill.
         self.filled = {n: 0.9 for n in self.lengths}
@@ -59,30 +61,34 @@ class Packer:
         """The least permitted length for so many tokens."""
         return self.lengths[bisect_left(self.lengths, used)]
 
-    def add(self, row: int, size: int) -> tuple[int, int]:
-        """Puts a piece into a bin: (bin, offset in it)."""
-        at = bisect_left(self.room, (size, -1))
-        if at < len(self.room):
-            _, number = self.room.pop(at)
+    def add(self, size: int) -> tuple[int, int, bool]:
+        """Puts a piece into a bin: (bin, offset in it, whether that is full now)."""
+        at = bisect_left(self.rooms, size)
+        if at < len(self.rooms):
+            room = self.rooms[at]
+            number = heappop(self.with_room[room])
+            if not self.with_room[room]:
+                del self.with_room[room], self.rooms[at]
         else:
             capacity = min((n for n in self.lengths if n >= size), key=lambda n: (self.cost(n, size), n))
-            number, self.next = self.next, self.next + 1
+            number, self.next, room = self.next, self.next + 1, capacity
             self.held[number] = [capacity, 0, size]
         held = self.held[number]
         offset, held[1] = held[1], held[1] + size
-        insort(self.room, (held[0] - held[1], number))
-        return number, offset
-
-    def close(self, most_open: int) -> list[tuple[int, int, int]]:
-        """Closes full bins, and the fullest beyond most_open: (bin, length after downsizing, tokens)."""
-        out = []
-        while self.room and (self.room[0][0] == 0 or len(self.room) > most_open):
-            _, number = self.room.pop(0)
-            capacity, used, first = self.held.pop(number)
-            if capacity > first:
-                self.filled[capacity] += 0.02 * ((used - first) / (capacity - first) - self.filled[capacity])
-            out.append((number, self.fit(used), used))
-        return out
+        left = room - size
+        if left:
+            if left not in self.with_room:
+                self.with_room[left] = []
+                insort(self.rooms, left)
+            heappush(self.with_room[left], number)
+        return number, offset, not left
+
+    def close(self, number: int) -> tuple[int, int]:
+        """(length after downsizing, tokens) of a bin that takes no more."""
+        capacity, used, first = self.held.pop(number)
+        if capacity > first:
+            self.filled[capacity] += 0.02 * ((used - first) / (capacity - first) - self.filled[capacity])
+        return self.fit(used), used
 
 
 PIECES = "doc_id {kind}, piece int, start_token long, n_tokens int"
@@ -115,24 +121,27 @@ def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, size: Column | Non
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(lengths, TaskContext.get().partitionId() << 32)
         open_rows: dict[int, list[tuple]] = {}
+        types = names = []
 
-        def closed(most_open: int) -> Iterator[pa.RecordBatch]:
-            out = [(*r, number, offset, length, used) for number, length, used in packer.close(most_open) for r, offset in open_rows.pop(number)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+        def closed(numbers: list[int]) -> Iterator[pa.RecordBatch]:
+            out = []
+            for number in numbers:
+                length, used = packer.close(number)
+                out += [(*r, number, offset, length, used) for r, offset in open_rows.pop(number)]
+            for at in range(0, len(out), 8192):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[at : at + 8192], strict=True), types, strict=True)], names=names)
 
-        types = names = []
         for batch in stream:
-            if not types:
-                types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-                names = ["doc_id", "piece", "start_token", "n_tokens", "bin_id", "bin_offset", "bin_length", "bin_tokens"]
+            types = [batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            names = ["doc_id", "piece", "start_token", "n_tokens", "bin_id", "bin_offset", "bin_length", "bin_tokens"]
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "piece", "start_token", "n_tokens")]
-            for i, row in enumerate(zip(*columns, strict=True)):
-                number, offset = packer.add(i, row[3])
+            full = []
+            for row in zip(*columns, strict=True):
+                number, offset, done = packer.add(row[3])
                 open_rows.setdefault(number, []).append((row, offset))
-                if len(packer.room) > 2 * OPEN_BINS:
-                    yield from closed(OPEN_BINS)
-            yield from closed(2 * OPEN_BINS)
-        yield from closed(0)
+                if done:
+                    full.append(number)
+            yield from closed(full)
+        yield from closed(sorted(open_rows))
 
     return shards.mapInArrow(run, schema)

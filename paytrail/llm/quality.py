@@ -6,7 +6,8 @@ the text itself carries.  Pairs of these, such as capitals with exclamation mark
 are learned by the factors.
 
 Defined results: null and empty texts have no words and the lowest bin of every
-statistic.  Labels that are null or not 0 or 1 are left out of the fit.
+statistic.  Labels that are null or not 0 or 1 are left out of the fit.  score() gives all
+columns of docs; its own two replace columns of their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Components come from alternating stars over the edges.
 Defined results: null and empty texts have no words and fingerprint zero, which
 links like any other.  A component's number is its least non-null document
 identifier (null if it has none).  Rows that repeat an identifier stay, with equal
-results.  Texts of any length are read whole.
+results.  Texts of any length are read whole.  Columns beyond doc_id and text are not read, but
+drop_near_copies() gives all, whatever their names.
 """
 
 from __future__ import annotations
@@ -139,6 +140,8 @@ def _choose(n: int, k: int) -> int:
 def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
     """The cheapest plan for n distinct fingerprints, by estimated probes and candidates."""
     best: Plan | None = None
+    if not len(sample):  # an empty table
+        sample = np.zeros(1, dtype=np.uint64)
     n = max(n, 2)  # for fewer, all plans would cost nothing
     pairs = max(len(sample) * (len(sample) - 1) // 2, 1)
     apart = np.triu_indices(len(sample), 1)

@@ -23,7 +23,8 @@ is spread over tasks; the rows at the limits of ranges are compared afterwards.
 Words around a gram are compared by hashes of 32 bits, grams and classes by 64.
 
 Defined results: null and empty texts have no spans.  A passage that occurs twice in
-one text is repeated.  Rows that repeat identifier and text repeat each other.
+one text is repeated.  Rows that repeat identifier and text repeat each other.  Columns
+beyond doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ GRAM, WINDOW, LEAST = 12, 39, 51
 LEFT, RIGHT = WINDOW, LEAST
 BATCH_BYTES = 1 << 20
 #: Rows that may be broadcast: keys of 8 bytes, or positions of the suffixes to fetch.
-BROADCAST_ROWS = 250_000
+BROADCAST_ROWS = 20_000
 #: Masks have a bit for each number of words, up to LEFT, by which a stretch of LEAST words may begin before a position.
 ALL_STARTS = (1 << LEFT + 1) - 1
 

@@ -8,7 +8,8 @@ than either, which linear weights can't say.
 
 Defined results: null and empty texts have no terms and get the score of the bias
 alone.  Labels that are null or not 0 or 1 are left out of the fit; of several
-labels of a document the greatest counts.
+labels of a document the greatest counts.  score() gives all columns of docs; its own, score
+and predicted, replace such columns.
 """
 
 from __future__ import annotations
@@ -30,17 +31,15 @@ IS_PUNCTUATION = np.zeros(256, dtype=bool)
 IS_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
-def trim(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Word limits without up to most bytes of ASCII punctuation on either side; empty words go."""
-    starts, ends = starts.copy(), ends.copy()
-    for _ in range(most):
-        last = IS_PUNCTUATION[data[ends - 1]] & (ends > starts)
-        ends[last] -= 1
-        first = (starts < ends) & IS_PUNCTUATION[data[np.minimum(starts, len(data) - 1)]]
-        starts[first] += 1
-        if not (last.any() or first.any()):
-            break
-    return starts, ends
+def trim(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word limits without the ASCII punctuation on either side; words of it alone become empty."""
+    if not len(starts):
+        return starts.copy(), ends.copy()
+    plain, at = ~IS_PUNCTUATION[data], np.arange(len(data))
+    following = np.minimum.accumulate(np.where(plain, at, len(data))[::-1])[::-1]
+    leading = np.maximum.accumulate(np.where(plain, at, -1))
+    first = np.minimum(following[starts], ends)
+    return first, np.maximum(leading[ends - 1] + 1, first)
 
 
 def terms(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,13 +8,16 @@ repeated attempt leaves behind is never read.
 
 Reading: an archive is read from front to back in pieces.  Every gzip member is
 inflated step by step, a record is framed by its Content-Length, and its block and
-payload digests are computed from the bytes and compared with the headers.
+payload digests are computed from the bytes and compared with the headers.  A
+revisit names its response's record; reading looks that record up in the archives,
+and the two payload digests must be the same.
 
 Folders may be in any store that Arrow's filesystems open (file, hdfs, s3, gs).
 
 Defined results: null html is an empty payload, a null url becomes ``urn:page:<id>``,
 a null page_id is written without its header and read back as null.  Rows that
-repeat the greatest page_id of equal payloads are each a response.
+repeat the greatest page_id of equal payloads are each a response.  Columns beyond page_id, url
+and html are not read.
 """
 
 from __future__ import annotations
@@ -51,7 +54,7 @@ def sha1_label(digest: bytes) -> str:
 
 
 def with_roles(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
-    """pages (page_id, url, html) as page_id, url, payload, record_type and refers_to.
+    """pages (page_id, url, html) as page_id, url, payload, record_type, refers_to and refers_url.
 
     Digests of payloads that occur again are written as a table; while they are few,
     they go to the pages, so that payloads needn't be shuffled.
@@ -59,22 +62,30 @@ def with_roles(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_REVI
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.unhex(F.sha2("payload", 256)), "size": F.octet_length("payload")})
-    large = rows.filter(F.col("size") >= least_bytes).select("page_id", "digest")
-    repeated = large.groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n")).filter("n > 1").select("digest", "response_id")
+    large = rows.filter(F.col("size") >= least_bytes).select("page_id", "url", "digest")
+    repeated = large.groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("response"), F.count("*").alias("n")).filter("n > 1").select("digest", F.col("response.page_id").alias("response_id"), F.col("response.url").alias("response_url"))
     repeated = scratch.keep(repeated, "repeated")
     marked = rows.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_DIGESTS else repeated, "digest", "left")
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
-    return marked.select("page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("response_id")).alias("refers_to"))
+    return marked.select("page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("response_id")).alias("refers_to"), F.when(revisit, F.col("response_url")).alias("refers_url"))
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, record_type: str, refers_to: int | None) -> bytes:
+def target_of(page_id: int | None, url: str | None) -> str:
+    return "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:page:{page_id}"
+
+
+def record_id(page_id: int | None, target: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {target}')}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, record_type: str, refers_to: int | None, refers_url: str | None = None) -> bytes:
     """One WARC/1.1 record, before compression."""
     block = HTTP_HEAD + (payload if record_type == "response" else b"")
-    target = "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:page:{page_id}"
+    target = target_of(page_id, url)
     lines = [
         "WARC/1.1",
         f"WARC-Type: {record_type}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {target}')}>",
+        f"WARC-Record-ID: {record_id(page_id, target)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: {sha1_label(hashlib.sha1(payload).digest())}",
@@ -86,7 +97,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, record_type: st
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
     if record_type == "revisit":
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page-Id: {refers_to}"]
+        original = target_of(refers_to, refers_url)
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, original)}", f"WARC-Refers-To-Target-URI: {original}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -196,13 +208,14 @@ def read_record(pieces: Iterator[bytes]) -> dict:
         "payload_bytes": number("x-payload-bytes"),
         "payload_digest": base64.b32decode(headers["warc-payload-digest"].removeprefix("sha1:")).hex(),
         "record_type": kind,
-        "refers_to": number("x-refers-to-page-id"),
+        "record_id": headers["warc-record-id"],
+        "refers_to_record": headers.get("warc-refers-to"),
         "target_uri": headers["warc-target-uri"],
     }
 
 
-RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string"
-RECORD_TYPE = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("target_uri", pa.string())])
+RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to_record string, target_uri string"
+RECORD_TYPE = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to_record", pa.string()), ("target_uri", pa.string())])
 
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
@@ -231,4 +244,15 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     folder = scratch.at("archives")
     written = scratch.keep(write_archives(with_roles(pages, scratch), folder), "listing")
     n = max(1, written.count())
-    return read_archives(written.repartition(n), folder)
+    return resolved(scratch.keep(read_archives(written.repartition(n), folder), "records"))
+
+
+def resolved(records: DataFrame) -> DataFrame:
+    """The records with refers_to, the page of the response that a revisit names; stops at one that is missing or of another payload."""
+    named = records.filter(F.col("refers_to_record").isNotNull()).select(F.col("refers_to_record").alias("_id")).distinct()
+    responses = records.filter("record_type = 'response'").select(F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_digest").alias("_digest")).join(named, "_id", "left_semi")
+    # Repeated rows have the same record identifier, page and payload.
+    joined = records.join(responses.distinct(), F.col("refers_to_record") == F.col("_id"), "left")
+    bad = F.col("refers_to_record").isNotNull() & ~F.coalesce(F.col("_digest") == F.col("payload_digest"), F.lit(False))
+    stop = F.raise_error(F.lit("a revisit refers to no response with its payload")).cast("long")
+    return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", F.when(bad, stop).otherwise(F.col("_page")).alias("refers_to"), "target_uri")

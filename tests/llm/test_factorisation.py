@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from paytrail.llm import fm, quality, toxicity
 
-from .texts import DOCS, prose
+from paytrail.llm.textkernels import mix, span_hashes
+
+from .texts import DOCS, prose, words
 
 SMALL = fm.Settings(rounds=12, least_documents=5, shards=2, least_chi2=4.0, batch=8)
 LABELS = "doc_id long, label int"
@@ -90,6 +92,68 @@ def test_odd_rows_and_odd_labels(spark):
     assert all(r["score"] is not None and 0 <= r["score"] <= 1 for r in out)
 
 
+def one_hash(word: bytes) -> int:
+    return int(span_hashes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)]))[0])
+
+
+def one_score(machine, buckets):
+    """The score of a text by the sum over all pairs of its features, one by one."""
+    own = sorted({int(machine.slot[b]) for b in buckets if machine.slot[b] >= 0})
+    margin = machine.bias + sum(machine.weights[i] for i in own) + sum(machine.factors[i] @ machine.factors[j] for i in own for j in own if i < j)
+    return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
+
+
+def toxic_buckets(text):
+    out = set()
+    for w in words(text):
+        raw = w.encode().strip(bytes((*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127))))
+        if raw:
+            out.add(one_hash(raw) % fm.BUCKETS)
+            out |= {int(mix(np.array([one_hash(raw[:n]) + n], np.uint64))[0]) % fm.BUCKETS for n in toxicity.PREFIXES if len(raw) >= n}
+    return out
+
+
+def quality_buckets(text):
+    raw, held = (text or "").encode(), [w.encode() for w in (text or "").split()]
+    low = [w.encode() for w in words(text)]
+    share = lambda n, of: n / max(of, 1)
+    letter = lambda c: 97 <= c | 32 <= 122
+    symbol = lambda c: not letter(c) and not 48 <= c <= 57 and 32 < c < 127 and c not in (44, 46)
+    by_byte = [lambda c: 65 <= c <= 90, lambda c: 48 <= c <= 57, symbol, lambda c: c >= 128, lambda c: c == 10]
+    by_word = [lambda w: w[-1:] == b"!", lambda w: len(w) == 1 and not letter(w[0]), lambda w: w[-1:] in [bytes([c]) for c in b"*%&#$@~^=|"], lambda w: 65 <= w[0] <= 90, lambda w: w[-1:] in (b".", b","), lambda w: len(w) >= 14]
+    values = [share(sum(map(f, raw)), len(raw)) for f in by_byte]
+    values.append(share(sum(a == b for a, b in zip(low, low[1:])), len(low)))
+    values += [share(sum(map(f, held)), len(held)) for f in by_word]
+    values.append(1 - len(set(low)) / max(len(low), 1))
+    bins = [64 * k + int(np.searchsorted(quality.SHARES, v, side="right")) for k, v in enumerate(values)]
+    lengths = [len(held), len(raw), len(raw) / max(len(held), 1)]
+    bins += [64 * (len(values) + k) + int(np.searchsorted(quality.LENGTHS, v, side="right")) for k, v in enumerate(lengths)]
+    return {one_hash(w) % fm.BUCKETS for w in low} | {int(mix(np.array([b + (1 << 40)], np.uint64))[0]) % fm.BUCKETS for b in bins}
+
+
+ODD = [(900, None), (901, ""), (902, "!!!!!!!!!!!!!!zorgl!!!!!!!!!!!!!! ..."), (903, "Mé MÉ 12,5% a a A\n\nB- x" * 40), (904, "word " * 3_000), (905, "\n")]
+
+
+def test_whole_scores_equal_brute_force(spark):
+    rows, labels = planted(200)
+    docs, known = spark.createDataFrame(rows + ODD, DOCS), spark.createDataFrame(labels, LABELS)
+    for module, featurise, buckets in ((toxicity, toxicity.terms, toxic_buckets), (quality, quality.features, quality_buckets)):
+        machine = fm.fit(docs, known, featurise, SMALL)
+        assert len(machine.weights) > 3
+        got = {r["doc_id"]: r["score"] for r in fm.apply(docs, machine, featurise).collect()}
+        for i, text in rows[:40] + ODD:
+            assert got[i] == pytest.approx(one_score(machine, buckets(text)), abs=1e-9), (module.__name__, i)
+
+
+def test_clashing_columns_are_replaced(spark):
+    rows, labels = planted(60)
+    docs = spark.createDataFrame([(*r, "own", 7, "x") for r in rows], DOCS + ", score string, predicted int, label string")
+    out = toxicity.score(docs, spark.createDataFrame(labels, LABELS), settings=SMALL)
+    assert sorted(out.columns) == ["doc_id", "label", "predicted", "score", "text"] and all(0 <= r["score"] <= 1 for r in out.collect())
+    machine = quality.fit(docs, spark.createDataFrame(labels, LABELS), SMALL)
+    assert set(quality.score(docs, machine).columns) == set(docs.columns)
+
+
 def test_no_labels_and_no_documents(spark):
     docs = spark.createDataFrame([(1, "a")], DOCS)
     none = spark.createDataFrame([], LABELS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -114,6 +115,73 @@ def test_items_of_numbers_and_short_items_match_verbatim_copies(spark):
         assert sorted((r["doc_id"], r["item_id"]) for r in out.collect()) == [(i, i) for i, _ in items]
 
 
+UNITS = set(decontamination.UNITS)
+PUNCTUATION = "".join(chr(c) for c in (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)))
+
+
+def template(text):
+    """(plain code, code with names, value) of each token of an ASCII text."""
+    out, before = [], None
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        raw = m.group()
+        word = raw.strip(PUNCTUATION)
+        begins = before is None or before.group()[-1] in ".!?:;" or "\n" in text[before.end() - 1 : m.start()]
+        before = m
+        if word:
+            number = any(c.isdigit() for c in word)
+            plain = "<n>" if number else "<u>" if word.lower() in UNITS else word.lower()
+            name = "A" <= word[0] <= "Z" and (len(word) == 1 or ord(word[1]) >= 97) and not begins and not number
+            out.append((plain, "<name>" if name else plain, word.lower()))
+    return out
+
+
+def brute_leaks(docs, items):
+    """Pairs of texts and items that share enough consistent template windows, by comparing every window with every other."""
+    slot = ("<n>", "<u>", "<name>")
+    found = set()
+    for d, text in docs:
+        t = template(text)
+        for i, item in items:
+            own = template(item)
+            size = min(decontamination.WINDOW, len(own))
+            at = defaultdict(lambda: (set(), set()))
+            for a in range(len(own) - size + 1):
+                for b in range(len(t) - size + 1):
+                    for kind in (0, 1):
+                        x, y = own[a : a + size], t[b : b + size]
+                        codes = [w[kind] for w in x]
+                        if codes == [w[kind] for w in y] and sum(c not in slot for c in codes) >= min(4, size) and (not kind or "<name>" in codes):
+                            cover, values = at[b - a]
+                            cover.update(range(a, a + size))
+                            values.update((p[2], q[2]) for p, q, c in zip(x, y, codes, strict=True) if c in slot)
+            for cover, values in at.values():
+                olds, news = {v for v, _ in values}, {w for _, w in values}
+                same = len(olds) == len(news) == len(values) or 2 * sum(v != w for v, w in values) <= len(values)
+                if same and len(cover) >= min(decontamination.COVERED, np.ceil(decontamination.SHARE * len(own))):
+                    found.add((d, i))
+    return found
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    names, places = ["Ann", "Bob", "Eve", "Joe"], ["Rome", "Oslo", "Bonn"]
+
+    def question(k):
+        a, b = rng.choice(names, 2, replace=False)
+        return f"{a} walks {rng.integers(2, 99)} km from {rng.choice(places)} and meets {b} who carries {rng.integers(2, 99)} kg of apples, so topic{k} says how much {a} must pay for item{k % 3}."
+
+    items = [(k, question(k)) for k in range(8)]
+    docs = []
+    for j in range(40):
+        k = int(rng.integers(0, 8))
+        own = [question(k), items[k][1], " ".join(items[k][1].split()[: rng.integers(6, 20)]), question(99)][j % 4]
+        docs.append((j, f"Text {j} begins. {own} And some words follow it: {question(50 + j)[:40]}"))
+    out = decontamination.contaminated(spark.createDataFrame(docs * 2, DOCS), spark.createDataFrame(items, ITEM)).collect()
+    want = brute_leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in out} == want and 10 < len(want) < 60
+    assert len(out) == len(want)  # repeated rows of documents give one row
+
+
 def test_empty_tables_match_nothing(spark):
     docs, items = spark.createDataFrame([(1, prose(40, 1))], DOCS), spark.createDataFrame([], ITEM)
     assert decontamination.contaminated(docs, items).count() == 0
@@ -146,12 +214,51 @@ def test_every_token_is_in_one_bin(spark):
     assert pieces == [(i, 512 * i) for i in range(len(pieces))]
 
 
-def test_open_bins_are_bounded(monkeypatch):
+def best_fit(sizes, lengths):
+    """The same packing with a list of all bins that is searched for each piece: bin and offset of each."""
+    bins, filled, out = [], {n: 0.9 for n in lengths}, []
+    fit = lambda used: min(n for n in lengths if n >= used)
+
+    def cost(capacity, piece):
+        expected = piece + filled[capacity] * (capacity - piece)
+        return (fit(int(np.ceil(expected))) + packing.BIN_OVERHEAD) / expected
+
+    for size in sizes:
+        open_ = [b for b in bins if b["room"] >= size]
+        if open_:
+            own = min(open_, key=lambda b: (b["room"], b["n"]))
+        else:
+            capacity = min((n for n in lengths if n >= size), key=lambda n: (cost(n, size), n))
+            own = {"n": len(bins), "room": capacity, "capacity": capacity, "used": 0}
+            bins.append(own)
+        out.append((own["n"], own["used"]))
+        own["used"] += size
+        own["room"] -= size
+    return out, [fit(b["used"]) for b in bins]
+
+
+def test_pieces_go_where_they_fit_best(spark):
+    """Against brute force, over documents that fill no bin exactly before their batch ends."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(n)) for i, n in enumerate(rng.integers(0, 900, 1_500))]
+    out = packing.pack(spark.createDataFrame(rows, DOCS), lengths=(256, 512)).collect()
+    shards = defaultdict(list)
+    for r in out:
+        shards[r["bin_id"] >> 32].append(r)
+    assert len(shards) == 2
+    for own in shards.values():
+        own.sort(key=lambda r: (-r["n_tokens"], r["doc_id"], r["piece"]))
+        want, length = best_fit([r["n_tokens"] for r in own], (256, 512))
+        assert [(r["bin_id"] & 0xFFFFFFFF, r["bin_offset"]) for r in own] == want
+        assert all(r["bin_length"] == length[r["bin_id"] & 0xFFFFFFFF] for r in own)
+
+
+def test_a_shard_keeps_all_bins_open():
     packer = packing.Packer((64, 128), 0)
-    for i in range(4_000):
-        packer.add(i, 40 + i % 24)
-        packer.close(50)
-        assert len(packer.room) <= 50
+    for i in range(20_000):
+        packer.add(40 + i % 24)
+    number, _, full = packer.add(1)  # the bin with least room is found among thousands
+    assert len(packer.held) > 5_000 and full == (packer.held[number][0] == packer.held[number][1])
 
 
 def test_packing_nothing(spark):
@@ -182,6 +289,16 @@ def test_archives_give_back_every_page(spark):
     assert out == sorted(want, key=str)
 
 
+def test_a_revisit_of_another_payload_is_refused(spark):
+    rows = [(1, 1000, "aa", "response", "<a>", None, "u"), (2, 1000, "aa", "revisit", "<b>", "<a>", "u"), (3, 1000, "bb", "revisit", "<c>", "<a>", "u"), (4, 1000, "aa", "revisit", "<d>", "<z>", "u")]
+    records = spark.createDataFrame(rows, warc.RECORD)
+    good = {r["page_id"]: r["refers_to"] for r in warc.resolved(records.filter("page_id < 3")).collect()}
+    assert good == {1: None, 2: 1}
+    for bad in (3, 4):
+        with pytest.raises(Exception, match="refers to no response"):
+            warc.resolved(records.filter(F.col("page_id").isin(1, bad))).collect()
+
+
 def test_archives_rotate_and_an_empty_table_has_none(spark, tmp_path):
     rows = warc.with_roles(spark.createDataFrame(pages(), PAGE), Scratch(spark, "test")).coalesce(1)
     listing = warc.write_archives(rows, f"file://{tmp_path}", most_bytes=2_000).collect()
