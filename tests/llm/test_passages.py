@@ -178,7 +178,7 @@ def test_leaks_equal_brute_force(spark):
         docs.append((j, f"Text {j} begins. {own} And some words follow it: {question(50 + j)[:40]}"))
     out = decontamination.contaminated(spark.createDataFrame(docs * 2, DOCS), spark.createDataFrame(items, ITEM)).collect()
     want = brute_leaks(docs, items)
-    assert {(r["doc_id"], r["item_id"]) for r in out} == want and 10 < len(want) < 60
+    assert {(r["doc_id"], r["item_id"]) for r in out} == want and 10 < len(want) < 320
     assert len(out) == len(want)  # repeated rows of documents give one row
 
 
