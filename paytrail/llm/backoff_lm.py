@@ -46,12 +46,12 @@ from .textkernels import BASE, batches, mix, split_words, word_hashes
 ORDER = 3
 #: Training occurrences that make an n-gram of several words an arc.
 MIN_COUNT = 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 PART_KEYS = 1_000_000
 #: Blocks with their answers that one task goes through.
 TASK_BLOCKS = 8
 DISCOUNT = 0.75
-SEGMENT = 1024
+SEGMENT = 256
 #: Key of the end token, and what tells a state's key from an n-gram's.
 END = np.uint64(0x5EED0FE2D)
 STATE = np.uint64(0xA5A5A5A55A5A5A5A)
@@ -165,11 +165,13 @@ class Block:
             keys, where = np.unique(keys, return_inverse=True)
             use = np.ones(len(keys), dtype=bool) if marks is None else bits_in_order(marks.get(level, []), keys)
             above = self.levels[-1].places
-            use = use[where] & (above[at] >= 0) & (above[at - 1] >= 0)
-            kept, at = np.unique(where[use], return_inverse=True), at[use]
+            # Whether both shorter n-grams may be in the model is the same wherever an n-gram occurs.
+            whole = np.zeros(len(keys), dtype=bool)
+            whole[where[(above[at] >= 0) & (above[at - 1] >= 0)]] = True
+            use &= whole
             places = np.full(len(self.train), -1, dtype=np.int64)
-            places[at] = kept[1]
-            self.levels.append(Level(keys[kept[0]], places, self.train))
+            places[at] = np.where(use, np.cumsum(use) - 1, -1)[where]
+            self.levels.append(Level(keys[use], places, self.train))
 
     def take_words(self, answers: list[dict]) -> None:
         words = self.levels[0]
@@ -206,9 +208,16 @@ def short(keys: np.ndarray) -> np.ndarray:
 
 
 def deal(keys: np.ndarray, parts: int, by: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
-    """(part, indices of its keys, sorted by key or by) for each part that has any."""
-    part = ((keys >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((keys if by is None else by, part))
+    """(part, indices of its keys, sorted by key or by 32 bits) for each part that has any."""
+    part = ((keys >> np.uint64(33)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+    if by is not None:
+        order = np.argsort(by)
+        order = order[np.argsort(part[order], kind="stable")]
+    elif (keys[1:] >= keys[:-1]).all():
+        order = np.argsort(part, kind="stable")
+    else:
+        order = np.argsort(keys)
+        order = order[np.argsort(part[order], kind="stable")]
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     return [(int(part[x[0]]), x) for x in np.split(order, cuts) if len(x)]
 
