@@ -387,6 +387,25 @@ def test_records_that_cannot_be_read_do_not_stop_the_stream(spark, tmp_path):
     assert json.loads(kept[1])["unreadable_bytes"] == 200_000 and "@" not in kept[5].lower() and kept[7] is None
 
 
+def test_a_crashed_batch_is_written_once(spark, tmp_path, monkeypatch):
+    lines(spark, BASE, BASE | {"event_id": "e-2"}, BASE).coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    store = TableStore(spark, f"file://{tmp_path}/tables")
+    run = lambda: gate.start(spark.readStream.schema(gate.ARRIVAL).parquet(f"file://{tmp_path}/in"), control.registry(spark), KEY, store, f"file://{tmp_path}/checkpoint").awaitTermination()
+
+    def crash(self, change, state):
+        raise OSError("crash before the pointer")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(TableStore, "_publish", crash)
+        with pytest.raises(Exception, match="crash before the pointer"):
+            run()
+    assert not store.has("outcomes") and not store.done("batch-0")
+    run()
+    run()
+    assert sorted(r["outcome"] for r in store.read("outcomes").collect()) == ["ACCEPTED", "ACCEPTED", "DUPLICATE"]
+    assert store.read("seen_event").count() == 2 and store.done("batch-0")
+
+
 def test_a_second_run_renews_only_what_it_touches(spark, tmp_path):
     store = TableStore(spark, f"file://{tmp_path}/t")
     first = generator.arrivals(spark, 200)
