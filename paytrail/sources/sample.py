@@ -27,7 +27,9 @@ def staged(make: Callable[[SparkSession, str], DataFrame], spark: SparkSession,
     """make's table for a sample folder, derived and written once for each application."""
     key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
     if key not in _staged:
-        _staged[key] = written(make(spark, sf_dir), f"sample-{make.__name__}")
+        # A file for each core at least: the tables are small for their cost, and a small file is one task.
+        rows = make(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        _staged[key] = written(rows, f"sample-{make.__name__}")
     return _staged[key]
 
 
