@@ -84,6 +84,11 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, chat_format, decontamination, exact_dedup, packing, quality, simhash, suffix_dedup, toxicity, warc
+from . import backoff_lm, chat_format, decontamination, exact_dedup, fill_in_middle, packing, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -100,9 +100,33 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, distance=3)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = made.withColumn("restored", fill_in_middle.restored(F.col("output"), F.col("form")))
+    return back.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS body, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, body, length(body) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d
+), c AS (
+  SELECT doc_id, body, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (SELECT *, substring(body, 1, a) AS prefix, substring(body, a + 1, b - a) AS middle, substring(body, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN body WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(body) AS restored_sha256
+FROM p
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_fill_in_middle": OP11_SQL}
