@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, chat_format, decontamination, exact_dedup, fill_in_middle, packing, quality, simhash, suffix_dedup, toxicity, warc
+from . import backoff_lm, chat_format, decontamination, divergence, exact_dedup, fill_in_middle, packing, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -124,9 +124,46 @@ FROM p
 """
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+), t AS (SELECT row, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+o AS (SELECT row, lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(*) >= 30),
+c AS (SELECT lang, source, term, sum(n) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+gn AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+ln AS (SELECT lang, sum(total) AS total FROM gn GROUP BY lang),
+p AS (
+  SELECT gn.lang, gn.source, kept.term, coalesce(c.n, 0) AS n,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * CAST(coalesce(c.n, 0) + 5 AS HUGEINT)) // CAST(gn.total + 5 * v.v AS HUGEINT) AS BIGINT) AS p
+  FROM gn JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = kept.term
+), q AS (
+  SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * CAST(sum(n) + 5 AS HUGEINT)) // CAST(any_value(ln.total) + 5 * any_value(v.v) AS HUGEINT) AS BIGINT) AS q
+  FROM p JOIN ln USING (lang) JOIN v USING (lang) GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value FROM pairs
+  UNION ALL
+  SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.lang NOT IN (SELECT lang FROM v)
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "pipeline": corpus_pipeline.run}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "op13_source_divergence": op13_source_divergence, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_fill_in_middle": OP11_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_source_divergence": OP13_SQL}
