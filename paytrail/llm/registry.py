@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, chat_format, decontamination, divergence, exact_dedup, fill_in_middle, packing, quality, simhash, suffix_dedup, toxicity, warc
+from . import backoff_lm, chat_format, decontamination, divergence, exact_dedup, fill_in_middle, html_extraction, packing, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -124,6 +124,21 @@ FROM p
 """
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages, html_extraction.fit(pages))
+
+
+# What the sample's own template marks as the article, by SQL alone: an independent reading of the pages.
+OP12_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(regexp_replace(replace(body, '<br>', ' '), '</?b>', '', 'g'), '</?(?:h1|p)>'),
+  lambda x: trim(regexp_replace(replace(replace(regexp_replace(x, '&quot;', '"', 'g'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))) AS blocks FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM t
+"""
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -162,8 +177,8 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "op13_source_divergence": op13_source_divergence, "pipeline": corpus_pipeline.run}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "op12_html_extraction": op12_html_extraction, "op13_source_divergence": op13_source_divergence, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_source_divergence": OP13_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op9_chat_format": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op12_html_extraction": OP12_SQL, "op13_source_divergence": OP13_SQL}
