@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..sources.arrivals import delivery
 from ..sources.control import read_json
 from ..sources.files import Files
+from ..sources.tables import CommitConflict
 from ..vocabulary import MANIFEST
 from .revisions import decide
 
@@ -104,7 +105,10 @@ def _register(spark: SparkSession, store, answer: dict) -> str:
     if decision == "CONFLICT":
         raise ValueError(f"revision_has_other_content:{answer['business_date']}:{answer['revision']}")
     if decision == "ACTIVE":
+        # Fails, to be tried again, if another revision is registered meanwhile.
         with store.commit(f"revision-{answer['business_date']}-{answer['revision']}-{answer['sha256'][:16]}") as change:
+            if change.has("settlement_publication") and decide(change.read("settlement_publication"), new).first()["decision"] != decision:
+                raise CommitConflict("another revision was registered")
             change.upsert("settlement_publication", new, ["business_date"])
         return "VERIFIED"
     if decision == "STALE":

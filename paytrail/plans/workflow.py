@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators import contract, identity, lifecycle, merging, posting, settlement
 from ..sources.files import Files
-from ..sources.tables import Change, TableStore
+from ..sources.tables import Change, CommitConflict, TableStore
 from ..vocabulary import ENTRY, EVENT, POSTING_RULES, SETTLEMENT, SETTLEMENT_KEY, STATE
 from . import marts
 
@@ -141,12 +141,15 @@ def validate_evidence(records: DataFrame, manifest: dict, business_date: str) ->
 def reconcile(store: TableStore, evidence: DataFrame, business_date: str, run: str, strict: bool = True) -> dict:
     """Compares a date's ledger with its evidence and keeps both; then a shut gate stops the workflow, if strict."""
     day = F.to_date(F.lit(business_date))
-    ledger = marts.excluding(store.read("ledger_entry").filter(F.to_date("event_time") == day), store.read("business_exception"))
     actual = evidence.filter(F.col("business_date") == day).select(*SETTLEMENT_KEY, "amount_minor")
-    found = settlement.exceptions(settlement.compare(settlement.expected(ledger), actual))
-    with store.commit(run) as change:
+
+    def body(change: Change) -> None:
+        ledger = marts.excluding(change.read("ledger_entry").filter(F.to_date("event_time") == day), change.read("business_exception"))
+        found = settlement.exceptions(settlement.compare(settlement.expected(ledger), actual))
         change.overwrite_where("settlement_evidence", actual, F.col("business_date") == day)
         change.overwrite_where("settlement_exception", found, F.col("business_date") == day)
+
+    store.retried(run, body)
     gate = settlement.gate(store.read("settlement_exception").filter(F.col("business_date") == day)).first().asDict()
     if strict and not gate["gate_open"]:
         raise RuntimeError(f"settlement_gate_shut:{business_date}:{gate['exception_count']} differences of {gate['absolute_delta_minor']} in all")
@@ -158,11 +161,19 @@ def publish(store: TableStore, root: str, business_date: str, revision: int, sha
     files = Files(store.spark)
     files.write(f"{root}/gates/business_date={business_date}/revision={revision}/sha256={sha256}/SETTLEMENT_RECONCILED.json", '{"gate":"SETTLEMENT_RECONCILED"}')
     own = (F.col("business_date") == business_date) & (F.col("revision") == revision) & (F.col("sha256") == sha256)
-    row = store.read("settlement_publication").filter(own)
-    if row.isEmpty():
+    if store.read("settlement_publication").filter(own).isEmpty():
         return "SUPERSEDED"
-    with store.commit(f"publish-{business_date}-{revision}-{sha256[:16]}") as change:
-        change.upsert("settlement_publication", row.withColumn("status", F.lit("RECONCILED")), ["business_date"])
+    try:
+        # Conditional on the register as it is read here: a revision that comes in between wins.
+        with store.commit(f"publish-{business_date}-{revision}-{sha256[:16]}") as change:
+            row = change.read("settlement_publication").filter(own)
+            if row.isEmpty():
+                raise CommitConflict("superseded")
+            change.upsert("settlement_publication", row.withColumn("status", F.lit("RECONCILED")), ["business_date"])
+    except CommitConflict:
+        if store.read("settlement_publication").filter(own).isEmpty():
+            return "SUPERSEDED"
+        raise
     return "RECONCILED"
 
 
@@ -179,17 +190,21 @@ def build_marts(store: TableStore, business_date: str, run: str, now: str | None
     verdict on each source table.
     """
     require_reconciled(store, business_date)
-    views = marts.staging({t: store.read(t) for t in ("accepted_event", "payment_state", "ledger_entry", "business_exception", "settlement_exception")})
+    views_of = ("accepted_event", "payment_state", "ledger_entry", "business_exception", "settlement_exception")
+    views = marts.staging({t: store.read(t) for t in views_of})
     fresh = marts.source_freshness(views, now)
     verdicts = {r["source_table"]: r["verdict"] for r in fresh.collect()}
     if late := sorted(t for t, v in verdicts.items() if v == "error"):
         raise RuntimeError("stale_sources:" + ",".join(late))
-    exceptions = views["stg_business_exception"]
-    with store.commit(run) as change:
+
+    def body(change: Change) -> None:
+        exceptions = marts.staging({t: change.read(t) for t in views_of})
         change.together(
             replace=True,
-            dim_payment_current=marts.payment_current(store.read("payment_state"), exceptions),
-            fct_ledger_daily=marts.ledger_daily(store.read("ledger_entry"), exceptions),
-            fct_settlement_exception=views["stg_settlement_exception"],
+            dim_payment_current=marts.payment_current(change.read("payment_state"), exceptions["stg_business_exception"]),
+            fct_ledger_daily=marts.ledger_daily(change.read("ledger_entry"), exceptions["stg_business_exception"]),
+            fct_settlement_exception=exceptions["stg_settlement_exception"],
         )
+
+    store.retried(run, body)
     return verdicts

@@ -392,7 +392,7 @@ def test_a_crashed_batch_is_written_once(spark, tmp_path, monkeypatch):
     store = TableStore(spark, f"file://{tmp_path}/tables")
     run = lambda: gate.start(spark.readStream.schema(gate.ARRIVAL).parquet(f"file://{tmp_path}/in"), control.registry(spark), KEY, store, f"file://{tmp_path}/checkpoint").awaitTermination()
 
-    def crash(self, change, state):
+    def crash(self, change):
         raise OSError("crash before the pointer")
 
     with monkeypatch.context() as patched:
