@@ -49,6 +49,12 @@ PLACES = {
     "comment": ['<section class="comments">', '<div id="comments">', '<div class="comment-list">', '<ol class="commentlist">', '<section id="discussion">', '<div id="disqus_thread">', '<div class="replies">', '<div class="comment">', '<section class="user-comments"><article>', '<section class="reader-comments">', '<div class="responses"><article class="comment">'],
     "share": ['<div class="social">', '<ul class="share-buttons">', '<div class="sharing">'],
 }
+SHAPES = {
+    "": ("<p>{}</p>", "<div>{}</div>", "<div><p>{}</p></div>", "<h3>{}</h3>", "<li>{}</li>", "{}<hr>"),
+    "menu": ("<li><a href='#'>{}</a></li>", "<a href='#'>{}</a><hr>", "<li>{}</li>"),
+    "share": ("<li><a href='#'>{}</a></li>", "<a href='#'>{}</a><hr>", "<li>{}</li>"),
+    "form": ("<label>{}</label><input>", "<p>{}</p>", "<div><label>{}</label></div>"),
+}
 INSIDE = ("advert", "comment", "side", "share", "notice", "form")
 BEFORE, AFTER = ("header", "menu", "notice", "advert", "form", "side"), ("comment", "side", "menu", "share", "advert", "form", "footer")
 
@@ -74,11 +80,9 @@ def relay(blocks: list[Block], labels: list[int], pick: random.Random) -> tuple[
         parts.append(box)
         for _ in range(pick.choice((1, 1, 2, 3, 6) if kind in {"menu", "side", "comment", "share"} else (1, 1, 2))):
             sentence = pick.choice(main).text if kind in {"comment", "side", "advert", "notice"} and pick.random() < 0.6 else pick.choice(rest)
-            shape = pick.choice(("<li><a href='#'>{}</a></li>", "<a href='#'>{}</a><br>", "<li>{}</li>") if kind in {"menu", "share"} else ("<p>{}</p>", "<div>{}</div>", "<div><p>{}</p></div>", "<h3>{}</h3>", "<li>{}</li>") if not box.startswith("<p") else ("{} ",))
+            shape = "{}<hr>" if box.startswith("<p") else pick.choice(SHAPES.get(kind, SHAPES[""]))
             parts.append(shape.format(say(sentence)))
             told.append(0)
-            if not shape.startswith("<li") and shape in {"{} ", "<a href='#'>{}</a><br>"}:
-                parts.append("<hr>")
         parts.append(_ends(box))
 
     wrapper, box = pick.choice(WRAPPERS), pick.choice(MAIN_BOXES)
