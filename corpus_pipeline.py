@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm import decontamination, exact_dedup, packing, quality, simhash
-from paytrail.llm.common import Scratch, fresh, table
+from paytrail.llm.common import Scratch, fresh, quoted, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     machine = quality.fit(docs, quality.learnable(table(spark, sf_dir, "labels")))
     score, good = fresh("quality_score", docs.columns), fresh("quality_good", docs.columns)
     scored = quality.score(docs, machine, score, good)
-    return scored.filter(F.col(good) == 1).select(*docs.columns)
+    return scored.filter(F.col(good) == 1).select(*map(quoted, docs.columns))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

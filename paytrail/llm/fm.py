@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Scratch
 from .textkernels import batches
@@ -221,12 +222,16 @@ def apply(docs: DataFrame, machine: Machine, featurise: Featurise, name: str = "
     if name.lower() in {"doc_id", "text"}:
         raise ValueError(f"a score can't be named {name}")
     docs = docs.drop(name)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names = docs.columns
+    at = next(i for i, c in enumerate(names) if c.lower() == "text")
+    # By place, since not every name of a column can be said where the rows go through Python.
+    docs = docs.toDF(*("text" if i == at else f"c{i}" for i in range(len(names))))
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(stream, "text", BATCH_BYTES):
             feature, limits = machine.select(*featurise(batch["text"]), batch.num_rows)
             score = sigmoid(machine.margin(feature, limits)[0])
-            yield from batch.append_column(name, pa.array(score)).combine_chunks().to_batches()
+            yield from batch.append_column("score", pa.array(score)).combine_chunks().to_batches()
 
-    return docs.mapInArrow(run, f"{schema}, `{name}` double")
+    return docs.mapInArrow(run, schema).toDF(*names, name)

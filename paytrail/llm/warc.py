@@ -16,7 +16,8 @@ Folders may be in any store that Arrow's filesystems open (file, hdfs, s3, gs).
 
 Defined results: null html is an empty payload, a null url becomes ``urn:page:<id>``,
 a null page_id is written without its header and read back as null.  Rows that
-repeat the greatest page_id of equal payloads are each a response.  Columns beyond page_id, url
+repeat the greatest page_id of equal payloads are each a response; a page crawled again with another payload is a record
+of its own.  Columns beyond page_id, url
 and html are not read.
 """
 
@@ -74,21 +75,22 @@ def target_of(page_id: int | None, url: str | None) -> str:
     return "".join(c if " " < c < "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url) if url else f"urn:page:{page_id}"
 
 
-def record_id(page_id: int | None, target: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {target}')}>"
+def record_id(page_id: int | None, target: str, digest: str) -> str:
+    """Of a page, address and payload; only rows that repeat all three share one."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {target} {digest}')}>"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, record_type: str, refers_to: int | None, refers_url: str | None = None) -> bytes:
     """One WARC/1.1 record, before compression."""
     block = HTTP_HEAD + (payload if record_type == "response" else b"")
-    target = target_of(page_id, url)
+    target, digest = target_of(page_id, url), sha1_label(hashlib.sha1(payload).digest())
     lines = [
         "WARC/1.1",
         f"WARC-Type: {record_type}",
-        f"WARC-Record-ID: {record_id(page_id, target)}",
+        f"WARC-Record-ID: {record_id(page_id, target, digest)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {target}",
-        f"WARC-Payload-Digest: {sha1_label(hashlib.sha1(payload).digest())}",
+        f"WARC-Payload-Digest: {digest}",
         f"WARC-Block-Digest: {sha1_label(hashlib.sha1(block).digest())}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
@@ -98,7 +100,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, record_type: st
         lines.append(f"X-Page-Id: {page_id}")
     if record_type == "revisit":
         original = target_of(refers_to, refers_url)
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, original)}", f"WARC-Refers-To-Target-URI: {original}"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, original, digest)}", f"WARC-Refers-To-Target-URI: {original}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -251,7 +253,7 @@ def resolved(records: DataFrame) -> DataFrame:
     """The records with refers_to, the page of the response that a revisit names; stops at one that is missing or of another payload."""
     named = records.filter(F.col("refers_to_record").isNotNull()).select(F.col("refers_to_record").alias("_id")).distinct()
     responses = records.filter("record_type = 'response'").select(F.col("record_id").alias("_id"), F.col("page_id").alias("_page"), F.col("payload_digest").alias("_digest")).join(named, "_id", "left_semi")
-    # Repeated rows have the same record identifier, page and payload.
+    # Rows that repeat page, address and payload have one identifier.
     joined = records.join(responses.distinct(), F.col("refers_to_record") == F.col("_id"), "left")
     bad = F.col("refers_to_record").isNotNull() & ~F.coalesce(F.col("_digest") == F.col("payload_digest"), F.lit(False))
     stop = F.raise_error(F.lit("a revisit refers to no response with its payload")).cast("long")

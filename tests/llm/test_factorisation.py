@@ -152,6 +152,9 @@ def test_clashing_columns_are_replaced(spark):
     assert sorted(out.columns) == ["doc_id", "label", "predicted", "score", "text"] and all(0 <= r["score"] <= 1 for r in out.collect())
     machine = quality.fit(docs, spark.createDataFrame(labels, LABELS), SMALL)
     assert set(quality.score(docs, machine).columns) == set(docs.columns)
+    odd = docs.selectExpr("*", "'x' AS `back``tick`", "named_struct('a b', 1, 'c', array(1.5)) AS nested")
+    scored = quality.score(odd, machine)
+    assert set(scored.columns) == set(odd.columns) and scored.filter("`back``tick` = 'x' AND nested.`a b` = 1").count() == odd.count()
 
 
 def test_no_labels_and_no_documents(spark):

@@ -215,32 +215,41 @@ def test_every_token_is_in_one_bin(spark):
 
 
 def best_fit(sizes, lengths):
-    """The same packing with a list of all bins that is searched for each piece: bin and offset of each."""
-    bins, filled, out = [], {n: 0.9 for n in lengths}, []
+    """The same packing with lists that are searched for each piece: bin and offset of each, lengths, and the capacities opened."""
+    bins, out, left = [], [], list(sizes)
     fit = lambda used: min(n for n in lengths if n >= used)
+    looked, seen = len(left), None
 
     def cost(capacity, piece):
-        expected = piece + filled[capacity] * (capacity - piece)
+        room = capacity - piece
+        sums = {0}
+        for n in seen:
+            sums |= {t + n for t in sums if t + n <= room}
+        share = min(1, sum(n for n in seen if n <= room) / (sum(b["room"] for b in bins) + room)) if room else 0
+        expected = piece + share * max(sums)
         return (fit(int(np.ceil(expected))) + packing.BIN_OVERHEAD) / expected
 
     for size in sizes:
+        left.remove(size)
         open_ = [b for b in bins if b["room"] >= size]
         if open_:
             own = min(open_, key=lambda b: (b["room"], b["n"]))
         else:
+            if len(left) <= looked:
+                seen, looked = list(left), len(left) - max(1, len(left) // packing.RENEWALS)
             capacity = min((n for n in lengths if n >= size), key=lambda n: (cost(n, size), n))
             own = {"n": len(bins), "room": capacity, "capacity": capacity, "used": 0}
             bins.append(own)
         out.append((own["n"], own["used"]))
         own["used"] += size
         own["room"] -= size
-    return out, [fit(b["used"]) for b in bins]
+    return out, [fit(b["used"]) for b in bins], [b["capacity"] for b in bins]
 
 
 def test_pieces_go_where_they_fit_best(spark):
-    """Against brute force, over documents that fill no bin exactly before their batch ends."""
+    """Against brute force, the choice of lengths included."""
     rng = np.random.default_rng(8)
-    rows = [(i, "w " * int(n)) for i, n in enumerate(rng.integers(0, 900, 1_500))]
+    rows = [(i, "w " * int(n)) for i, n in enumerate(rng.integers(0, 700, 600))]
     out = packing.pack(spark.createDataFrame(rows, DOCS), lengths=(256, 512)).collect()
     shards = defaultdict(list)
     for r in out:
@@ -248,19 +257,49 @@ def test_pieces_go_where_they_fit_best(spark):
     assert len(shards) == 2
     for own in shards.values():
         own.sort(key=lambda r: (-r["n_tokens"], r["doc_id"], r["piece"]))
-        want, length = best_fit([r["n_tokens"] for r in own], (256, 512))
+        want, length, opened = best_fit([r["n_tokens"] for r in own], (256, 512))
+        assert set(opened) == {256, 512}
         assert [(r["bin_id"] & 0xFFFFFFFF, r["bin_offset"]) for r in own] == want
         assert all(r["bin_length"] == length[r["bin_id"] & 0xFFFFFFFF] for r in own)
 
 
 def test_a_shard_keeps_all_bins_open():
-    packer = packing.Packer((64, 128), 0)
-    for i in range(20_000):
-        packer.add(40 + i % 24)
-    number, _, full = packer.add(1)  # the bin with least room is found among thousands
+    sizes = sorted((40 + i % 24 for i in range(20_000)), reverse=True) + [1]
+    packer = packing.Packer((64, 128), 0, np.array(sizes))
+    for size in sizes:
+        number, _, full = packer.add(size)
+    # The last one went where there is least room, among thousands.
     assert len(packer.held) > 5_000 and full == (packer.held[number][0] == packer.held[number][1])
 
 
+def spent(sizes, lengths):
+    """Cost of all bins, and how many of each length there are in the end."""
+    cut = [n for s in sizes for n in [max(lengths)] * ((s - 1) // max(lengths)) + [(s - 1) % max(lengths) + 1]]
+    packer = packing.Packer(lengths, 0, np.array(cut))
+    for size in sorted(cut, reverse=True):
+        packer.add(size)
+    ends = Counter(packer.close(n)[0] for n in list(packer.held))
+    return sum((n + packing.BIN_OVERHEAD) * k for n, k in ends.items()), ends
+
+
+def test_several_lengths_cost_less_than_any_one():
+    rng = np.random.default_rng(3)
+    both = [int(n) for n in rng.integers(1_400, 1_480, 400)] + [int(n) for n in rng.integers(3_900, 4_090, 300)]
+    cost, ends = spent(both, (1_500, 4_096))
+    assert ends[1_500] >= 390 and ends[4_096] >= 290
+    assert all(cost < 0.95 * spent(both, (n,))[0] for n in (1_500, 4_096))
+    for scale in (60, 300, 1_200):  # and where one is best, it is the one that is taken
+        sizes = np.clip(rng.lognormal(np.log(scale), 0.8, 4_000), 1, None).astype(int)
+        assert spent(sizes, packing.LENGTHS)[0] <= 1.005 * min(spent(sizes, (n,))[0] for n in packing.LENGTHS)
+
+
+def test_long_documents_make_shards_by_pieces(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_A_SHARD", 50)
+    docs = spark.createDataFrame([(i, None, 640) for i in range(100)], DOCS + ", size int")  # ten pieces each
+    out = packing.pack(docs, lengths=(64,), size=F.col("size"))
+    assert out.count() == 1_000 and max(r["n"] for r in out.groupBy(F.shiftright("bin_id", 32)).agg(F.count("*").alias("n")).collect()) <= 60
+
+
 def test_packing_nothing(spark):
     assert packing.pack(spark.createDataFrame([], DOCS)).count() == 0
 
@@ -299,6 +338,14 @@ def test_a_revisit_of_another_payload_is_refused(spark):
             warc.resolved(records.filter(F.col("page_id").isin(1, bad))).collect()
 
 
+def test_a_page_that_was_crawled_again_is_a_record_of_its_own(spark):
+    a, b = "A" * 1_500, "B" * 1_500
+    rows = [(1, "u", a), (1, "u", b), (0, "v", a), (0, "w", b), (1, "u", "short"), (1, "u", "short"), (2, "u", b), (2, "u", b)]
+    frame = spark.createDataFrame(rows, PAGE).selectExpr("*", "'own' AS digest", "1 AS payload", "'x' AS record_type", "9 AS refers_to")
+    got = sorted(tuple(r) for r in warc.round_trip(spark, frame).select("page_id", "record_type", F.coalesce("refers_to", F.lit(-1))).collect())
+    assert got == sorted([(1, "response", -1), (0, "revisit", 1), (0, "revisit", 2), (1, "revisit", 2), (1, "response", -1), (1, "response", -1), (2, "response", -1), (2, "response", -1)])
+
+
 def test_archives_rotate_and_an_empty_table_has_none(spark, tmp_path):
     rows = warc.with_roles(spark.createDataFrame(pages(), PAGE), Scratch(spark, "test")).coalesce(1)
     listing = warc.write_archives(rows, f"file://{tmp_path}", most_bytes=2_000).collect()
