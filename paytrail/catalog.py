@@ -134,7 +134,7 @@ def _twice(i: Inputs) -> DataFrame:
 
 
 def _redactions(i: Inputs) -> DataFrame:
-    return sample.nested_arrivals(i.spark, i.sf_dir).select("ordinal", secrets.redacted("value").alias("payload"))
+    return sample.nested_arrivals(i.spark, i.sf_dir).select("ordinal", secrets.redacted(F.col("value")).alias("payload"))
 
 
 def _prohibited(i: Inputs) -> DataFrame:
@@ -142,18 +142,24 @@ def _prohibited(i: Inputs) -> DataFrame:
     return sample.nested_arrivals(i.spark, i.sf_dir).select("ordinal", found.alias("prohibited"))
 
 
-def _incremental(i: Inputs) -> DataFrame:
-    """State of payments, kept by two runs: the events up to a date, then the rest, which reopen some of the payments."""
+def _two_runs(i: Inputs) -> TableStore:
+    """Tables kept by two runs: the events up to a version, then the rest, which reopen some of the payments."""
     events = i.events().withColumns({"source_id": F.lit("checkout-01"), "received_at": F.col("event_time"), "customer_token": F.lit(None).cast("string")})
     late = F.col("transaction_version") > 2
     store = TableStore(i.spark, f"{shared_folder(i.spark)}/incremental-{uuid.uuid4().hex}")
-    store.bootstrap(workflow.TABLES)
+    store.bootstrap(workflow.TABLES, **workflow.LAYOUT)
     rules = posting.rules_frame(i.spark)
     for part in (~late, late):
         with store.commit(f"part-{uuid.uuid4().hex}") as change:
-            change.append("accepted_event", events.filter(part).select(*contract.EVENT_COLUMNS, F.to_date("event_time").alias("event_date")))
-            accepted = change.read("accepted_event").drop("event_date")
-            workflow.project(change, accepted.join(events.filter(part).select("transaction_id"), "transaction_id", "left_semi"), rules)
+            new = events.filter(part).select(*contract.EVENT_COLUMNS, F.to_date("event_time").alias("event_date"))
+            change.append("accepted_event", new)
+            workflow.project(change, new, rules)
+    return store
+
+
+def _incremental(i: Inputs) -> DataFrame:
+    """State of payments and what of their lines counts."""
+    store = _two_runs(i)
     ledger = marts.excluding(store.read("ledger_entry"), store.read("business_exception")).groupBy("transaction_id").agg(F.count("*").alias("n_lines"), F.sum(F.abs("signed_minor")).alias("turnover_minor"))
     state = store.read("payment_state").join(ledger, "transaction_id", "left")
     return state.fillna(0, ["n_lines", "turnover_minor"])
@@ -223,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "freshness_lag": _over(_freshness),
     "freshness_verdicts": _over(_source_verdicts),
     "incremental_projection": _over(_incremental),
+    "incremental_ledger_daily": _over(lambda i: _two_runs(i).read("ledger_daily")),
     "state_hash": _over(lambda i: marts.state_hash(i.state())),
     "stream_identity_gate": _over(_stream),
     "generated_lifecycle": _over(lambda i: generator.valid_events(i.spark, 50_000)),

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..vocabulary import OPTIONAL_FIELD, PROHIBITED_FIELDS, REDACTED
 
@@ -48,7 +45,13 @@ def escape_non_ascii(text: Column) -> Column:
 
 #: Letters beyond ASCII that case folding turns into letters of the names.
 FOLDED = {"k": "\u212a", "s": "\u017f"}
-_NAMES = "|".join("".join(f"[{c}{c.upper()}{FOLDED.get(c, '')}]" if c.isalpha() else c for c in name) for name in sorted(PROHIBITED_FIELDS))
+
+
+def _any_case(name: str) -> str:
+    return "".join(f"[{c}{c.upper()}{FOLDED.get(c, '')}]" if c.isalpha() else c for c in name)
+
+
+_NAMES = "|".join(map(_any_case, sorted(PROHIBITED_FIELDS)))
 
 
 def may_be_prohibited(text: Column) -> Column:
@@ -66,23 +69,24 @@ def prohibited_keys(canonical: Column) -> Column:
     return F.when(F.size(found) > 0, F.array_join(F.array_sort(F.array_distinct(folded)), ","))
 
 
-@F.pandas_udf(T.StringType())
-def redacted(raw: pd.Series) -> pd.Series:
+#: Levels to which a hidden value is looked through for its end.
+DEEPEST = 64
+_TEXT = r'"(?:[^"\\]|\\.)*+"'
+_NESTED = r"[^\[\]{}]"
+for _ in range(DEEPEST):
+    _NESTED = rf'[\[{{](?:[^\[\]{{}}"]++|{_TEXT}|{_NESTED})*+[\]}}]'
+_HIDDEN_KEY = rf'([{{,]"(?:{_NAMES}|{_any_case(OPTIONAL_FIELD)})":)'
+
+
+def redacted(text: Column) -> Column:
     """JSON text with the values of prohibited keys and of the address replaced, at any depth; for quarantined rows.
 
-    Of a text that can't be read, or is nested too deep to be, its size and digest stay.
+    The text comes out with sorted keys and without white space.  In that form a key follows a
+    brace or a comma, and a value ends where its brackets are even.  Of a text that can't
+    be read, or whose hidden values are nested too deep, size and digest stay.
     """
-    hidden = frozenset(PROHIBITED_FIELDS) | {OPTIONAL_FIELD}
-    reader = json.JSONDecoder(object_pairs_hook=lambda pairs: {k: REDACTED if k.casefold() in hidden else v for k, v in pairs})
-
-    def one(text: str | None) -> str | None:
-        if text is None:
-            return None
-        try:
-            safe = reader.decode(text)
-            return json.dumps(safe, sort_keys=True, separators=(",", ":"))
-        except (ValueError, RecursionError):
-            own = text.encode("utf-8", "surrogatepass")
-            return json.dumps({"unreadable_bytes": len(own), "unreadable_sha256": hashlib.sha256(own).hexdigest()}, separators=(",", ":"))
-
-    return raw.map(one)
+    canonical = F.to_json(F.try_parse_json(text))
+    safe = F.regexp_replace(canonical, rf'{_HIDDEN_KEY}(?:{_TEXT}|{_NESTED}|[^\[{{",}}\]]++)', rf'$1"{REDACTED}"')
+    open_still = safe.rlike(rf"{_HIDDEN_KEY}[\[{{]")
+    unreadable = F.concat(F.lit('{"unreadable_bytes":'), F.octet_length(text).cast("string"), F.lit(',"unreadable_sha256":"'), F.sha2(text.cast("binary"), 256), F.lit('"}'))
+    return F.when(text.isNotNull(), F.when(canonical.isNull() | open_still, unreadable).otherwise(escape_non_ascii(safe)))

@@ -58,12 +58,18 @@ def is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(_kind(v), F.lit("OBJECT")), F.lit(False))
 
 
+def last_of_repeated(rows: DataFrame) -> None:
+    """Has Spark take the last value of a key that an object repeats; else it refuses the text."""
+    rows.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def unwrap(arrivals: DataFrame, column: str = "value", keep: bool = False) -> DataFrame:
     """arrivals with payload (variant) and unwrap_reason.
 
     A direct event is its own payload.  A change-data envelope must be an insert or load
     into the outbox table, and its data is the payload.  keep leaves _enveloped, which tells them apart.
     """
+    last_of_repeated(arrivals)
     parsed = arrivals.withColumn("_v", F.try_parse_json(F.col(column)))
     v = F.col("_v")
     meta, data = _field(v, "$.metadata"), _field(v, "$.data")
@@ -191,4 +197,5 @@ def conflicts(judged: DataFrame) -> DataFrame:
 
 def quarantine(rejected: DataFrame, column: str = "value") -> DataFrame:
     """(ordinal, reason, payload) of refused rows, personal data replaced."""
+    last_of_repeated(rejected)
     return rejected.select("ordinal", "reason", redacted(F.col(column)).alias("payload"))

@@ -257,3 +257,4 @@ SELECT '1.0' AS schema_version, t || ':v' || v AS event_id, t AS transaction_id,
   ['INR', 'USD', 'EUR', 'GBP'][n % 4 + 1] AS currency, strftime(moment, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_time,
   strftime(moment + to_seconds((17 * n + 11 * v) % 240), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS received_at, 'customer' || n % 10000 || '@example.test' AS customer_email FROM x""",
 }
+SQL["incremental_ledger_daily"] = SQL["fct_ledger_daily"]

@@ -23,6 +23,11 @@ from ..vocabulary import ENTRY, EVENT, POSTING_RULES, SETTLEMENT, SETTLEMENT_KEY
 from . import marts
 
 DAILY = {"accepted_event": ["event_date"]}
+#: Buckets of the tables that a run looks up or renews by key; a bucket should be some 100 MB at the size that is expected.
+BUCKETS = 16
+BY_KEY = {"seen_event": "event_id"} | dict.fromkeys(("accepted_event", "payment_state", "business_exception", "posted_event", "ledger_entry"), "transaction_id")
+BY_KEY["ledger_daily"] = "business_date"
+LAYOUT = {"partition_by": DAILY, "bucket_by": {table: (key, BUCKETS) for table, key in BY_KEY.items()}}
 JOURNAL = T.StructType().add("run_id", "string").add("status", "string").add("at", "timestamp").add("failure_reason", "string")
 AMOUNTS = T.StructType([T.StructField(c, T.LongType()) for c in lifecycle.AMOUNTS])
 #: The tables that a new store begins with.
@@ -36,6 +41,7 @@ TABLES = {
     "business_exception": T.StructType([*EVENT.fields, *AMOUNTS.fields, T.StructField("business_error", T.StringType())]),
     "posted_event": EVENT,
     "ledger_entry": ENTRY,
+    "ledger_daily": T.StructType().add("business_date", "date").add("processor_id", "string").add("merchant_id", "string").add("currency", "string").add("account", "string").add("entry_count", "long").add("signed_minor", "long"),
 }
 
 
@@ -66,27 +72,44 @@ def journal(store: TableStore) -> DataFrame:
     return store.read("run_journal").groupBy("run_id").agg(latest.alias("s")).select("run_id", "s.*")
 
 
-def project(change: Change, history: DataFrame, rules: DataFrame) -> None:
-    """Projections of the payments in history, which holds all of their events, in place of those they had."""
+def project(change: Change, touched: DataFrame, rules: DataFrame) -> None:
+    """Judges the payments in touched (transaction_id) anew by all of their events, and renews what is told of them.
+
+    Only the buckets that those payments are in are read and written.
+    """
+    buckets = change.buckets("payment_state", touched)
+    own = touched.select("transaction_id").distinct()
+    history = change.read_buckets("accepted_event", buckets).drop("event_date").join(own, "transaction_id", "left_semi")
     assessed = lifecycle.assess(history)
-    touched = history.select("transaction_id").distinct()
     renewed = {"payment_state": lifecycle.current_state(assessed), "business_exception": lifecycle.business_exceptions(history, assessed)}
-    renewed = {t: merging.renewed(change.read(t), rows, touched, "transaction_id") for t, rows in renewed.items()}
-    posted = posting.postable(history, assessed)
-    change.together(replace=True, **renewed, run_posted=merging.new_rows(change.read("posted_event"), posted, ["event_id"]))
+    bad = change.read_buckets("business_exception", buckets).join(own, "transaction_id", "left_semi")  # as it was
+    change.renew_together(buckets, **{t: merging.renewed(change.read_buckets(t, buckets), rows, own, "transaction_id") for t, rows in renewed.items()})
     # The gate looks at what was written, so nothing is computed twice.
+    change.replace("run_posted", merging.new_rows(change.read_buckets("posted_event", buckets), posting.postable(history, assessed), ["event_id"]))
     new = change.read("run_posted")
     change.together(posted_event=new, run_ledger=posting.post(new, rules))
     posting.require_balanced(change.read("run_ledger"))
-    change.insert_new("ledger_entry", change.read("run_ledger"), ["entry_id"])
-    change.drop("run_posted", "run_ledger")
+    lines = change.read_buckets("ledger_entry", buckets)
+    added = merging.new_rows(lines, change.read("run_ledger"), ["entry_id"])
+    change.replace("run_daily", marts.ledger_daily_change(lines, added, bad, renewed["business_exception"]))
+    change.append("ledger_entry", added)
+    keep_ledger_daily(change, change.read("run_daily"))
+    change.drop("run_posted", "run_ledger", "run_daily")
+
+
+def keep_ledger_daily(change: Change, changes: DataFrame) -> None:
+    """Adds changes of daily sums to those that are kept; only the buckets of their days are read and written."""
+    days = change.buckets("ledger_daily", changes)
+    if days:
+        change.renew_buckets("ledger_daily", days, marts.summed_daily(change.read_buckets("ledger_daily", days).unionByName(changes)))
 
 
 def project_date(store: TableStore, business_date: str, run: str, rules: DataFrame | None = None) -> None:
     """Projects the payments that have an event on the date, with their whole history."""
     rules = posting.rules_frame(store.spark, POSTING_RULES) if rules is None else rules
     with journaled(store, run), store.commit(run) as change:
-        project(change, lifecycle.touched_history(change.read("accepted_event").drop("event_date"), business_date), rules)
+        day = F.to_date(F.lit(business_date))
+        project(change, change.read("accepted_event").filter(F.col("event_date") == day).select("transaction_id"), rules)
         change.append("run_journal", succeeded(store.spark, run))
 
 
@@ -98,12 +121,13 @@ def process(store: TableStore, arrivals: DataFrame, registry: DataFrame, key: by
     """Takes in arrivals (ordinal, value) as one run: identities, accepted events, quarantine, outcomes, projections."""
     spark = store.spark
     rules = posting.rules_frame(spark, POSTING_RULES) if rules is None else rules
-    store.bootstrap(TABLES, DAILY)
-    with journaled(store, run), store.commit(run, DAILY) as change:
+    store.bootstrap(TABLES, **LAYOUT)
+    with journaled(store, run), store.commit(run, **LAYOUT) as change:
         # Written once, and read for each of the tables that come of it.
         change.replace("run_checked", contract.check(arrivals, registry, key))
         checked = change.read("run_checked")
-        change.replace("run_judged", identity.classify(checked.filter("reason IS NULL").drop("reason"), change.read("seen_event")))
+        valid = checked.filter("reason IS NULL").drop("reason")
+        change.replace("run_judged", identity.classify(valid, change.read_buckets("seen_event", change.buckets("seen_event", valid))))
         judged = change.read("run_judged")
         refused = checked.filter("reason IS NOT NULL").withColumn("outcome", F.lit("QUARANTINED"))
         outcomes = refused.select("ordinal", "event_id", "outcome", "reason").unionByName(judged.select("ordinal", "event_id", "outcome", "reason"))
@@ -117,8 +141,7 @@ def process(store: TableStore, arrivals: DataFrame, registry: DataFrame, key: by
         if failpoint == "after_ingest":
             raise Failpoint(failpoint)
         if not new.isEmpty():
-            accepted = change.read("accepted_event").drop("event_date")
-            project(change, accepted.join(new.select("transaction_id"), "transaction_id", "left_semi"), rules)
+            project(change, new, rules)
             change.drop("settlement_exception")  # a reconciliation holds only for the postings that it saw
         change.append("run_journal", succeeded(spark, run))
         change.drop("run_checked", "run_judged")
@@ -202,7 +225,7 @@ def build_marts(store: TableStore, business_date: str, run: str, now: str | None
         change.together(
             replace=True,
             dim_payment_current=marts.payment_current(change.read("payment_state"), exceptions["stg_business_exception"]),
-            fct_ledger_daily=marts.ledger_daily(change.read("ledger_entry"), exceptions["stg_business_exception"]),
+            fct_ledger_daily=change.read("ledger_daily"),  # kept up by each run's changes
             fct_settlement_exception=exceptions["stg_settlement_exception"],
         )
 

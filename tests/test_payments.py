@@ -53,6 +53,10 @@ CASES = [
     (without("customer_email"), None),
     (BASE | {"customer_email": None}, None),
     (BASE | {"card_number": "4"}, "prohibited_fields:card_number"),
+    (json.dumps(BASE)[:-1] + ', "amount_minor": 7}', None),
+    (json.dumps(BASE)[:-1] + ', "amount_minor": -7}', "invalid_amount_minor"),
+    ('{"amount_minor": -7, ' + json.dumps(BASE)[1:], None),
+    (json.dumps(BASE)[:-1] + ', "pin": 1, "pin": null}', "prohibited_fields:pin"),
     (BASE | {"x": {"y": [{"CVV": 1, "Pan": 2}]}}, "prohibited_fields:cvv,pan"),
     (json.dumps(BASE | {"pin": 1}).replace('"pin"', '"p\\u0069n" '), "prohibited_fields:pin"),
     (BASE | {"trac\u212a_data": 1}, "prohibited_fields:track_data"),
@@ -116,8 +120,8 @@ def test_fingerprint_is_the_canonical_digest(spark):
 
 def test_redaction_at_any_depth(spark):
     raw = {"customer_email": "a@b", "n": [{"CVV": "1", "ok": [1, {"Pan": 2}]}], "pin": {"x": 1}}
-    (out,) = lines(spark, raw).select(secrets.redacted("value")).first()
-    lost = [r[0] for r in lines(spark, "[" * 200_000, "{", None).select(secrets.redacted("value")).collect()]
+    (out,) = lines(spark, raw).select(secrets.redacted(F.col("value"))).first()
+    lost = [r[0] for r in lines(spark, "[" * 200_000, "{", None).select(secrets.redacted(F.col("value"))).collect()]
     assert json.loads(lost[0])["unreadable_bytes"] == 200_000 and json.loads(lost[1])["unreadable_sha256"] == hashlib.sha256(b"{").hexdigest() and lost[2] is None
     assert json.loads(out) == {"customer_email": "<redacted>", "n": [{"CVV": "<redacted>", "ok": [1, {"Pan": "<redacted>"}]}], "pin": "<redacted>"}
 
