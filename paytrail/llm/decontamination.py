@@ -9,9 +9,11 @@ value of the item must be the same wherever that value occurs, and different val
 must stand for different ones, unless at least half of the values are unchanged.  Numbers and names that a question was re-parameterised
 with do not hide it; a chance likeness of shape is told by its inconsistent slots.
 
-Two templates are tried for each window: with names as placeholders, and with names
-as they are, since a sentence's first word is no name there but may look like one
-in another text.
+Numbers are words with a digit and number words (English ones, from zero to ninety-nine, and the
+great ones).  Three templates are tried: with names as they are; with names as placeholders, but for a
+sentence's first word, which is no name there but may look like one; and, for items of one window, with
+every word that has a capital as a name, since such an item has no window that its first
+word isn't in.
 
 A text is contaminated by an item if the tokens of the item that its consistent
 windows cover are at least COVERED, or SHARE of a shorter item.
@@ -60,6 +62,12 @@ UNITS = (
 ).split()
 
 
+_ONES = "one two three four five six seven eight nine".split()
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+_TEENS = "zero ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+NUMBER_WORDS = [*_ONES, *_TEENS, *_TENS, *(f"{t}-{o}" for t in _TENS for o in _ONES), "hundred", "thousand", "million", "billion", "dozen"]
+
+
 def _hashes_of(terms: list[str]) -> np.ndarray:
     data, limits = layout(pa.array(terms))
     return np.unique(span_hashes(data, limits[:-1], limits[1:]))
@@ -67,6 +75,8 @@ def _hashes_of(terms: list[str]) -> np.ndarray:
 
 UNIT_HASHES = _hashes_of(UNITS)
 LONGEST_UNIT = max(map(len, UNITS))
+NUMBER_HASHES = _hashes_of(NUMBER_WORDS)
+LONGEST_NUMBER = max(map(len, NUMBER_WORDS))
 
 
 def lower_latin(data: np.ndarray) -> np.ndarray:
@@ -92,11 +102,15 @@ class Templates:
         hashes = span_hashes(words.lowered, self.starts, self.ends) | np.uint64(4)  # never a placeholder
         digits = np.concatenate(([0], np.cumsum((self.data >= 48) & (self.data <= 57))))
         number = digits[self.ends] > digits[self.starts]
+        short = np.flatnonzero(self.ends - self.starts <= LONGEST_NUMBER)
+        number[short] |= np.isin(hashes[short], NUMBER_HASHES | np.uint64(4))
         short = np.flatnonzero(self.ends - self.starts <= LONGEST_UNIT)
         unit = np.zeros(len(kept), dtype=bool)
         unit[short] = np.isin(hashes[short], UNIT_HASHES | np.uint64(4))
         self.plain = np.where(number, NUMBER, np.where(unit, UNIT, hashes))
-        self.named = np.where(self._names(words, kept) & ~number, NAME, self.plain)
+        capital, begins = self._names(words, kept)
+        self.named = np.where(capital & ~begins & ~number, NAME, self.plain)
+        self.headed = np.where(capital & ~number, NAME, self.plain)
         self.owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         bare = ends <= starts
         self.literal = span_hashes(words.lowered, np.where(bare, words.starts, starts), np.where(bare, words.ends, ends))
@@ -106,10 +120,10 @@ class Templates:
         self.fresh[1:-1] = line[1:] > line[:-1]
         self.fresh[words.first] = True
 
-    def _names(self, words, kept: np.ndarray) -> np.ndarray:
-        """Words with a capital, then a small letter, within a sentence."""
+    def _names(self, words, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words with a capital, then a small letter; words that begin a sentence."""
         if not len(kept):
-            return np.zeros(0, dtype=bool)
+            return np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
         head = self.data[self.starts]
         after = self.data[np.minimum(self.starts + 1, len(self.data) - 1)]
         capital = (head >= 65) & (head <= 90) | (head == 0xC3) & (after >= 0x80) & (after <= 0x9E)
@@ -119,19 +133,22 @@ class Templates:
         before = kept - 1
         stop = np.isin(words.data[words.ends[before] - 1], np.frombuffer(b".!?:;", np.uint8)) | (lines[words.starts[kept]] > lines[words.ends[before] - 1])
         begins = np.isin(kept, words.first[:-1]) | stop
-        return capital & small & ~begins
+        return capital & small, begins
 
     def windows(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, hashes) of the windows of one text each: plain ones, then those that hold names."""
+        """(positions, hashes) of the windows of one text each: plain ones, those that hold names, those that begin with one or hold one after a stop."""
         n = len(self.plain) - size + 1
         if n <= 0:
             return
-        literal = np.concatenate(([0], np.cumsum(self.plain > NAME)))
-        inside = (self.owner[:n] == self.owner[size - 1 :]) & (literal[size:] - literal[:-size] >= min(LITERALS, size))
-        yield self._hashed(self.plain, size, inside)
-        names = np.concatenate(([0], np.cumsum(self.named == NAME)))
-        literal = np.concatenate(([0], np.cumsum(self.named > NAME)))
-        yield self._hashed(self.named, size, (self.owner[:n] == self.owner[size - 1 :]) & (names[size:] > names[:-size]) & (literal[size:] - literal[:-size] >= min(LITERALS, size)))
+        before = None
+        for codes in (self.plain, self.named, self.headed):
+            literal = np.concatenate(([0], np.cumsum(codes > NAME)))
+            inside = (self.owner[:n] == self.owner[size - 1 :]) & (literal[size:] - literal[:-size] >= min(LITERALS, size))
+            if before is not None:  # only those that are others than before
+                other = np.concatenate(([0], np.cumsum(codes != before)))
+                inside &= other[size:] > other[:-size]
+            yield self._hashed(codes, size, inside)
+            before = codes
 
     def weak(self) -> np.ndarray:
         """Texts that are too short for template windows, or have one with too few plain words."""
@@ -162,9 +179,9 @@ class Templates:
             out = out * np.uint64(BASE) + codes[at + k]
         return at, mix(out)
 
-    def slots(self, at: int, size: int, named: bool) -> list[str]:
-        """What stands at the placeholders of a window."""
-        codes = self.named if named else self.plain
+    def slots(self, at: int, size: int, kind: int) -> list[str]:
+        """What stands at the placeholders of a window of that template."""
+        codes = (self.plain, self.named, self.headed)[kind]
         return [bytes(self.data[self.starts[i] : self.ends[i]]).decode().lower() for i in range(at, at + size) if codes[i] <= NAME]
 
 
@@ -184,15 +201,18 @@ def _literal_rows(t: Templates, sizes: list[int], keep) -> list[tuple]:
     return out
 
 
-def _rows(t: Templates, sizes: list[int], keep) -> list[tuple]:
-    """(text, hash, size, pos, slots, literal) of the windows whose hashes pass keep."""
+def _rows(t: Templates, sizes: list[int], keep, of_items: bool = False) -> list[tuple]:
+    """(text, hash, size, pos, slots, literal) of the windows whose hashes pass keep; of items, the third template only if they are one window."""
     out = []
+    n = np.diff(t.first)
     for size in sizes:
-        for named, (at, hashes) in enumerate(t.windows(size)):
+        for kind, (at, hashes) in enumerate(t.windows(size)):
             hit = keep(hashes)
+            if of_items and kind == 2:
+                hit = hit & (n[t.owner[at]] == size)
             for i, h in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
                 text = int(t.owner[i])
-                out.append((text, h, size, i - int(t.first[text]), t.slots(i, size, bool(named)), False))
+                out.append((text, h, size, i - int(t.first[text]), t.slots(i, size, kind), False))
     return out
 
 
@@ -209,7 +229,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             n = np.diff(t.first)
             rows = []
             for size in sorted({min(WINDOW, int(x)) for x in n if x >= SHORTEST}):
-                rows += [r for r in _rows(t, [size], lambda h: np.ones(len(h), dtype=bool)) if min(WINDOW, n[r[0]]) == size]
+                rows += [r for r in _rows(t, [size], lambda h: np.ones(len(h), dtype=bool), of_items=True) if min(WINDOW, n[r[0]]) == size]
             literal, weak = np.diff(t.literal_first), t.weak()
             for size in sorted({min(WINDOW, int(x)) for x in literal[weak] if x}):
                 rows += [r for r in _literal_rows(t, [size], lambda h: np.ones(len(h), dtype=bool)) if weak[r[0]] and min(WINDOW, literal[r[0]]) == size]

@@ -374,3 +374,40 @@ def test_a_highly_compressed_payload_is_read_in_pieces():
     record = warc.gzip_member(member(payload=b"\0" * 5_000_000))
     (pieces,) = [list(p) for p in warc.members(io.BytesIO(record))]
     assert max(map(len, pieces)) <= warc.PIECE
+
+
+NAMES = "Alice Bob Carla Dmitri Elena Farid Greta Hugo Irina Jonas".split()
+THINGS = "apples pears books stones shells coins stamps cards lamps ropes".split()
+VERBS = "bought sold found lost packed counted hid moved drew washed".split()
+SHORT_ITEMS = [f"{{name}} {VERBS[i]} {{n}} {THINGS[i]} and {VERBS[-i - 1]} {{m}} {THINGS[-i - 1]}" for i in range(10)]
+LONG_ITEMS = [f"{{name}} {VERBS[i]} {{n}} {THINGS[i]} at the old market on the hill and then gave {{m}} of them to a friend called {{other}} who keeps {{n}} {THINGS[-i - 1]} in a box of {{k}} {{unit}} under the stairs" for i in range(10)]
+FIRST = {"name": "Tom", "other": "Anna", "n": "12", "m": "3", "k": "40", "unit": "kg"}
+CHANGED = {
+    "numbers": {"n": "17", "m": "5", "k": "8"},
+    "number words": {"n": "twenty", "m": "seven", "k": "forty-two"},
+    "names": {"name": "Sam", "other": "Lucy"},
+    "units": {"unit": "pounds"},
+    "all": {"name": "Lucy", "other": "Sam", "n": "nineteen", "m": "6", "k": "11", "unit": "lb"},
+}
+
+
+@pytest.mark.parametrize("kind", list(CHANGED))
+def test_recall_of_items_with_other_values(spark, kind):
+    items = [(i, t.format(**FIRST)) for i, t in enumerate(SHORT_ITEMS + LONG_ITEMS)]
+    docs = []
+    for i, t in enumerate(SHORT_ITEMS + LONG_ITEMS):
+        own = FIRST | CHANGED[kind]
+        head = "" if i % 2 else prose(30, i) + ". "
+        docs.append((i, f"{head}{t.format(**own)}. {prose(20, 90 + i)}"))
+    docs += [(100 + i, prose(120, 300 + i)) for i in range(50)]
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEM)).collect()}
+    assert len({d for d, i in got if d == i}) >= 18, sorted(set(range(20)) - {d for d, i in got if d == i})
+    assert not [d for d, _ in got if d >= 100]
+
+
+def test_likeness_of_shape_alone_is_no_copy(spark):
+    """Sentences of the same words with inconsistent values, or with one plain word changed, aren't the item."""
+    item = "Alice bought 3 apples and sold 3 pears"
+    texts = ["Bob bought 5 apples and sold 4 pears", "Bob found 5 apples and sold 5 pears", "He bought apples and sold pears", "Alice bought 3 apples"]
+    got = decontamination.contaminated(spark.createDataFrame(list(enumerate(texts)), DOCS), spark.createDataFrame([(1, item)], ITEM)).collect()
+    assert not got
