@@ -85,10 +85,24 @@ def _window_form(i: Inputs) -> DataFrame:
 
 
 def _registry_decisions(i: Inputs) -> DataFrame:
-    rows = [("2026-01-01", 2, "aa"), ("2026-01-02", 3, "bb"), ("2026-01-03", 1, "cc")]
-    new = [("2026-01-01", 3, "dd"), ("2026-01-01", 2, "aa"), ("2026-01-01", 2, "ee"), ("2026-01-02", 1, "ff"), ("2026-01-04", 1, "gg"), ("2026-01-03", 1, "cc")]
-    schema = "business_date string, revision int, sha256 string"
-    return revisions.decide(i.spark.createDataFrame(rows, schema), i.spark.createDataFrame(new, schema))
+    """Deliveries for every business date of the events, of which some are registered already, higher, lower or with other content."""
+    days = i.events().select(F.to_date("event_time").alias("d")).distinct().select(F.col("d").cast("string").alias("business_date"), F.dayofmonth("d").alias("n"))
+    sha = lambda more: F.sha2(F.concat("business_date", more), 256).alias("sha256")
+    stored = days.filter("n % 7 <> 0").select("business_date", (2 + F.col("n") % 2).cast("int").alias("revision"), sha(F.lit("")))
+    new = days.select("business_date", (1 + F.col("n") % 4).cast("int").alias("revision"), sha(F.when(F.col("n") % 5 == 0, "x").otherwise("")))
+    return revisions.decide(stored, new)
+
+
+def _registry(i: Inputs) -> DataFrame:
+    """Every registered source and the valid events that came of it."""
+    came = i.checked().filter("reason IS NULL").groupBy("source_id").agg(F.count("*").alias("n_valid"))
+    return control.registry(i.spark).join(came, "source_id", "left").fillna(0, ["n_valid"])
+
+
+def _rules(i: Inputs) -> DataFrame:
+    """Every posting rule and the events that it posted."""
+    used = i.posted().groupBy("event_type").agg(F.count("*").alias("n_posted"))
+    return posting.rules_frame(i.spark).join(used, "event_type", "left").fillna(0, ["n_posted"])
 
 
 def _halves(i: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -147,7 +161,8 @@ def _two_runs(i: Inputs) -> TableStore:
     events = i.events().withColumns({"source_id": F.lit("checkout-01"), "received_at": F.col("event_time"), "customer_token": F.lit(None).cast("string")})
     late = F.col("transaction_version") > 2
     store = TableStore(i.spark, f"{shared_folder(i.spark)}/incremental-{uuid.uuid4().hex}")
-    store.bootstrap(workflow.TABLES, **workflow.LAYOUT)
+    # The sample has few events a day, so its days are no directories.
+    store.bootstrap(workflow.TABLES, bucket_by=workflow.LAYOUT["bucket_by"])
     rules = posting.rules_frame(i.spark)
     for part in (~late, late):
         with store.commit(f"part-{uuid.uuid4().hex}") as change:
@@ -179,6 +194,13 @@ def _stream(i: Inputs) -> DataFrame:
     return gate.replay(i.spark, sample.staged(sample.raw_arrivals, i.spark, i.sf_dir), control.registry(i.spark), SAMPLE_KEY)
 
 
+def _stream_conservation(i: Inputs) -> DataFrame:
+    """What the stream counted batch by batch, summed up."""
+    from .streaming import gate, metrics
+
+    return metrics.conservation(gate.replayed(i.spark, sample.staged(sample.raw_arrivals, i.spark, i.sf_dir), control.registry(i.spark), SAMPLE_KEY).read("batch_metrics"))
+
+
 QUERIES: dict[str, Query] = {
     "payment_events_adapter": _over(lambda i: sample.payment_events(i.spark, i.sf_dir).drop("k", "seq", "custkey")),
     "accepted_typed_projection": _over(lambda i: i.checked().filter("reason IS NULL").select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("event_time", "received_at") else c for c in contract.EVENT_COLUMNS if c != "customer_token"])),
@@ -191,8 +213,8 @@ QUERIES: dict[str, Query] = {
     "redacted_payloads": _over(_redactions),
     "prohibited_key_scan": _over(_prohibited),
     "cdc_unwrap": _over(_cdc),
-    "source_registry_expand": _over(lambda i: control.registry(i.spark)),
-    "posting_rules": _over(lambda i: posting.rules_frame(i.spark)),
+    "source_registry_expand": _over(_registry),
+    "posting_rules": _over(_rules),
     "txn_assessment": _over(lambda i: i.assessed().select(*ASSESSED)),
     "txn_assessment_window_form": _over(_window_form),
     "business_exceptions": _over(lambda i: i.exceptions()),
@@ -232,7 +254,8 @@ QUERIES: dict[str, Query] = {
     "incremental_ledger_daily": _over(lambda i: _two_runs(i).read("ledger_daily")),
     "state_hash": _over(lambda i: marts.state_hash(i.state())),
     "stream_identity_gate": _over(_stream),
-    "generated_lifecycle": _over(lambda i: generator.valid_events(i.spark, 50_000)),
+    "stream_conservation": _over(_stream_conservation),
+    "generated_lifecycle": _over(lambda i: generator.lifecycles(i.spark.read.parquet(f"{i.sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("n")))),
 }
 
 

@@ -25,6 +25,11 @@ def check_rules(rules: dict, version: object, unit: object) -> None:
     if set(rules) != set(EVENT_TYPES):
         raise ValueError("posting_rule_event_types")
     for kind, lines in rules.items():
+        for account, times in lines:
+            if not isinstance(account, str) or not account.strip():
+                raise ValueError(f"invalid_posting_account:{kind}")
+            if isinstance(times, bool) or not isinstance(times, int):
+                raise ValueError(f"invalid_posting_multiplier:{kind}")
         if sum(times for _, times in lines):
             raise ValueError(f"unbalanced_posting_rule:{kind}")
 

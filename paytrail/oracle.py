@@ -187,10 +187,11 @@ SQL = {
     "cdc_unwrap": f"""WITH {CDC}
 SELECT ordinal, CASE n WHEN 9 THEN 'invalid_cdc_envelope' WHEN 7 THEN 'unsupported_cdc_table' WHEN 8 THEN 'non_insert_outbox_mutation' END AS unwrap_reason,
   CASE WHEN n NOT IN (7, 8, 9) THEN CASE WHEN reason = 'invalid_event_id' THEN 'bad id' ELSE event_id END END AS event_id FROM env""",
-    "source_registry_expand": "SELECT family || '-' || lpad(CAST(i AS VARCHAR), 2, '0') AS source_id, family, mode, contract, owner, CAST(freshness_minutes AS INTEGER) AS freshness_minutes FROM (SELECT *, unnest(range(1, instances + 1)) AS i FROM (VALUES "
-    + ", ".join(str(x) for x in FAMILIES)
-    + ") f(family, instances, mode, contract, owner, freshness_minutes))",
-    "posting_rules": _a("SELECT * FROM rules"),
+    "source_registry_expand": f"""WITH {ARRIVALS},
+src AS (SELECT family || '-' || lpad(CAST(i AS VARCHAR), 2, '0') AS source_id, family, mode, contract, owner, CAST(freshness_minutes AS INTEGER) AS freshness_minutes FROM
+  (SELECT *, unnest(range(1, instances + 1)) AS i FROM (VALUES {", ".join(str(x) for x in FAMILIES)}) f(family, instances, mode, contract, owner, freshness_minutes)))
+SELECT src.*, coalesce(n, 0) AS n_valid FROM src LEFT JOIN (SELECT source_id, count(*) AS n FROM va GROUP BY source_id) USING (source_id)""",
+    "posting_rules": _a("SELECT rules.*, coalesce(n, 0) AS n_posted FROM rules LEFT JOIN (SELECT event_type, count(*) AS n FROM po GROUP BY event_type) USING (event_type)"),
     "txn_assessment": _a(f"SELECT {FIGURES} FROM a"),
     "txn_assessment_window_form": _a(f"SELECT {FIGURES} FROM a"),
     "business_exceptions": _a("SELECT * FROM ex"),
@@ -219,8 +220,12 @@ SELECT ordinal, CASE n WHEN 9 THEN 'invalid_cdc_envelope' WHEN 7 THEN 'unsupport
 WHERE schema_version <> '1.0' OR currency IS NULL OR currency NOT IN ('INR', 'USD', 'EUR', 'GBP') OR amount_minor IS NULL"""),
     "settlement_duplicate_keys": _a("SELECT business_date, processor_id, currency, CAST(2 AS BIGINT) AS record_count FROM evd WHERE day(business_date) = 6"),
     "manifest_control_totals": _a("SELECT currency, CAST(sum(amount_minor) AS BIGINT) AS total_minor, count(*) AS record_count FROM evd GROUP BY currency"),
-    "revision_registry_decision": """SELECT * FROM (VALUES ('2026-01-01', 3, 'dd', 'ACTIVE'), ('2026-01-01', 2, 'aa', 'DUPLICATE'), ('2026-01-01', 2, 'ee', 'CONFLICT'),
-  ('2026-01-02', 1, 'ff', 'STALE'), ('2026-01-04', 1, 'gg', 'ACTIVE'), ('2026-01-03', 1, 'cc', 'DUPLICATE')) x(business_date, revision, sha256, decision)""",
+    "revision_registry_decision": f"""WITH {EVENTS},
+days AS (SELECT DISTINCT CAST(CAST(event_time AS DATE) AS VARCHAR) AS business_date, day(event_time) AS n FROM ev),
+known AS (SELECT business_date, 2 + n % 2 AS r, sha256(business_date) AS s FROM days WHERE n % 7 <> 0),
+new AS (SELECT business_date, CAST(1 + n % 4 AS INTEGER) AS revision, sha256(business_date || CASE WHEN n % 5 = 0 THEN 'x' ELSE '' END) AS sha256 FROM days)
+SELECT new.*, CASE WHEN r IS NULL OR r < revision THEN 'ACTIVE' WHEN r = revision AND s = sha256 THEN 'DUPLICATE' WHEN r > revision THEN 'STALE' ELSE 'CONFLICT' END AS decision
+FROM new LEFT JOIN known USING (business_date)""",
     "merge_insert_only": _a(f"SELECT * FROM t UNION ALL SELECT * FROM s WHERE transaction_id NOT IN (SELECT transaction_id FROM t)").replace("\nSELECT * FROM t", f",\n{HALVES}\nSELECT * FROM t", 1),
     "merge_upsert": _a(f"SELECT * FROM s UNION ALL SELECT * FROM t WHERE transaction_id NOT IN (SELECT transaction_id FROM s)").replace("\nSELECT * FROM s", f",\n{HALVES}\nSELECT * FROM s", 1),
     "overwrite_where": _a("SELECT * FROM sx WHERE day(business_date) <> 10"),
@@ -248,7 +253,7 @@ LEFT JOIN (SELECT transaction_id, count(*) AS n_lines, CAST(sum(abs(signed_minor
         + ") AS d FROM st)"
     ),
     "stream_identity_gate": _r("SELECT ordinal, outcome, reason FROM ou"),
-    "generated_lifecycle": f"""WITH n AS (SELECT unnest(range(1, 21606)) AS n), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
+    "generated_lifecycle": f"""WITH n AS (SELECT o_orderkey AS n FROM orders), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
 e AS (SELECT n, 1 AS v, 'authorization' AS kind, amount FROM b UNION ALL SELECT n, 2, 'capture', amount FROM b
   UNION ALL SELECT n, 3, CASE WHEN n % 5 = 0 THEN 'refund' ELSE 'chargeback' END, CASE WHEN n % 5 = 0 THEN amount // 4 ELSE amount // 5 END FROM b WHERE n % 5 = 0 OR n % 7 = 0),
 x AS (SELECT *, 'txn-' || lpad(CAST(n AS VARCHAR), 10, '0') AS t, TIMESTAMP '2026-01-01' + to_seconds(10 * n + 60 * v) AS moment FROM e)
@@ -258,3 +263,4 @@ SELECT '1.0' AS schema_version, t || ':v' || v AS event_id, t AS transaction_id,
   strftime(moment + to_seconds((17 * n + 11 * v) % 240), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS received_at, 'customer' || n % 10000 || '@example.test' AS customer_email FROM x""",
 }
 SQL["incremental_ledger_daily"] = SQL["fct_ledger_daily"]
+SQL["stream_conservation"] = SQL["raw_conservation"]

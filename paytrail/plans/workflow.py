@@ -80,9 +80,10 @@ def project(change: Change, touched: DataFrame, rules: DataFrame) -> None:
     buckets = change.buckets("payment_state", touched)
     own = touched.select("transaction_id").distinct()
     history = change.read_buckets("accepted_event", buckets).drop("event_date").join(own, "transaction_id", "left_semi")
-    assessed = lifecycle.assess(history)
+    change.replace("run_assessed", lifecycle.assess(history))  # once; all else comes of it
+    assessed = change.read("run_assessed")
+    was_bad = change.read_buckets("business_exception", buckets).join(own, "transaction_id", "left_semi")
     renewed = {"payment_state": lifecycle.current_state(assessed), "business_exception": lifecycle.business_exceptions(history, assessed)}
-    bad = change.read_buckets("business_exception", buckets).join(own, "transaction_id", "left_semi")  # as it was
     change.renew_together(buckets, **{t: merging.renewed(change.read_buckets(t, buckets), rows, own, "transaction_id") for t, rows in renewed.items()})
     # The gate looks at what was written, so nothing is computed twice.
     change.replace("run_posted", merging.new_rows(change.read_buckets("posted_event", buckets), posting.postable(history, assessed), ["event_id"]))
@@ -91,10 +92,10 @@ def project(change: Change, touched: DataFrame, rules: DataFrame) -> None:
     posting.require_balanced(change.read("run_ledger"))
     lines = change.read_buckets("ledger_entry", buckets)
     added = merging.new_rows(lines, change.read("run_ledger"), ["entry_id"])
-    change.replace("run_daily", marts.ledger_daily_change(lines, added, bad, renewed["business_exception"]))
+    change.replace("run_daily", marts.ledger_daily_change(lines, added, was_bad, assessed.filter("business_error IS NOT NULL")))
     change.append("ledger_entry", added)
     keep_ledger_daily(change, change.read("run_daily"))
-    change.drop("run_posted", "run_ledger", "run_daily")
+    change.drop("run_assessed", "run_posted", "run_ledger", "run_daily")
 
 
 def keep_ledger_daily(change: Change, changes: DataFrame) -> None:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from paytrail.operators import lifecycle
+from paytrail.operators import lifecycle, posting
 from paytrail.plans import marts, workflow
 from paytrail.sources import control, generator
 from paytrail.sources.tables import BUCKET, CommitConflict, TableStore, bucket_of
 
+from paytrail.vocabulary import POSTING_RULES
+
 from .test_payments import BASE, KEY, lines
 
 RENEWED = ("payment_state", "business_exception")
@@ -118,3 +120,10 @@ def test_a_transaction_with_very_many_events_is_counted_in_two_stages(spark):
     assert (got["n_events"], got["n_versions"], got["business_error"], got["captured_minor"]) == (300_000, 300_000, None, 299_999)
     twice = hot.unionByName(hot.filter("transaction_version = 7").withColumn("event_id", F.lit("x")))
     assert lifecycle.assess(twice).first()["business_error"] == "transaction_version_conflict"
+
+
+@pytest.mark.parametrize(("line", "why"), [(("a", 1.5), "multiplier"), (("a", True), "multiplier"), (("a", "1"), "multiplier"), ((None, 1), "account"), (("  ", 1), "account"), ((7, 1), "account"), (("a", 1), "unbalanced")])
+def test_posting_rules_of_wrong_types_are_refused(line, why):
+    posting.check_rules(POSTING_RULES, 1, "minor")
+    with pytest.raises(ValueError, match=why):
+        posting.check_rules(POSTING_RULES | {"capture": [line]}, 1, "minor")

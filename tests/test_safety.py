@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from paytrail.operators import contract, manifest
 from paytrail.sources import control
 from paytrail.sources.tables import CommitConflict, TableStore
-from paytrail.streaming import gate
+from paytrail.streaming import gate, metrics
 
 from .test_payments import BASE, KEY, lines
 
@@ -182,6 +183,8 @@ def test_identities_outlive_restarts_and_batches_read_no_table_of_them(spark, tm
     whole = TableStore._frame
     monkeypatch.setattr(TableStore, "_frame", lambda self, state, table: reads.append(table) or whole(self, state, table))
     want = {}
+    progress = metrics.Progress(store)
+    spark.streams.addListener(progress)
     for turn in range(3):
         rows = [BASE | {"event_id": f"e-{turn}-{i}"} for i in range(4)] + [BASE | {"event_id": "e-0-1"}, BASE | {"event_id": "e-0-2", "amount_minor": 77}, BASE | {"event_id": None}]
         more = lines(spark, *rows).withColumn("ordinal", F.col("ordinal") + 100 * turn)
@@ -189,6 +192,16 @@ def test_identities_outlive_restarts_and_batches_read_no_table_of_them(spark, tm
         run()
         want |= {100 * turn + i: "ACCEPTED" for i in range(4)} | {100 * turn + 4: "DUPLICATE", 100 * turn + 5: "QUARANTINED", 100 * turn + 6: "QUARANTINED"}
     assert not reads
+    counted = [tuple(r)[:5] for r in store.read("batch_metrics").orderBy("batch").collect()]
+    assert counted == [(0, 7, 5, 0, 2), (1, 7, 4, 1, 2), (2, 7, 4, 1, 2)] or sum(c[1] for c in counted) == 21
+    assert metrics.conservation(store.read("batch_metrics")).first()["conserved"]
     assert {r["ordinal"]: r["outcome"] for r in store.read("outcomes").collect()} == want
+    for _ in range(100):  # the listener is told a little later
+        if store.has("stream_progress") and store.read("stream_progress").count() >= 3:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(progress)
+    told = {r["batch"]: r for r in store.read("stream_progress").collect()}
+    assert sum(r["input_rows"] for r in told.values()) == 21 and max(r["state_rows"] for r in told.values()) >= 12
     times = store.read("accepted_event").select("event_time", "received_at").distinct().collect()
     assert [tuple(map(str, t)) for t in times] == [tuple(map(str, contract.check(lines(spark, BASE), control.registry(spark), KEY).select("event_time", "received_at").first()))]
