@@ -253,7 +253,7 @@ LEFT JOIN (SELECT transaction_id, count(*) AS n_lines, CAST(sum(abs(signed_minor
         + ") AS d FROM st)"
     ),
     "stream_identity_gate": _r("SELECT ordinal, outcome, reason FROM ou"),
-    "generated_lifecycle": f"""WITH n AS (SELECT o_orderkey AS n FROM orders), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
+    "generated_lifecycle": f"""WITH n AS (SELECT o_orderkey + 1 AS n FROM orders), b AS (SELECT n, 10000 + (n * 7919) % 490000 AS amount FROM n),
 e AS (SELECT n, 1 AS v, 'authorization' AS kind, amount FROM b UNION ALL SELECT n, 2, 'capture', amount FROM b
   UNION ALL SELECT n, 3, CASE WHEN n % 5 = 0 THEN 'refund' ELSE 'chargeback' END, CASE WHEN n % 5 = 0 THEN amount // 4 ELSE amount // 5 END FROM b WHERE n % 5 = 0 OR n % 7 = 0),
 x AS (SELECT *, 'txn-' || lpad(CAST(n AS VARCHAR), 10, '0') AS t, TIMESTAMP '2026-01-01' + to_seconds(10 * n + 60 * v) AS moment FROM e)
