@@ -3,12 +3,13 @@
 Terms are runs of letters (A-Z, a-z and all beyond ASCII), only A-Z lower-cased.
 
 1. Every task counts terms into byte radix tries, one for each language; a leaf holds how
-   many documents have the term and how often each source does.  A trie that has
-   grown to LEAVES is written out, and a new one begun, so memory is bounded.
+   often each source has the term, and in how many documents it is.  (A term that only one
+   source of one batch has waits beside the trie, so that junk grows no branches.)  When
+   the tries have LEAVES terms they are written out, and new ones begun, so memory is bounded.
 2. Leaves are dealt by ranges of (language, term bytes), which splits prefixes as the data asks
-   for.  Within a range, equal leaves follow one another and are merged as the
-   range streams by; a very frequent term is no more than one leaf for each trie written.
-   Terms in fewer than ``least_documents`` documents of the language go.
+   for.  Within a range, equal leaves follow one another and are merged as the range streams
+   by; a very frequent term is no more than one leaf for each trie written.  Terms in
+   fewer than ``least_documents`` documents of the language go.
 3. Totals of sources and languages are sums over the kept leaves.
 4. Kept leaves, in parts of PART terms, meet the totals of their language.  A part is a trie
    again; its traversal in UTF-8 order adds up the differences for each pair of sources, in
@@ -25,31 +26,31 @@ rows.  Columns other than text, lang and source are not read.
 
 from __future__ import annotations
 
+import gc
 import heapq
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import UPPER, Scratch
+from .common import Scratch
 from .textkernels import batches
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans(UPPER, UPPER.lower())
+#: Letters stay (A-Z lower-cased) and so do all bytes of characters beyond ASCII; the rest parts terms.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 SCALE_STEPS, STEP = 3, 1000  # 10^9 in three steps
 SMOOTH = 5
 BATCH_BYTES = 4 << 20
 #: Leaves of one written trie, terms of a part, and cells of the pair sums that a task holds.
-LEAVES, PART, CELLS = 120_000, 20_000, 4 << 20
+LEAVES, PART, CELLS = 200_000, 20_000, 4 << 20
 SLAB = 256
 LEAF = "lang string, term binary, documents long, sources array<string>, counts array<long>"
 LEAF_TYPE = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("documents", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-KEPT_TYPE = LEAF_TYPE.remove(2).append(pa.field("part", pa.int64()))
 FOUND = "lang string, source string, part string, item string, value long"
 FOUND_TYPE = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
@@ -63,29 +64,16 @@ class Node:
         self.edge, self.children, self.leaf = edge, {}, None
 
 
-class Leaf:
-    __slots__ = ("documents", "counts")
-
-    def __init__(self):
-        self.documents, self.counts = 0, {}
-
-    def add(self, documents: int, source: str, n: int) -> None:
-        self.documents += documents
-        self.counts[source] = self.counts.get(source, 0) + n
-
-
 class Trie:
-    """A byte radix trie.  Leaves are remembered by term, so that only new terms walk down."""
+    """A byte radix trie; a leaf is a counter for each source.  Leaves are remembered by term, so that only new terms walk down."""
 
     def __init__(self):
         self.root, self.known = Node(b""), {}
 
-    def leaf(self, term: str) -> Leaf:
+    def leaf(self, term: bytes) -> dict[int, int]:
         found = self.known.get(term)
         if found is None:
-            node = self._reach(term.encode())
-            found = node.leaf = node.leaf or Leaf()
-            self.known[term] = found
+            found = self.known[term] = self._reach(term).leaf = {}
         return found
 
     def _reach(self, key: bytes) -> Node:
@@ -105,7 +93,7 @@ class Trie:
             node, key = child, key[shared:]
         return node
 
-    def walk(self) -> Iterator[tuple[bytes, Leaf]]:
+    def walk(self) -> Iterator[tuple[bytes, dict[int, int]]]:
         """Terms in the order of their bytes, which for UTF-8 is that of code points."""
         held = [(b"", self.root)]
         while held:
@@ -116,6 +104,58 @@ class Trie:
             held += ((at, node.children[b]) for b in sorted(node.children, reverse=True))
 
 
+class Counts:
+    """What a task has counted of one language: a trie, and the terms that wait for a second source or batch.
+
+    Sources are numbered; what waits is one whole number, its source above LOW bits and its count.
+    """
+
+    LOW = 44
+
+    def __init__(self):
+        self.trie, self.waiting, self.documents, self.sources = Trie(), {}, Counter(), {}
+
+    def add(self, source: str, occurrences: Counter) -> None:
+        known, waiting, low = self.trie.known, self.waiting, self.LOW
+        own = self.sources.setdefault(source, len(self.sources))
+        for term, n in occurrences.items():
+            leaf = known.get(term)
+            if leaf is None:
+                first = waiting.pop(term, None)
+                if first is None:
+                    waiting[term] = own << low | n
+                    continue
+                leaf = self.trie.leaf(term)
+                leaf[first >> low] = first & ((1 << low) - 1)
+            leaf[own] = leaf.get(own, 0) + n
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        names = pa.array(self.sources, pa.string())
+
+        def batch(terms: list[bytes], ends: list[int], sources: list[int], counts: list[int]) -> pa.RecordBatch:
+            limits = pa.array(ends, pa.int32())
+            columns = [pa.array([lang] * len(terms)), pa.array(terms, pa.binary()), pa.array([self.documents[t] for t in terms], pa.int64())]
+            columns += [pa.ListArray.from_arrays(limits, names.take(pa.array(sources, pa.int32()))), pa.ListArray.from_arrays(limits, pa.array(counts, pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, schema=LEAF_TYPE)
+
+        terms, ends, sources, counts = [], [0], [], []
+        for term, leaf in self.trie.walk():
+            terms.append(term)
+            sources += leaf
+            counts += leaf.values()
+            ends.append(len(sources))
+            if len(terms) == 8192:
+                yield batch(terms, ends, sources, counts)
+                terms, ends, sources, counts = [], [0], [], []
+        if terms:
+            yield batch(terms, ends, sources, counts)
+        waiting = sorted(self.waiting)
+        for at in range(0, len(waiting), 8192):
+            own = waiting[at : at + 8192]
+            packed = np.array([self.waiting[t] for t in own], np.int64)
+            yield batch(own, range(len(own) + 1), packed >> self.LOW, packed & ((1 << self.LOW) - 1))
+
+
 def _shared(a: bytes, b: bytes) -> int:
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
@@ -130,33 +170,28 @@ def _groups(docs: DataFrame) -> list:
 def count_terms(docs: DataFrame, leaves: int = LEAVES) -> DataFrame:
     """The leaves of every task's tries."""
 
-    def dump(tries: dict[str, Trie]) -> Iterator[pa.RecordBatch]:
-        for lang, trie in tries.items():
-            rows = []
-            for term, own in trie.walk():
-                rows.append((lang, term, own.documents, list(own.counts), list(own.counts.values())))
-                if len(rows) == 8192:
-                    yield _batch(rows, LEAF_TYPE)
-                    rows = []
-            if rows:
-                yield _batch(rows, LEAF_TYPE)
-
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: dict[str, Trie] = {}
-        size = 0
+        held: dict[str, Counts] = {}
+        gc.disable()  # tries have no cycles; the collector would only walk them over and over
         for batch in batches(stream, "text", BATCH_BYTES):
-            for text, lang, source in zip(*(batch[c].to_pylist() for c in ("text", "lang", "source")), strict=True):
-                trie = tries.get(lang)
-                if trie is None:
-                    trie = tries[lang] = Trie()
-                before = len(trie.known)
-                for term, n in Counter(TERM.findall(text.translate(LOWER) if not text.isascii() else text.lower())).items():
-                    trie.leaf(term).add(1, source, n)
-                size += len(trie.known) - before
-                if size >= leaves:
-                    yield from dump(tries)
-                    tries, size = {}, 0
-        yield from dump(tries)
+            found: dict[tuple[str, str], Counter] = {}
+            for text, lang, source in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True):
+                terms = text.translate(LETTERS).split()
+                if not terms:
+                    continue
+                if lang not in held:
+                    held[lang] = Counts()
+                held[lang].documents.update(set(terms))
+                found.setdefault((lang, source), Counter()).update(terms)
+            for (lang, source), occurrences in found.items():
+                held[lang].add(source, occurrences)
+            if sum(len(c.documents) for c in held.values()) >= leaves:
+                for lang, own in held.items():
+                    yield from own.rows(lang)
+                held = {}
+        for lang, own in held.items():
+            yield from own.rows(lang)
+        gc.enable()
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     return docs.select(text, *_groups(docs)).mapInArrow(run, LEAF)
@@ -166,36 +201,61 @@ def _batch(rows: list[tuple], kind: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
 
 
+def merged(leaves: pa.Table) -> pa.Table:
+    """Sorted leaves, equal ones as one."""
+    leaves = leaves.combine_chunks()
+    lang, term, documents, sources, counts = (leaves[c].chunk(0) for c in LEAF_TYPE.names)
+    n = len(lang)
+    new = np.ones(n, bool)
+    new[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(new)
+    owner = np.repeat(np.cumsum(new) - 1, pc.list_value_length(sources).to_numpy(zero_copy_only=False))
+    coded = sources.flatten().dictionary_encode()
+    pair = owner * max(len(coded.dictionary), 1) + coded.indices.to_numpy()
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    firsts = np.flatnonzero(np.diff(pair, prepend=-1))
+    totals = np.add.reduceat(counts.flatten().to_numpy()[order], firsts)
+    limits = pa.array(np.concatenate((np.searchsorted(owner[order][firsts], np.arange(len(starts))), [len(firsts)])), pa.int32())
+    names = coded.dictionary.take(pa.array(pair[firsts] % max(len(coded.dictionary), 1)))
+    columns = [lang.take(pa.array(starts)), term.take(pa.array(starts)), pa.array(np.add.reduceat(documents.to_numpy(), starts)), pa.ListArray.from_arrays(limits, names), pa.ListArray.from_arrays(limits, pa.array(totals))]
+    return pa.Table.from_arrays(columns, schema=LEAF_TYPE)
+
+
 def merge(leaves: DataFrame, least_documents: int) -> DataFrame:
-    """(lang, term, sources, counts, part): leaves of equal terms as one, of those in enough documents."""
+    """(lang, term, sources, counts, place): leaves of equal terms as one, of those in enough documents.
+
+    Places are in the order of ranges, and of at most PART terms each.
+    """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, rows = None, Leaf(), []
         first, done = TaskContext.get().partitionId() << 32, 0
 
-        def close() -> None:
+        def kept(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             nonlocal done
-            if held.documents >= least_documents:
-                rows.append((*at, list(held.counts), list(held.counts.values()), first + done // PART))
-                done += 1
+            rows = rows.filter(pc.greater_equal(rows["documents"], least_documents)).drop_columns("documents")
+            place = pa.array(first + np.arange(done, done + len(rows)) // PART)
+            done += len(rows)
+            yield from rows.append_column("place", place).combine_chunks().to_batches()
 
+        last = LEAF_TYPE.empty_table()
         for batch in stream:
-            for lang, term, documents, sources, counts in zip(*(batch.column(c).to_pylist() for c in LEAF_TYPE.names), strict=True):
-                if (lang, term) != at:
-                    close()
-                    at, held = (lang, term), Leaf()
-                held.documents += documents
-                for source, n in zip(sources, counts, strict=True):
-                    held.add(0, source, n)
-            if rows:
-                yield _batch(rows, KEPT_TYPE)
-                rows = []
-        close()
-        if rows:
-            yield _batch(rows, KEPT_TYPE)
+            if batch.num_rows:
+                own = merged(pa.concat_tables([last, pa.Table.from_batches([batch]).cast(LEAF_TYPE)]))
+                last = own.slice(len(own) - 1)  # it may go on in the next batch
+                yield from kept(own.slice(0, len(own) - 1))
+        yield from kept(last)
 
     dealt = leaves.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
-    return dealt.mapInArrow(run, "lang string, term binary, sources array<string>, counts array<long>, part long")
+    return dealt.mapInArrow(run, "lang string, term binary, sources array<string>, counts array<long>, place long")
+
+
+def in_parts(kept: DataFrame) -> DataFrame:
+    """kept with part in place of place: neighbouring places together, about PART terms each."""
+    sizes = kept.groupBy("place").agg(F.count("*").alias("n"))  # a row for each range of the shuffle
+    before = F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    parts = sizes.select("place", F.floor(F.coalesce(before, F.lit(0)) / PART).alias("part"))
+    return kept.join(parts, "place").drop("place")
 
 
 def shares(counts: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
@@ -306,7 +366,7 @@ def audit(docs: DataFrame, least_documents: int = 30, ranks: int = 50) -> DataFr
     terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = groups.join(counted, ["lang", "source"], "left").join(terms, "lang", "left").na.fill(0, ["total", "terms"])
     totals = scratch.keep(totals, "totals")
-    found = scratch.keep(compare_parts(kept, totals.filter("terms > 0"), ranks), "found")
+    found = scratch.keep(compare_parts(in_parts(kept), totals.filter("terms > 0"), ranks), "found")
     none = totals.filter("terms = 0").select("lang", "source")
     empty = none.join(none.withColumnRenamed("source", "item"), "lang").filter("source <> item").select("lang", "source", F.lit("pair").alias("part"), "item", F.lit(0).cast("long").alias("value"))
     pairs = found.filter("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")).unionByName(empty)
