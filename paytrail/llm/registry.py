@@ -7,9 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
-from . import backoff_lm, chat_format, decontamination, divergence, exact_dedup, fill_in_middle, html_extraction, packing, quality, simhash, suffix_dedup, toxicity, warc
+from . import backoff_lm, chat_format, decontamination, divergence, exact_dedup, fill_in_middle, html_extraction, packing, pipeline, quality, simhash, suffix_dedup, toxicity, warc
 from .common import remainder, table
 
 
@@ -177,7 +175,7 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "op12_html_extraction": op12_html_extraction, "op13_source_divergence": op13_source_divergence, "pipeline": corpus_pipeline.run}
+    return {"op1_exact_dedup": op1_exact_dedup, "op2_best_fit_packing": op2_best_fit_packing, "op3_suffix_dedup": op3_suffix_dedup, "op4_backoff_lm": op4_backoff_lm, "op5_toxicity": op5_toxicity, "op6_warc": op6_warc, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_chat_format": op9_chat_format, "op10_simhash": op10_simhash, "op11_fill_in_middle": op11_fill_in_middle, "op12_html_extraction": op12_html_extraction, "op13_source_divergence": op13_source_divergence, "pipeline": pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
