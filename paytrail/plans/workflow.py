@@ -24,7 +24,7 @@ from . import marts
 
 DAILY = {"accepted_event": ["event_date"]}
 #: Buckets of the tables that a run looks up or renews by key; a bucket should be some 100 MB at the size that is expected.
-BUCKETS = 16
+BUCKETS = 8
 BY_KEY = {"seen_event": "event_id"} | dict.fromkeys(("accepted_event", "payment_state", "business_exception", "posted_event", "ledger_entry"), "transaction_id")
 BY_KEY["ledger_daily"] = "business_date"
 LAYOUT = {"partition_by": DAILY, "bucket_by": {table: (key, BUCKETS) for table, key in BY_KEY.items()}}
