@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,11 +13,25 @@ from ..vocabulary import OPTIONAL_FIELD, PROHIBITED_FIELDS, REDACTED
 BLOCK = 64
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once for a row however often use speaks of it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def stripped(text: Column) -> Column:
     """Without white space of any script at the ends."""
     return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
 
 
+def is_plain(text: Column) -> Column:
+    """Whether text is printable ASCII without blanks, quotes and backslashes: as it is, it is stripped, and JSON between quotes."""
+    return text.rlike(r"\A[!#-\[\]-~]*\z")
+
+
+def normalised(email: Column) -> Column:
+    return F.lower(F.when(is_plain(email), email).otherwise(stripped(email)))
+
+
 def hmac_sha256(message: Column, key: bytes) -> Column:
     """Hex HMAC-SHA256 of a binary or string column; the pads are made once, on the driver."""
     if len(key) > BLOCK:
@@ -31,7 +46,7 @@ def customer_token(email: Column, key: bytes) -> Column:
     """Keyed token of a normalised address; null stays null."""
     if len(key) < 32:
         raise ValueError("token_key_too_short")
-    return F.when(email.isNotNull(), hmac_sha256(F.lower(stripped(email)), key))
+    return F.when(email.isNotNull(), hmac_sha256(normalised(email), key))
 
 
 def escape_non_ascii(text: Column) -> Column:
@@ -52,11 +67,13 @@ def _any_case(name: str) -> str:
 
 
 _NAMES = "|".join(map(_any_case, sorted(PROHIBITED_FIELDS)))
+_HEADS = "".join(sorted({c for name in PROHIBITED_FIELDS for c in name[0] + name[0].upper() + FOLDED.get(name[0], "")}))
 
 
 def may_be_prohibited(text: Column) -> Column:
     """Whether JSON text may hold a prohibited key: one of the names before a colon, or a key written with escapes."""
-    return text.rlike(rf'"(?:{_NAMES})"\s*:|\\u')
+    # A pattern that begins with one character is looked for where that is; with alternatives at its head, everywhere.
+    return F.contains(text, F.lit("\\u")) | text.rlike(rf'"(?=[{_HEADS}])(?:{_NAMES})"\s*:')
 
 
 def prohibited_keys(canonical: Column) -> Column:
@@ -64,9 +81,9 @@ def prohibited_keys(canonical: Column) -> Column:
 
     A key there follows a brace or a comma; within a text value, quotes have a backslash before them.
     """
-    found = F.regexp_extract_all(canonical, F.lit(rf'[{{,]"({_NAMES})":'), 1)
-    folded = F.transform(found, lambda k: F.lower(F.translate(k, "".join(FOLDED.values()), "".join(FOLDED))))
-    return F.when(F.size(found) > 0, F.array_join(F.array_sort(F.array_distinct(folded)), ","))
+    folded = lambda found: F.transform(found, lambda k: F.lower(F.translate(k, "".join(FOLDED.values()), "".join(FOLDED))))
+    joined = lambda found: F.when(F.size(found) > 0, F.array_join(F.array_sort(F.array_distinct(folded(found))), ","))
+    return once(F.regexp_extract_all(canonical, F.lit(rf'[{{,]"({_NAMES})":'), 1), joined)
 
 
 #: Levels to which a hidden value is looked through for its end.
@@ -85,8 +102,8 @@ def redacted(text: Column) -> Column:
     brace or a comma, and a value ends where its brackets are even.  Of a text that can't
     be read, or whose hidden values are nested too deep, size and digest stay.
     """
-    canonical = F.to_json(F.try_parse_json(text))
-    safe = F.regexp_replace(canonical, rf'{_HIDDEN_KEY}(?:{_TEXT}|{_NESTED}|[^\[{{",}}\]]++)', rf'$1"{REDACTED}"')
-    open_still = safe.rlike(rf"{_HIDDEN_KEY}[\[{{]")
+    hidden = rf'{_HIDDEN_KEY}(?:{_TEXT}|{_NESTED}|[^\[{{",}}\]]++)'
     unreadable = F.concat(F.lit('{"unreadable_bytes":'), F.octet_length(text).cast("string"), F.lit(',"unreadable_sha256":"'), F.sha2(text.cast("binary"), 256), F.lit('"}'))
-    return F.when(text.isNotNull(), F.when(canonical.isNull() | open_still, unreadable).otherwise(escape_non_ascii(safe)))
+    told = lambda safe: F.when(safe.isNull() | safe.rlike(rf"{_HIDDEN_KEY}[\[{{]"), unreadable).otherwise(escape_non_ascii(safe))
+    # Reading the text and searching it are all the cost, and the rules look at what comes of them again and again.
+    return F.when(text.isNotNull(), once(F.regexp_replace(F.to_json(F.try_parse_json(text)), hidden, rf'$1"{REDACTED}"'), told))
