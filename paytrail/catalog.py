@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ class Inputs:
     def exceptions(self) -> DataFrame:
         return lifecycle.business_exceptions(self.events(), self.assessed())
 
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Assessed payments, a row for each, written once for queries that read both what they are and what is wrong with them."""
+        return written(self.assessed(), "assessed")
+
+    def current(self) -> tuple[DataFrame, DataFrame]:
+        """Payments' mart, and the transactions of all exceptions, a row for each event, which are written once."""
+        told = written(lifecycle.business_exceptions(self.events(), self.judged).select("transaction_id"), "exceptions")
+        return marts.payment_current(lifecycle.current_state(self.judged), told), told
+
     def posted(self) -> DataFrame:
         return posting.postable(self.events(), self.assessed())
 
@@ -228,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "ledger_unbalanced_injected": _over(_injected),
     "account_trial_balance": _over(lambda i: marts.trial_balance(i.ledger())),
     "fct_ledger_daily": _over(lambda i: marts.ledger_daily(i.ledger(), i.exceptions())),
-    "dim_payment_current": _over(lambda i: marts.payment_current(i.state(), i.exceptions())),
+    "dim_payment_current": _over(lambda i: i.current()[0]),
     "fct_settlement_exception": _over(lambda i: marts.settlement_exceptions(i.settlement_exceptions())),
     "expected_settlement": _over(lambda i: i.expected()),
     "settlement_reconciliation": _over(lambda i: i.compared()),
@@ -246,7 +257,7 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": _over(lambda i: marts.null_counts(i.ledger(), "entry_id", "event_id", "transaction_id", "signed_minor")),
     "dq_accepted_values": _over(lambda i: marts.outside_domain(i.state())),
     "dq_relationships": _over(lambda i: marts.orphans(i.ledger(), i.events())),
-    "dq_no_invalid_current": _over(lambda i: marts.invalid_in_current(marts.payment_current(i.state(), i.exceptions()), i.exceptions())),
+    "dq_no_invalid_current": _over(lambda i: marts.invalid_in_current(*i.current())),
     "dq_no_zero_delta": _over(lambda i: i.settlement_exceptions().filter("delta_minor = 0")),
     "freshness_lag": _over(_freshness),
     "freshness_verdicts": _over(_source_verdicts),

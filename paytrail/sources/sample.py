@@ -17,34 +17,42 @@ REVERSED = "CASE WHEN k % 4 = 0 THEN floor(auth / cast(nrev AS double)) ELSE flo
 
 
 def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived view: an event history of a payment for each order."""
+    """The derived view: an event history of a payment for each order.
+
+    Orders and lines are exchanged by transaction, once; what is grouped, joined or windowed by transaction after that needs no other exchange.
+    """
+    transaction_id = F.concat(F.lit("txn-"), "k").alias("transaction_id")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("custkey"), F.round(F.col("o_totalprice") * 100).cast("long").alias("auth"), F.col("o_orderdate").alias("event_time")
     )
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumnRenamed("l_orderkey", "k")
     et = F.when(F.col("l_returnflag") != "R", "capture").when(F.col("l_linestatus") == "F", "refund").otherwise("chargeback")
     late = F.when(F.col("k") % 11 == 0, 0).when(F.col("l_returnflag") == "R", 1).otherwise(0)
-    of_order = Window.partitionBy("k")
-    in_order = of_order.orderBy(late, *(f"l_{c}" for c in ("linenumber", "partkey", "suppkey", "shipdate", "extendedprice", "quantity", "returnflag", "linestatus")))
-    numbered = lines.select(
-        "k", et.alias("et"), F.row_number().over(in_order).alias("rn"), F.sum(F.when(et == "capture", 1).otherwise(0)).over(of_order).alias("ncap"), F.sum(F.when(et == "capture", 0).otherwise(1)).over(of_order).alias("nrev")
-    )
-    head = orders.selectExpr("k", "custkey", "event_time", "0 AS seq", "1L AS version", f"{HEAD_TYPE} AS kind", "auth AS amount", "0L AS p", "0L AS m", "0L AS c")
-    body = numbered.join(orders, "k").selectExpr(
+    of_order = Window.partitionBy("transaction_id")
+    in_order = Window.partitionBy("k", "transaction_id").orderBy(late, *(f"l_{c}" for c in ("linenumber", "partkey", "suppkey", "shipdate", "extendedprice", "quantity", "returnflag", "linestatus")))
+    counted = lines.withColumn("transaction_id", transaction_id).withColumns({"et": et, "ncap": F.sum(F.when(et == "capture", 1).otherwise(0)).over(of_order), "nrev": F.sum(F.when(et == "capture", 0).otherwise(1)).over(of_order)})
+    # The counts make the exchange by transaction; within it, lines are put in order by number first, which is faster than by text.
+    numbered = counted.select("transaction_id", "et", F.row_number().over(in_order).alias("rn"), "ncap", "nrev")
+    joined = orders.select("*", transaction_id).join(numbered, "transaction_id", "left")
+    # An order's head comes with its first line, or alone.
+    parts = joined.selectExpr("*", "explode(CASE WHEN rn IS NULL THEN array(0) WHEN rn = 1 THEN array(0, 1) ELSE array(rn) END) AS seq")
+    body = f"greatest(1L, cast(CASE WHEN et = 'capture' THEN {CAPTURED} ELSE {REVERSED} END AS long))"
+    told = parts.selectExpr(
+        "transaction_id",
         "k",
         "custkey",
         "event_time",
-        "rn AS seq",
-        f"cast({LINE_VERSION} AS long) AS version",
-        f"{LINE_TYPE} AS kind",
-        f"greatest(1L, cast(CASE WHEN et = 'capture' THEN {CAPTURED} ELSE {REVERSED} END AS long)) AS amount",
-        "CASE WHEN k % 101 = 0 THEN 1L ELSE 0L END AS p",
-        "CASE WHEN k % 107 = 0 THEN 1L ELSE 0L END AS m",
-        "CASE WHEN k % 103 = 0 THEN 1L ELSE 0L END AS c",
+        "seq",
+        f"CASE WHEN seq = 0 THEN 1L ELSE cast({LINE_VERSION} AS long) END AS version",
+        f"CASE WHEN seq = 0 THEN {HEAD_TYPE} ELSE {LINE_TYPE} END AS kind",
+        f"CASE WHEN seq = 0 THEN auth ELSE {body} END AS amount",
+        "CASE WHEN seq > 0 AND k % 101 = 0 THEN 1L ELSE 0L END AS p",
+        "CASE WHEN seq > 0 AND k % 107 = 0 THEN 1L ELSE 0L END AS m",
+        "CASE WHEN seq > 0 AND k % 103 = 0 THEN 1L ELSE 0L END AS c",
     )
-    return head.unionByName(body).selectExpr(
+    return told.selectExpr(
         "concat('txn-', k, ':e', seq) AS event_id",
-        "concat('txn-', k) AS transaction_id",
+        "transaction_id",
         "version AS transaction_version",
         "kind AS event_type",
         "amount AS amount_minor",
