@@ -62,11 +62,16 @@ class Inputs:
     def expected(self) -> DataFrame:
         return settlement.expected(self.ledger())
 
+    @cached_property
+    def due(self) -> DataFrame:
+        """What is expected, a row for each date, processor and currency: summed up once and written, since evidence and comparison read it several times."""
+        return written(self.expected(), "expected")
+
     def evidence(self) -> DataFrame:
-        return sample.settlement_evidence(self.expected())
+        return sample.settlement_evidence(self.due)
 
     def compared(self) -> DataFrame:
-        return settlement.compare(self.expected(), self.evidence())
+        return settlement.compare(self.due, self.evidence())
 
     def settlement_exceptions(self) -> DataFrame:
         return settlement.exceptions(self.compared())
