@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,27 +79,60 @@ def project(change: Change, touched: DataFrame, rules: DataFrame) -> None:
     """
     buckets = change.buckets("payment_state", touched)
     own = touched.select("transaction_id").distinct()
-    history = change.read_buckets("accepted_event", buckets).drop("event_date").join(own, "transaction_id", "left_semi")
-    change.replace("run_assessed", lifecycle.assess(history))  # once; all else comes of it
-    assessed = change.read("run_assessed")
-    was_bad = change.read_buckets("business_exception", buckets).join(own, "transaction_id", "left_semi")
-    renewed = {"payment_state": lifecycle.current_state(assessed), "business_exception": lifecycle.business_exceptions(history, assessed)}
-    change.renew_together(buckets, **{t: merging.renewed(change.read_buckets(t, buckets), rows, own, "transaction_id") for t, rows in renewed.items()})
-    # The gate looks at what was written, so nothing is computed twice.
-    change.replace("run_posted", merging.new_rows(change.read_buckets("posted_event", buckets), posting.postable(history, assessed), ["event_id"]))
-    new = change.read("run_posted")
-    change.together(posted_event=new, run_ledger=posting.post(new, rules))
-    posting.require_balanced(change.read("run_ledger"))
     lines = change.read_buckets("ledger_entry", buckets)
-    added = merging.new_rows(lines, change.read("run_ledger"), ["entry_id"])
-    change.replace("run_daily", marts.ledger_daily_change(lines, added, was_bad, assessed.filter("business_error IS NOT NULL")))
-    change.append("ledger_entry", added)
-    keep_ledger_daily(change, change.read("run_daily"))
-    change.drop("run_assessed", "run_posted", "run_ledger", "run_daily")
+    change.replace("run_judged", judged(change, buckets, own, lines))  # once; all else comes of it without another exchange
+    events = change.read("run_judged")
+    latest = events.filter("state_rank = 1").withColumn("latest", F.struct("event_id", "currency", "processor_id", "merchant_id"))
+    wrong = events.filter("business_error IS NOT NULL").select(*EVENT.fieldNames(), *lifecycle.AMOUNTS, "business_error")
+    renewed = {"payment_state": lifecycle.current_state(latest), "business_exception": wrong}
+    change.renew_together(buckets, **{t: merging.renewed(change.read_buckets(t, buckets), rows, own, "transaction_id") for t, rows in renewed.items()})
+    due = events.filter("is_due")
+    new = due.select(*EVENT.fieldNames())
+    posting.require_balanced(posting.post(new, rules))
+    added = posting.post(new, rules)
+    again = due.filter("has_lines").select(*EVENT.fieldNames())
+    if not again.isEmpty():  # lines of events that weren't noted as posted
+        added = posting.post(due.filter("NOT has_lines").select(*EVENT.fieldNames()), rules).unionByName(merging.new_rows(lines, posting.post(again, rules), ["entry_id"]))
+    # The lines that there were before, whose payments became exceptions or no longer are.
+    turned = latest.withColumn("times", F.col("was_bad").cast("long") - F.col("business_error").isNotNull().cast("long")).filter("times <> 0")
+    change.replace("run_turned", marts.daily_parts(lines.join(turned.select("transaction_id", "times"), "transaction_id"), F.col("times")))
+    keep_ledger_daily(change, marts.daily_parts(added).unionByName(change.read("run_turned")))
+    change.together(posted_event=new, ledger_entry=added)
+    change.drop("run_judged", "run_turned")
+
+
+def judged(change: Change, buckets: list[int], own: DataFrame, lines: DataFrame) -> DataFrame:
+    """Every event of the payments in own, with their figures, what is wrong with them, and what is known of them in the store.
+
+    is_due tells monetary events of valid payments that weren't posted (of rows with the same identifier the one of the
+    least values, as identifiers are of one payment), has_lines those with ledger lines, was_bad payments that were exceptions.
+    All is exchanged by transaction once: what is known of them comes as rows beside the events, since joins would exchange those again.
+    """
+    beside = lambda rows, kind, *ids: rows.select("transaction_id", *ids, F.lit(kind).alias("kind"))
+    # What is mostly the same in all of a payment's events comes first: rows that begin alike pack better.
+    varying = ("transaction_version", "event_type", "amount_minor", "event_id")
+    alike = [c for c in EVENT.fieldNames() if c not in varying]
+    rows = change.read_buckets("accepted_event", buckets).select(*alike, F.lit(None).cast("string").alias("kind"), *varying)
+    for more in (
+        beside(own, "touched"),
+        beside(change.read_buckets("posted_event", buckets), "posted", "event_id"),
+        beside(lines, "line", "event_id"),
+        beside(change.read_buckets("business_exception", buckets), "bad"),
+    ):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    payment, event = Window.partitionBy("transaction_id"), Window.partitionBy("transaction_id", "event_id")
+    in_order = event.orderBy(*(c for c in ("kind", *EVENT.fieldNames()) if c not in ("transaction_id", "event_id")))  # events, without a kind, first
+    there_is = lambda kind, of: F.coalesce(F.max(F.col("kind") == kind).over(of), F.lit(False))
+    told = {"copy": F.row_number().over(in_order), "was_posted": there_is("posted", event), "has_lines": there_is("line", event), "was_bad": there_is("bad", payment), "touched": there_is("touched", payment)}
+    history = rows.withColumns(told).filter("kind IS NULL AND touched")
+    due = F.col("event_type").isin(*posting.MONETARY) & F.col("business_error").isNull() & (F.col("copy") == 1) & ~F.col("was_posted")
+    shown = F.col("business_error").isNotNull() | (F.col("state_rank") == 1)  # elsewhere nobody asks for the payment's figures
+    figures = [F.when(shown, F.col(c)).alias(c) for c in (*lifecycle.AMOUNTS, "max_version")]
+    return lifecycle.assess_by_window(history).select(*EVENT.fieldNames(), *figures, "business_error", "state_rank", due.alias("is_due"), "has_lines", "was_bad")
 
 
 def keep_ledger_daily(change: Change, changes: DataFrame) -> None:
-    """Adds changes of daily sums to those that are kept; only the buckets of their days are read and written."""
+    """Adds changes of daily sums, summed up or not, to those that are kept; only the buckets of their days are read and written."""
     days = change.buckets("ledger_daily", changes)
     if days:
         change.renew_buckets("ledger_daily", days, marts.summed_daily(change.read_buckets("ledger_daily", days).unionByName(changes)))
