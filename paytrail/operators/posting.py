@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..vocabulary import EVENT_TYPES, POSTING_RULES
@@ -34,6 +34,11 @@ def check_rules(rules: dict, version: object, unit: object) -> None:
             raise ValueError(f"unbalanced_posting_rule:{kind}")
 
 
+def due(event_type: Column, business_error: Column) -> Column:
+    """Whether an event is to be posted, if its payment's figures are beside it."""
+    return event_type.isin(*MONETARY) & business_error.isNull()
+
+
 def postable(events: DataFrame, assessed: DataFrame) -> DataFrame:
     """Monetary events of the transactions that no rule excludes."""
     bad = assessed.filter("business_error IS NOT NULL").select("transaction_id")

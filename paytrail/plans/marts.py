@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from ..vocabulary import STATUSES
 
 
@@ -74,8 +75,13 @@ def outside_domain(state: DataFrame) -> DataFrame:
 
 
 def orphans(ledger: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Ledger lines without an accepted event."""
-    return ledger.join(accepted.select("event_id"), "event_id", "left_anti")
+    """Ledger lines without an accepted event.
+
+    Identifiers alone are exchanged; those of no event are written, so that lines needn't be exchanged for the few there are.
+    A line without an identifier has no event either.
+    """
+    missing = written(ledger.select("event_id").distinct().join(accepted.select("event_id"), "event_id", "left_anti"), "missing")
+    return ledger.join(missing, ledger["event_id"].eqNullSafe(missing["event_id"]), "left_semi")
 
 
 def invalid_in_current(current: DataFrame, exceptions: DataFrame) -> DataFrame:

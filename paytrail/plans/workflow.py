@@ -125,7 +125,7 @@ def judged(change: Change, buckets: list[int], own: DataFrame, lines: DataFrame)
     there_is = lambda kind, of: F.coalesce(F.max(F.col("kind") == kind).over(of), F.lit(False))
     told = {"copy": F.row_number().over(in_order), "was_posted": there_is("posted", event), "has_lines": there_is("line", event), "was_bad": there_is("bad", payment), "touched": there_is("touched", payment)}
     history = rows.withColumns(told).filter("kind IS NULL AND touched")
-    due = F.col("event_type").isin(*posting.MONETARY) & F.col("business_error").isNull() & (F.col("copy") == 1) & ~F.col("was_posted")
+    due = posting.due(F.col("event_type"), F.col("business_error")) & (F.col("copy") == 1) & ~F.col("was_posted")
     shown = F.col("business_error").isNotNull() | (F.col("state_rank") == 1)  # elsewhere nobody asks for the payment's figures
     figures = [F.when(shown, F.col(c)).alias(c) for c in (*lifecycle.AMOUNTS, "max_version")]
     return lifecycle.assess_by_window(history).select(*EVENT.fieldNames(), *figures, "business_error", "state_rank", due.alias("is_due"), "has_lines", "was_bad")
