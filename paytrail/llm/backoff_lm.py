@@ -14,7 +14,7 @@ n-gram is in the model if it was seen min_count times in training, whatever the
 input's size (1 takes all; every single word is a state of its own anyway).
 
 The model is never in one place.  Documents are encoded once into blocks of
-bounded size.  A block sends its distinct words, packed by hash part, to the tasks
+bounded size.  A block sends its distinct words, packed by range of hash, to the tasks
 that sum them up over all blocks, and these answer each block's packs in their
 order.  Of longer n-grams it first sends sketches, 32 bits of hash for each, and
 the parts answer with a bit for those that may reach min_count; only these go
@@ -52,9 +52,8 @@ PART_KEYS = 1_000_000
 TASK_BLOCKS = 8
 DISCOUNT = 0.75
 SEGMENT = 256
-#: Key of the end token, and what tells a state's key from an n-gram's.
+#: Key of the end token.
 END = np.uint64(0x5EED0FE2D)
-STATE = np.uint64(0xA5A5A5A55A5A5A5A)
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -192,52 +191,54 @@ class Block:
         for k, level in enumerate(self.levels):
             if k:
                 level.counts = in_order(by.get((k, "count"), []), level.keys)
-            level.mass = in_order(by.get((k, "mass"), []), state_keys(level.keys))
+            own = level.keys != 0
+            level.mass = np.zeros(len(own))
+            level.mass[own] = in_order(by.get((k, "mass"), []), level.keys[own])
 
 
-def state_keys(keys: np.ndarray) -> np.ndarray:
-    return mix(keys ^ STATE)
+# -- counting over all blocks ------------------------------------------------------------------
 
 
-# -- counting over all blocks ------------------------------------------------------------------
+def position(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where keys lie in so many equal ranges of them: the part in the upper 32 bits, the place within it in the others.
+
+    It grows with the key, so what is sorted by key is sorted by part and by place already.
+    """
+    return (keys >> np.uint64(32)) * np.uint64(parts) + ((keys & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32))
 
 
-def short(keys: np.ndarray) -> np.ndarray:
-    """What a sketch holds of a key."""
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def short(keys: np.ndarray, parts: int) -> np.ndarray:
+    """What a sketch holds of a key: its place within its part."""
+    return (position(keys, parts) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def deal(keys: np.ndarray, parts: int, by: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
-    """(part, indices of its keys, sorted by key or by 32 bits) for each part that has any."""
-    part = ((keys >> np.uint64(33)) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
-    if by is not None:
-        order = np.argsort(by)
-        order = order[np.argsort(part[order], kind="stable")]
-    elif (keys[1:] >= keys[:-1]).all():
-        order = np.argsort(part, kind="stable")
-    else:
-        order = np.argsort(keys)
-        order = order[np.argsort(part[order], kind="stable")]
-    cuts = np.flatnonzero(np.diff(part[order])) + 1
-    return [(int(part[x[0]]), x) for x in np.split(order, cuts) if len(x)]
+def key_order(keys: np.ndarray) -> np.ndarray:
+    return np.arange(len(keys)) if (keys[1:] >= keys[:-1]).all() else np.argsort(keys)
+
+
+def deal(keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """(part, indices of its keys, sorted by key) for each part that has any, in order."""
+    order = key_order(keys)
+    part = position(keys[order], parts) >> np.uint64(32)
+    cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+    return [(int(part[first]), x) for first, x in zip([0, *cuts], np.split(order, cuts), strict=True) if len(x)]
 
 
 def in_order(answers: list[dict], keys: np.ndarray) -> np.ndarray:
     """The answers to keys, which were dealt to the parts that answer."""
     out = np.zeros(len(keys))
     if answers and len(keys):
-        values = np.concatenate([unpacked(a["value"], np.float64) for a in answers])
-        out[np.concatenate([x for _, x in deal(keys, answers[0]["parts"])])] = values
+        out[key_order(keys)] = np.concatenate([unpacked(a["value"], np.float64) for a in answers])
     return out
 
 
 def bits_in_order(answers: list[dict], keys: np.ndarray) -> np.ndarray:
-    """The marks of keys whose sketches were dealt."""
-    out = np.zeros(len(keys), dtype=bool)
-    if answers and len(keys):
-        dealt = deal(keys, answers[0]["parts"], short(keys))
-        out[np.concatenate([x for _, x in dealt])] = np.concatenate([np.unpackbits(unpacked(a["value"], np.uint8), count=len(x)) for a, (_, x) in zip(answers, dealt, strict=True)]).astype(bool)
-    return out
+    """The marks of sorted keys whose sketches were dealt."""
+    if not answers or not len(keys):
+        return np.zeros(len(keys), dtype=bool)
+    part = position(keys, answers[0]["parts"]) >> np.uint64(32)
+    sizes = np.diff(np.flatnonzero(part[1:] != part[:-1]) + 1, prepend=0, append=len(keys))
+    return np.concatenate([np.unpackbits(unpacked(a["value"], np.uint8), count=n) for a, n in zip(answers, sizes.tolist(), strict=True)]).astype(bool)
 
 
 def pack_rows(block: int, level: int, kind: str, keys: np.ndarray, parts: int, seen: np.ndarray, history: np.ndarray | None = None) -> list[dict]:
@@ -314,8 +315,8 @@ def marked(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, parts:
         for level, (at, keys) in enumerate(block.grams(order), 1):
             keys, where = np.unique(keys, return_inverse=True)
             seen = np.bincount(where[block.train[at]], minlength=len(keys)).astype(np.uint32)
-            for part, i in deal(keys, parts, short(keys)):
-                rows.append({"part": part, "block": row["block"], "level": level, "kind": "mark", "keys": packed_keys(short(keys[i])), "seen": packed(seen[i]), "histories": None, "place": None})
+            for part, i in deal(keys, parts):
+                rows.append({"part": part, "block": row["block"], "level": level, "kind": "mark", "keys": packed_keys(short(keys[i], parts)), "seen": packed(seen[i]), "histories": None, "place": None})
         return pa.Table.from_pylist(rows, PACK_TYPE)
 
     def mark(group: pa.Table) -> pa.Table:
@@ -337,7 +338,7 @@ def gram_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, level: int, pa
         block = Block(row, least)
         block.take(right.to_pylist(), level + 1, sketched)
         above, own = block.levels[-2:]
-        history = state_keys(above.keys[above.places[own.first - 1]])
+        history = above.keys[above.places[own.first - 1]]
         return pa.Table.from_pylist(pack_rows(row["block"], level, "count", own.keys, parts, own.seen, history), PACK_TYPE)
 
     return by_block(blocks, told, n_blocks, run, PACK)
@@ -352,7 +353,8 @@ def state_packs(blocks: DataFrame, told: DataFrame, n_blocks: int, order: int, p
         block.take(right.to_pylist(), order - 1, sketched)
         rows = []
         for k, level in enumerate(block.levels):
-            rows += pack_rows(row["block"], k, "mass", state_keys(level.keys), parts, np.zeros(len(level.keys), np.uint32))
+            keys = level.keys[level.keys != 0]  # words too rare for longer n-grams have none, and are no states
+            rows += pack_rows(row["block"], k, "mass", keys, parts, np.zeros(len(keys), np.uint32))
         return pa.Table.from_pylist(rows, PACK_TYPE)
 
     return by_block(blocks, told, n_blocks, run, PACK)

@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,21 @@ def test_rare_words_are_in_pairs_at_any_size(spark):
     w = tokens("seldom found")
     assert out[10]["score"] == pytest.approx(sum(math.log10(model.p(tuple(w[max(0, j - 2) : j]), x)) for j, x in enumerate(w)), abs=1e-6)
     assert out[10]["score"] > out[10]["base_score"] + 5
+
+
+def test_sorted_keys_are_dealt_as_they_lie():
+    """Parts are ranges of keys, and sketches within a part are in the order of its keys, so that nothing is sorted again."""
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64))
+    for parts in (1, 7, 2000):
+        dealt = backoff_lm.deal(keys, parts)
+        assert [p for p, _ in dealt] == sorted({p for p, _ in dealt}) and max(p for p, _ in dealt) < parts
+        assert (np.concatenate([at for _, at in dealt]) == np.arange(len(keys))).all()
+        assert all((np.diff(backoff_lm.short(keys[at], parts).astype(np.int64)) >= 0).all() for _, at in dealt)
+        asked = [int(p) for k in keys for p in [int(k) * parts >> 64]]
+        assert [p for p, at in dealt for _ in at] == asked
+        shuffled = np.random.default_rng(4).permutation(keys)
+        assert [(p, list(shuffled[at])) for p, at in backoff_lm.deal(shuffled, parts)] == [(p, list(keys[at])) for p, at in dealt]
+        told = [{"part": p, "parts": parts, "value": backoff_lm.packed((keys[at] % 5).astype(float))} for p, at in dealt]
+        assert (backoff_lm.in_order(told, shuffled) == (shuffled % 5)).all()
+        marks = [{"part": p, "parts": parts, "value": backoff_lm.packed(np.packbits(keys[at] % 3 == 0))} for p, at in dealt]
+        assert (backoff_lm.bits_in_order(marks, keys) == (keys % 3 == 0)).all()
