@@ -42,6 +42,8 @@ BITS = 64
 SEED = 42
 #: Fingerprints that the choice of partitions looks at.
 SAMPLE = 2048
+#: Of which so many are compared with all at a time.
+PLAN_ROWS = 64
 #: Cost of verifying a candidate, of which dealing one row costs 1.
 VERIFY_COST = 0.02
 #: Values with at most so many nodes are compared offset by offset, with more by search.
@@ -137,6 +139,16 @@ def _choose(n: int, k: int) -> int:
     return reduce(lambda x, i: x * (n - i) // (i + 1), range(k), 1)
 
 
+def near_pairs(prints: np.ndarray, most: int) -> np.ndarray:
+    """How many pairs differ in 0, 1, ... most bits.  The driver asks this, so only some rows of the pairs are held at a time."""
+    found = np.zeros(most + 1, dtype=np.int64)
+    for at in range(0, len(prints), PLAN_ROWS):
+        apart = np.bitwise_count(prints[at : at + PLAN_ROWS, None] ^ prints[None, :])
+        found += [np.count_nonzero(apart == d) for d in range(most + 1)]
+    found[0] -= len(prints)  # each with itself
+    return found // 2
+
+
 def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
     """The cheapest plan for n distinct fingerprints, by estimated probes and candidates."""
     best: Plan | None = None
@@ -144,7 +156,6 @@ def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
         sample = np.zeros(1, dtype=np.uint64)
     n = max(n, 2)  # for fewer, all plans would cost nothing
     pairs = max(len(sample) * (len(sample) - 1) // 2, 1)
-    apart = np.triu_indices(len(sample), 1)
     for m in range(1, min(distance + 1, 6) + 1):
         parts = group_bits(sample, m)
         total = distance - m + 1
@@ -153,7 +164,7 @@ def make_plan(sample: np.ndarray, n: int, distance: int) -> Plan:
             w = len(part)
             mask = np.uint64(sum(1 << b for b in part))
             held = sample & mask
-            near = np.bincount(np.bitwise_count(held[apart[0]] ^ held[apart[1]]), minlength=BITS + 1)[: total + 1] if len(sample) > 1 else np.zeros(total + 1)
+            near = near_pairs(held, total)
             even = np.array([_choose(w, d) / 2.0**w for d in range(total + 1)])
             share = np.cumsum(near / pairs + even)  # what is seen, and what independent bits would give
             probes = [0.0] + [n * sum(_choose(w, d) for d in range(t + 1)) for t in range(total + 1)]

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import tracemalloc
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -196,3 +198,17 @@ def test_copies_with_an_edited_block_are_found(spark):
         rows.append((i, " ".join(base)))
     out = simhash.drop_near_copies(spark.createDataFrame(rows + edited, DOCS))
     assert sorted(r["doc_id"] for r in out.collect()) == [i for i, _ in rows]
+
+
+def test_the_plan_takes_little_memory_of_the_driver():
+    """Pipeline: four tables are planned on the driver, beside Spark's own memory."""
+    sample = np.random.default_rng(5).integers(0, 2**64, simhash.SAMPLE, dtype=np.uint64)
+    tracemalloc.start()
+    simhash.make_plan(sample, 10**6, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20, peak
+    few = np.concatenate((sample[:150] & np.uint64(0xFF), sample[:3]))
+    pairs = [int(a ^ b).bit_count() for a, b in combinations(few, 2)]
+    assert list(simhash.near_pairs(few, 4)) == [pairs.count(d) for d in range(5)]
+    assert list(simhash.near_pairs(few[:1], 2)) == [0, 0, 0]
